@@ -23,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lexquarry.llm.arrow import column, map_batches
 from lexquarry.session import cut
@@ -103,7 +103,7 @@ def superminhash(elements: np.ndarray, owner: np.ndarray, n: int, m: int) -> np.
 
 def band_hashes(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     parts = sig.reshape(len(sig), bands, rows)
-    h = np.zeros((len(sig), bands), dtype=np.uint64)
+    h = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(sig), bands))
     for i in range(rows):
         h = mix(h * np.uint64(0x100000001B3) + parts[:, :, i])
     return h.view(np.int64)
@@ -116,12 +116,15 @@ def _texts(df: DataFrame, least_words: int) -> DataFrame:
 
 
 def signed(df: DataFrame, size: int, least_words: int, bands: int = BANDS, rows: int = ROWS, block: int = 256) -> DataFrame:
-    """(tab, rec_id, digest, bands) of each row of df (tab, rec_id, text) that can be in a pair."""
+    """(tab, rec_id, fold, bands) of each row of df (tab, rec_id, text) that can be in a pair.
+
+    ``fold`` hashes the text; rows are folded only where it and a band agree.
+    """
     known = _Hashes()
 
     def work(batch: pa.RecordBatch):
-        out = {"tab": [], "rec_id": [], "digest": [], "bands": []}
-        tabs, ids, texts, digests = (column(batch, c) for c in ("tab", "rec_id", "text", "digest"))
+        out = {"tab": [], "rec_id": [], "fold": [], "bands": []}
+        tabs, ids, texts, folds = (column(batch, c) for c in ("tab", "rec_id", "text", "fold"))
         for a in range(0, len(ids), block):
             docs, keep = [], []
             for i in range(a, min(a + block, len(ids))):
@@ -133,21 +136,26 @@ def signed(df: DataFrame, size: int, least_words: int, bands: int = BANDS, rows:
                 continue
             hashes, owner = shingle_hashes(docs, size, known)
             got = band_hashes(superminhash(hashes, owner, len(docs), bands * rows), bands, rows)
-            for name, values in (("tab", tabs), ("rec_id", ids), ("digest", digests)):
+            for name, values in (("tab", tabs), ("rec_id", ids), ("fold", folds)):
                 out[name] += [values[i] for i in keep]
             out["bands"] += list(got)
         return out
 
-    return map_batches(_texts(df, least_words), work, "tab string, rec_id long, digest binary, bands array<long>")
+    return map_batches(_texts(df, least_words).withColumn("fold", F.xxhash64("text")).drop("digest"), work, "tab string, rec_id long, fold long, bands array<long>")
 
 
 def candidates(sigs: DataFrame) -> DataFrame:
     """(tab, id_a, id_b): pairs of representatives that agree in at least one band."""
-    banded = sigs.select("tab", "rec_id", "digest", F.posexplode("bands").alias("band", "h"))
-    # One exchange serves the folding of copies and the pairing: both cluster on (tab, band, h).
-    reps = banded.repartition("tab", "band", "h").groupBy("tab", "band", "h", "digest").agg(F.min("rec_id").alias("id"))
-    a, b = reps.alias("a"), reps.alias("b")
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("tab", "band", "h")]
+    banded = sigs.select("tab", "rec_id", "fold", F.explode("bands").alias("h"))
+    # One exchange serves three steps, which all cluster on (tab, h): copies are folded into their
+    # representative, bands that nobody shares are dropped, and what is left is paired.
+    shared = (
+        banded.repartition("tab", "h").groupBy("tab", "h", "fold").agg(F.min("rec_id").alias("id"))
+        .withColumn("n", F.count("*").over(Window.partitionBy("tab", "h"))).where("n > 1").select("tab", "h", "id")
+    )
+    shared = cut(shared)
+    a, b = shared.alias("a"), shared.alias("b")
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("tab", "h")]
     return a.join(b, [*same, F.col("a.id") < F.col("b.id")]).select("a.tab", F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
 
 
