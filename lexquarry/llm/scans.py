@@ -35,9 +35,12 @@ WORD_SHARE, PAIR_SHARE, LINE_SHARE, MASK_SHARE = 4e-5, 5e-6, 1e-5, 2e-3
 LEAST = 3
 SHORT = 8
 EDGE = 3
-#: Glyphs that scans confuse, as replacements on lower-cased words; longer ones come first.
-CONFUSABLE = (("rn", "m"), ("vv", "w"), ("cl", "d"), ("li", "h"), ("ii", "u"))
-GLYPHS = str.maketrans({"0": "o", "1": "i", "!": "i", "|": "i", "l": "i", "j": "i", "@": "a", "5": "g", "s": "g", "q": "g", "9": "g", "$": "g", "f": "t", "+": "t", "c": "e", "b": "h", "6": "h", "8": "h", "v": "u", "y": "u", "ñ": "n"})
+#: Glyphs that scans confuse, each replaced by strokes that all look-alikes share: ``d`` looks like ``cl``,
+#: ``h`` like ``li``, ``u`` like ``ii``, ``n`` like ``ri``, ``m`` like ``rn``, and so on.
+GLYPHS = str.maketrans({
+    **dict.fromkeys("1!|lj", "i"), "0": "o", "@": "a", **dict.fromkeys("5sq9$", "g"), **dict.fromkeys("f+", "t"), "e": "c",
+    "d": "ci", **dict.fromkeys("hbu68", "ii"), **dict.fromkeys("nñ", "ri"), "m": "rri", "w": "vv",
+})
 BREAK = "-‐‑–¬­"
 BROKEN = re.compile(rf"([^\W\d_]+)[{BREAK}]\s*$")
 EDGE_PUNCT = "“”\"'‘’«».,;:?()[]…•¿¡"
@@ -54,8 +57,6 @@ ROMAN = re.compile(r"(?i)^[^\w]*[ivxl]{1,7}[^\w]*$")
 @lru_cache(200_000)
 def skeleton(word: str) -> str:
     """One form for all words that scans may confuse."""
-    for a, b in CONFUSABLE:
-        word = word.replace(a, b)
     return word.translate(GLYPHS)
 
 
@@ -75,7 +76,7 @@ def _counts(df: DataFrame) -> dict[str, dict[str, int]]:
     """Pass 1: frequent words, pairs and short lines, each above its share of the corpus."""
 
     def work(batch):
-        words, pairs, lines = Counter(), Counter(), Counter()
+        words, pairs, lines, inner = Counter(), Counter(), Counter(), Counter()
         for text in column(batch, "text"):
             for line in text.split("\n"):
                 bare = line.strip()
@@ -85,19 +86,20 @@ def _counts(df: DataFrame) -> dict[str, dict[str, int]]:
                     continue
                 tokens = bare.split()
                 words.update(map(plain, tokens))
+                inner.update(t for t in tokens[:-2] if len(t) <= 4)
                 kinds = list(map(kind_of, tokens))
                 pairs.update(map(" ".join, zip(kinds, kinds[1:])))
-        found = [("w", k, n) for k, n in words.items() if k] + [("b", k, n) for k, n in pairs.items()] + [("l", k, n) for k, n in lines.items()]
+        found = [("w", k, n) for k, n in words.items() if k] + [("b", k, n) for k, n in pairs.items()] + [("l", k, n) for k, n in lines.items()] + [("i", k, n) for k, n in inner.items()]
         return dict(zip(("kind", "key", "n"), map(list, zip(*found)))) if found else None
 
     counts = map_batches(df.select("text"), work, "kind string, key string, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
     counts = cut(counts.where(F.col("n") >= LEAST).select("*"))
     total = {r.kind: r.n for r in counts.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    share = {"w": WORD_SHARE, "b": PAIR_SHARE, "l": LINE_SHARE}
+    share = {"w": WORD_SHARE, "b": PAIR_SHARE, "l": LINE_SHARE, "i": LINE_SHARE}
     frequent = F.lit(False)
     for k, n in total.items():
         frequent = frequent | ((F.col("kind") == k) & (F.col("n") >= max(LEAST, share[k] * n)))
-    out: dict[str, dict[str, int]] = {"w": {}, "b": {}, "l": {}}
+    out: dict[str, dict[str, int]] = {"w": {}, "b": {}, "l": {}, "i": {}}
     for r in counts.where(frequent).collect():
         out[r.kind][r.key] = r.n
     return out
@@ -113,14 +115,14 @@ class Lexicon:
         for w in self.words:
             if len(w) > 2:
                 self.by_skeleton.setdefault(skeleton(w), []).append(w)
-        # A short line that hardly ever occurs as a word of longer lines is a stray mark.
+        # A short line whose words hardly ever stand inside longer lines is a stray mark.
         self.specks = frozenset(
             s for s, n in counts["l"].items()
-            if not PAGE.match(s) and len(s) <= 6 and not s.endswith((".", ";", ":", ",", "?")) and s.lower() == s.lower().strip("-")
+            if not PAGE.match(s) and len(s) <= 6 and not s.endswith((".", ";", ":", ",", "?", "”", "»", ")")) and s == s.strip("-")
             and not any(c.isdigit() and len(s.split()) == 1 for c in s)
-            and max(counts["w"].get(plain(t), 0) for t in s.split()) < n
+            and max(counts["i"].get(t, 0) for t in s.split()) < n
         )
-        self.speck_tokens = frozenset(t for s in self.specks for t in s.split())
+        self.speck_tokens = frozenset(t.lower() for s in self.specks for t in s.split())
 
     def is_speck(self, bare: str) -> bool:
         if len(bare) > SHORT:
@@ -136,9 +138,11 @@ class Lexicon:
         """The line without stray marks at its ends."""
         tokens = bare.split()
         a, b = 0, len(tokens)
-        stray = lambda t: t in self.speck_tokens or not any(c.isalnum() for c in t)
+        stray = lambda t: t.lower() in self.speck_tokens or not any(c.isalnum() for c in t)
         while b - a > 1 and stray(tokens[b - 1]):
             b -= 1
+        while b - a > 2 and all(len(t) == 1 and t.isalpha() for t in tokens[b - 2 : b]):
+            b -= 2
         while b - a > 1 and stray(tokens[a]):
             a += 1
         return " ".join(tokens[a:b])
@@ -164,7 +168,7 @@ class Lexicon:
         if len(low) < 3 or low in self.words or low.rstrip("!") in self.words or not any(c.isalpha() for c in low):
             return None
         odd = any(not c.isalpha() for c in low)
-        if odd and (sum(c.isdigit() for c in low) * 2 > len(low) or "-" in low and any(c.isdigit() for c in low)):
+        if odd and sum(c.isdigit() for c in low) * 3 > len(low):
             return None
         if not odd and not bare[0].islower() and before != "":
             return None
@@ -204,7 +208,15 @@ class Furniture:
     def __init__(self, lexicon: Lexicon, headers: list[str], numbers: list[str]):
         self.lexicon, self.headers, self.numbers = lexicon, frozenset(headers), frozenset(numbers)
         # (text before the first name, text after the last): what of a template is compared with edits.
-        self.ends = [(h.split("<X>")[0], h.split("<X>")[-1] if "<X>" in h else None) for h in headers]
+        self.ends = []
+        for h in headers:
+            before, after = h.split("<X>")[0], h.split("<X>")[-1] if "<X>" in h else None
+            # Two edits leave one of three parts of the template as it is.
+            parts = sorted((x for x in (before, after) if x), key=len)
+            longest = parts.pop()
+            step = -(-len(longest) // (3 - len(parts)))
+            parts += [longest[i : i + step] for i in range(0, len(longest), step)]
+            self.ends.append((parts, before, after))
         self.kind = lru_cache(100_000)(self._kind)
 
     def _kind(self, bare: str) -> str | None:
@@ -220,7 +232,7 @@ class Furniture:
         if len(clean) < 8 or len(clean) > 70 or clean[-1:] in ".;:," or clean[:1].islower() and clean[:2].islower() and " " not in clean[:10]:
             return None
         low = NUMBER.sub("#", re.sub(r"-[A-Za-z](?=-)", "", clean)).lower()
-        return "header" if any(self._alike(low, *ends) for ends in self.ends) else None
+        return "header" if any(any(p in low for p in parts) and self._alike(low, before, after) for parts, before, after in self.ends) else None
 
     @staticmethod
     def _alike(low: str, before: str, after: str | None) -> bool:
@@ -243,6 +255,53 @@ def _end_within(text: str, start: str) -> int | None:
     return min(found, default=None)
 
 
+def _templates(pages: DataFrame, lexicon) -> tuple[list[str], list[str]]:
+    """Pass 2, over whole pages: (header masks, page-number masks)."""
+
+    def work(batch):
+        lex: Lexicon = lexicon.value
+        seen: dict[tuple[str, str], list[int]] = {}
+        for text, page_no in zip(column(batch, "text"), column(batch, "page_no")):
+            lines = [b for b in (x.strip() for x in text.split("\n")) if b]
+            for i, bare in enumerate(lines):
+                if len(bare) > 70:
+                    continue
+                edge = i < EDGE or i >= len(lines) - EDGE
+                clean = lex.without_specks(bare)
+                numbers = NUMBER.findall(bare)
+                if len(bare) <= 16 and numbers and numbers != [bare]:
+                    c = seen.setdefault(("n", NUMBER.sub("#", bare.lower())), [0, 0])
+                    c[0] += 1
+                    c[1] += edge and page_no is not None and str(page_no) in numbers
+                small = sum(t[:1].islower() for t in clean.split())
+                if clean[-1:] not in ".;:,?" and not clean[:1].islower() and small <= 3 and len(clean) >= 8 and not PAGE.match(clean):
+                    c = seen.setdefault(("h", lex.mask(clean)), [0, 0])
+                    c[0] += 1
+                    c[1] += edge
+        found = [(k, m, n, hits) for (k, m), (n, hits) in seen.items()]
+        return dict(zip(("kind", "mask", "n", "hits"), map(list, zip(*found)))) if found else None
+
+    n_pages = pages.count()
+    rows = (
+        map_batches(pages.select("text", "page_no"), work, "kind string, mask string, n long, hits long")
+        .groupBy("kind", "mask").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+        # A page has at most 2 * EDGE edge lines, so the share bounds the number of templates.
+        .where((F.col("hits") >= max(LEAST, MASK_SHARE * n_pages)) & (F.col("hits") * 10 >= F.col("n") * F.when(F.col("kind") == "h", 7).otherwise(5)))
+        .collect()
+    )
+    headers = [r.mask for r in rows if r.kind == "h" and sum(c.isalpha() for c in r.mask.replace("<X>", "")) >= 6]
+    hits = {r.mask: r.hits for r in rows if r.kind == "h"}
+    misread = set()
+    for mask in headers:
+        # The same header with one misread word is no template of its own; it is matched with edits.
+        words = mask.split()
+        for i in range(len(words)):
+            other = " ".join(w for k, w in enumerate(x) if not (w == "<X>" and k and x[k - 1] == "<X>")) if (x := [*words[:i], "<X>", *words[i + 1 :]]) else ""
+            if other != mask and hits.get(other, hits[mask]) < hits[mask]:
+                misread.add(other)
+    return [h for h in headers if h not in misread], [r.mask for r in rows if r.kind == "n"]
+
+
 class Reader:
     """Labels the lines of one text and repairs it."""
 
@@ -286,15 +345,9 @@ class Reader:
                     continue
                 before = kind_of(tokens[k - 1].group()) if k else ""
                 after = kind_of(tokens[k + 1].group()) if k + 1 < len(tokens) else ""
-                parts = t.group().split("-")
-                if len(parts) > 1 and not any(c.isdigit() for c in parts[-1]):
-                    right = [lex.intended(p, " ", " ") if plain(p) not in lex.words else None for p in parts]
-                    whole = "-".join(r or plain(p) for r, p in zip(right, parts))
-                    want = whole if whole in lex.words and whole != bare else None
-                else:
-                    want = lex.intended(t.group(), before or "^", after or "$") if before or after else None
-                    if want is None and (not before or not after):
-                        want = self._over_lines(lines, running, at, k, len(tokens), t.group(), before, after)
+                want = lex.intended(t.group(), before or "^", after or "$") if before or after else None
+                if want is None and (not before or not after):
+                    want = self._over_lines(lines, running, at, k, len(tokens), t.group(), before, after)
                 if want:
                     bad = True
                     core = t.group().strip(EDGE_PUNCT)
