@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lexquarry.llm import encoding_queries, leakage_queries, mixing_queries, neardup_queries, scan_queries, text_queries
+from lexquarry.llm import encoding_queries, leakage_queries, mixing_queries, neardup_queries, pii_queries, scan_queries, text_queries
 
-MODULES = (text_queries, scan_queries, encoding_queries, neardup_queries, leakage_queries, mixing_queries)
+MODULES = (text_queries, scan_queries, encoding_queries, neardup_queries, leakage_queries, mixing_queries, pii_queries)
 
 
 def queries() -> dict:
