@@ -60,6 +60,9 @@ class Passages:
                 self.vocabulary.setdefault(w, len(self.vocabulary))
         self.rows = [(t, s) for t, (_, _, ws) in enumerate(self.texts) for s in windows(len(ws))]
         self.runs = [frozenset(zip(*(ws[i:] for i in range(RUN)))) for _, _, ws in self.texts]
+        #: What the paraphrase check needs of each text: its figures and its words as bit rows.
+        self.figures = [frozenset(w for w in ws if w[0].isdigit() and len(w) > 2) for _, _, ws in self.texts]
+        self.masks = [word_masks(ws) for _, _, ws in self.texts]
 
     def ids(self) -> list[list[int]]:
         return [[self.vocabulary[w] for w in self.texts[t][2][s : s + WINDOW]] for t, s in self.rows]
@@ -141,15 +144,22 @@ def latent_space(spark, passages: Passages, idf: np.ndarray, rank: int = RANK, s
     return (q @ u)[:, :rank].astype(np.float32)
 
 
-def lcs(a: list[str], b: list[str]) -> int:
-    """Length of the longest common subsequence, with machine words as bit rows."""
+def word_masks(words: list[str]) -> dict[str, int]:
+    """word -> its places as bits."""
     masks: dict[str, int] = {}
-    for i, w in enumerate(a):
+    for i, w in enumerate(words):
         masks[w] = masks.get(w, 0) | 1 << i
+    return masks
+
+
+def lcs(a: list[str], b: list[str], masks: dict[str, int] | None = None) -> int:
+    """Length of the longest common subsequence, with machine words as bit rows."""
+    masks = word_masks(a) if masks is None else masks
     full, row = (1 << len(a)) - 1, (1 << len(a)) - 1
     for w in b:
-        u = row & masks.get(w, 0)
-        row = (row + u | row - u) & full
+        if w in masks:
+            u = row & masks[w]
+            row = (row + u | row - u) & full
     return len(a) - row.bit_count()
 
 
@@ -172,7 +182,7 @@ class Search:
         for d, ws in enumerate(docs):
             if len(ws) < RUN:
                 continue
-            row = np.fromiter((known(w, -1) for w in ws), dtype=np.int64, count=len(ws))
+            row = np.array([known(w, -1) for w in ws], dtype=np.int64)
             hits = np.concatenate([[0], np.cumsum(row >= 0)])
             at = np.arange(0, max(1, len(ws) - WINDOW + STRIDE), STRIDE)
             at = at[hits[np.minimum(at + WINDOW, len(ws))] - hits[at] >= RUN]
@@ -196,20 +206,25 @@ class Search:
         """(kind, words): a run of common words, or a paraphrase by its common subsequence."""
         item, f, want = self.passages.texts[text]
         runs, best = self.passages.runs[text], 0
-        at = sorted({p for s in starts for p in range(max(0, s - RUN), min(len(ws) - RUN, s + WINDOW) + 1)})
-        hits = [p for p in at if tuple(ws[p : p + RUN]) in runs]
+        size = len(ws)
+        hits = []
+        for s in starts:
+            # A run that touches the window begins at most RUN - 1 words before it.
+            hits += [p for p in range(max(0, s - RUN + 1), min(size - RUN, s + WINDOW - RUN) + 1) if tuple(ws[p : p + RUN]) in runs]
         if hits:
-            for p in hits:
+            for p in set(hits):
                 n = RUN
-                while p + n < len(ws) and tuple(ws[p + n - RUN + 1 : p + n + 1]) in runs:
+                while p + n < size and tuple(ws[p + n - RUN + 1 : p + n + 1]) in runs:
                     n += 1
                 best = max(best, n)
             return ("whole" if best >= len(want) else "part"), best
-        a, b = max(0, min(starts) - len(want) // 2), min(len(ws), max(starts) + WINDOW + len(want) // 2)
-        span = ws[a:b]
-        common = lcs(want, span) if len(span) <= 20 * len(want) else 0
-        figures = {w for w in want if w[0].isdigit() and len(w) > 2}
-        if common >= 0.7 * len(want) and figures <= set(span):
+        a, b = max(0, min(starts) - len(want) // 2), min(size, max(starts) + WINDOW + len(want) // 2)
+        span, masks = ws[a:b], self.passages.masks[text]
+        # No subsequence is longer than the number of words that occur in both.
+        if sum(w in masks for w in span) < 0.7 * len(want) or not self.passages.figures[text] <= set(span):
+            return None
+        common = lcs(want, span, masks)
+        if common >= 0.7 * len(want):
             return "paraphrase", common
         return None
 
