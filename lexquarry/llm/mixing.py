@@ -113,8 +113,13 @@ def plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def mix(sizes: DataFrame, targets: DataFrame, seed: int = 17, block: int = BLOCK, fan_in: int = FAN_IN) -> DataFrame:
-    """(doc_id, source, n_tokens, copies): the records of the mix and how often each appears."""
+    """(doc_id, source, n_tokens, copies): how often each record appears in the mix.
+
+    There is one row per record with tokens; records that are left out, and those of sources without
+    a target, have 0 copies.
+    """
     shares = plan(sizes, targets).where("expected > 0").select("source", "expected", "n_records")
+    others = sizes.join(shares, "source", "left_anti").select("doc_id", "source", "n_tokens", F.lit(0).alias("copies"))
     rows = sizes.join(shares, "source")
     rows = rows.select(
         "doc_id", "source", "n_tokens", F.floor(F.col("expected") + 1e-12).cast("int").alias("base"),
@@ -145,12 +150,12 @@ def mix(sizes: DataFrame, targets: DataFrame, seed: int = 17, block: int = BLOCK
             last = level.where("copies IS NULL").withColumn("copies", F.col("base") + (draw < F.col("mass")).cast("int"))
             done = done.unionByName(last)
             break
-    return done.where("copies > 0").select("doc_id", "source", "n_tokens", "copies")
+    return done.select("doc_id", "source", "n_tokens", "copies").unionByName(others)
 
 
 def report(mixed: DataFrame, sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """Target and actual share of every source, with sources that have records but no target."""
-    got = mixed.groupBy("source").agg(
+    got = mixed.where("copies > 0").groupBy("source").agg(
         F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.count("*").alias("n_used"), F.max("copies").alias("most_copies")
     )
     total = F.broadcast(got.agg(F.sum("tokens").alias("total")))
