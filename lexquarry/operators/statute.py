@@ -149,7 +149,7 @@ def articles(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFr
     lines = lines.withColumn("caps", F.when((strip(line) != "") & ~structural & capital_heading(strip(line)), strip(line)))
     for k in (1, 2):
         lines = lines.withColumn(f"c{k}", F.lead("caps", k).over(w))
-    lone = lambda c: (note_references(c)[0].isNotNull()) & (strip(without_references(c)) == "")
+    lone = lambda c: (F.size(note_references(c)) > 0) & (strip(without_references(c)) == "")
     n_caps = F.when(F.col("c1").isNull(), 0).when(F.col("c2").isNull(), 1).otherwise(2)
     lines = lines.withColumn("n_caps", n_caps).withColumn(
         "wraps", F.coalesce(F.when(n_caps == 0, lone(F.lead("line", 1).over(w))).when(n_caps == 1, lone(F.lead("line", 2).over(w))).otherwise(lone(F.lead("line", 3).over(w))), F.lit(False))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lexquarry.plans import linked
+from lexquarry.plans import linked, record_plans, text_plans
 
-MODULES = (linked,)
+MODULES = (text_plans, record_plans, linked)
 
 
 def queries() -> dict:
