@@ -50,12 +50,16 @@ def order_number(text: Column, file_name: Column) -> Column:
     return F.coalesce(first, _id(file_name, FILE_NAME))
 
 
+def _plain_id(pattern: str):
+    return lambda x: F.regexp_replace(_id(x, pattern), "^DO-0+(?=[0-9])", "DO-")
+
+
 def order_ids(text: Column) -> Column:
     """All order ids in a text: dashed forms first, then series forms; first mention of each, no leading zeros."""
     found = []
     for pattern in (DASHED, SERIES, _ORDER + r"\s*\(([0-9]{4})\)"):
         pieces = F.regexp_extract_all(text, F.lit(pattern), 0)
-        found.append(F.transform(pieces, lambda x, p=pattern: F.regexp_replace(_id(x, p), "^DO-0+(?=[0-9])", "DO-")))
+        found.append(F.transform(pieces, _plain_id(pattern)))
     return F.array_distinct(F.concat(*found))
 
 
