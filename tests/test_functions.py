@@ -17,7 +17,7 @@ def one(spark, column, *values):
 @pytest.mark.parametrize("raw,want", [
     ("The emplo-\nyer pays", "The employer pays"), ("Order 174-\n17", "Order 174-\n17"), ("a\r\nb\rc", "a\nb\nc"), ("Page 3 of 12\nBody\n- 4 -\n2/9", "Body"),
     ("Body\n\n7\n\nmore", "Body\n\nmore"), ("Body\n7\nmore", "Body\n7\nmore"), ("Coverage ........ 3\nBody", "Body"), ("x  y\t\tz   \n  indented", "x y z\n  indented"), ("a\n\n\n\nb", "a\n\nb"),
-    ("NiÃ±o â€œsaidâ€\x9d Â§ 3", "Niño “said” § 3"), ("bell\x07", "bell"), ("", ""), (None, None),
+    ("NiÃ±o â€œsaidâ€\x9d Â§ 3", "Niño “said” § 3"), ("bell\x07", "bell"), ("Pay . . . . . 12\nx", "x"), ("." * 60_000 + " end", "." * 60_000 + " end"), ("", ""), (None, None),
 ])
 def test_clean(spark, raw, want):
     assert one(spark, text.clean, raw) == want

@@ -59,7 +59,7 @@ def test_order_parts():
     assert orders.signature_start("Done today.") is None and orders.signed_date("") is None
     assert orders.superseded("D.O. No. 18-A, Series of 2011 is hereby superseded; D.O. No. 5-99 as amended is cited.\n\nD.O. No. 7-01 stays.", None) == ["DO-5-99", "DO-18-A-11"]  # dashed forms first
     assert orders.superseded("Rules as amended by D.O. No. 9-02.", None) == []
-    assert orders.effectivity_clause(None, "It takes effect never. These Rules, under D.O. No. 5, shall take effect\nnow.\n\nEnd.") == "These Rules, under D.O. No. 5, shall take effect now."
+    assert orders.effectivity_clause(None, "It takes effect never. These Rules, under Department Order No. 5, shall take effect\nnow.\n\nEnd.") == "These Rules, under Department Order No. 5, shall take effect now."
     assert orders.effectivity_clause("nothing", "shall take effect now.") is None
     assert orders.first_sentence("As amended by Sec. 3, R.A. No. 10151. See also R.A. No. 2.") == "As amended by Sec. 3, R.A. No. 10151."
     assert orders.byte_slice("añb", 2, 3) == "ñ"
