@@ -126,6 +126,60 @@ def ungarbled(run: str, whole: bool = False) -> str | None:
     return None
 
 
+@lru_cache(50_000)
+def ungarbled_widths(run: str) -> tuple[tuple[str, int], ...] | None:
+    """The original characters of a run, each with the number of stored characters it takes.
+
+    Only for codecs with one byte a character; None if no such chain fits the run.
+    """
+    for lossless in (True, False) if len(run) >= 4 else (True,):
+        for wrong in WRONG_FOR_UTF8:
+            data = None if wrong in WIDE_CODECS else to_bytes(run, wrong)
+            if data is None or not any(0xC2 <= x <= 0xF4 for x in data[:4]):
+                continue
+            text = _decoded(data)
+            if not text or text.isascii() or text == run or not CLEAN_SCRIPTS.fullmatch(text):
+                continue
+            size = len(text.encode("utf-8"))
+            if lossless and size != len(data):
+                continue
+            front = next(i for i in range(4) if data[i : i + size] == text.encode("utf-8"))
+            out = [(c, 1) for c in run[:front]] + [(c, len(c.encode("utf-8"))) for c in text] + [(c, 1) for c in run[front + size :]]
+            again = ungarbled_widths(text) if size == len(data) and len(text) > 1 and RUN.fullmatch(text) else None
+            if again:
+                widths, at = [], 0
+                for c, n in again:
+                    widths.append((c, sum(w for _, w in out[at : at + n])))
+                    at += n
+                out = widths
+            return tuple(out)
+    return None
+
+
+def decoded_view(text: str) -> tuple[str, list[int]] | None:
+    """(text as it was meant, stored position of each of its characters and of the end); None if it is clean."""
+    view: list[str] = []
+    starts: list[int] = []
+    last = 0
+    for m in RUN.finditer(text):
+        got = ungarbled_widths(m.group()) if len(m.group()) > 1 else None
+        if got is None:
+            continue
+        view.append(text[last : m.start()])
+        starts += range(last, m.start())
+        at = m.start()
+        for c, n in got:
+            view.append(c)
+            starts.append(at)
+            at += n
+        last = m.end()
+    if not view:
+        return None
+    view.append(text[last:])
+    starts += range(last, len(text) + 1)
+    return "".join(view), starts
+
+
 def _kind(c: str) -> str:
     return " " if not c or c.isspace() else "9" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else "." if c.isascii() else "x"
 

@@ -9,7 +9,8 @@ terminator, is cut at white space between two Thai letters.
 
 Defined results: null, empty and blank texts have no units; a text without terminators is one unit
 per block between blank lines; an opening mark without its closing mark in the same block counts
-as an ordinary character; repeated rows give repeated units; extra columns are dropped. Positions
+as an ordinary character; wrongly decoded runs are read as they were meant, with positions as
+stored, if one byte stands for one stored character; repeated rows give repeated units; extra columns are dropped. Positions
 are 0-based, in characters, end exclusive.
 """
 
@@ -21,6 +22,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from lexquarry.llm.arrow import column, map_batches
+from lexquarry.llm.encoding import decoded_view
 
 _PLANES = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x20000)]))
 STERM = "".join(regex.findall(r"\p{Sentence_Break=STerm}", _PLANES))
@@ -187,13 +189,22 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
     return spans
 
 
+def stored_spans(text: str | None) -> list[tuple[int, int]]:
+    """Units of a text as stored: where a wrong decoding hid the terminators, they are found in what was meant."""
+    view = decoded_view(text) if text and not text.isascii() else None
+    if view is None:
+        return sentence_spans(text)
+    meant, at = view
+    return [(at[a], at[b]) for a, b in sentence_spans(meant)]
+
+
 def sentence_units(df: DataFrame, text: str = "text") -> DataFrame:
     """(tab, rec_id, start_pos, end_pos): one row per unit of each row of df (tab, rec_id, text)."""
 
     def work(batch):
         tabs, ids, starts, ends = [], [], [], []
         for tab, rec, value in zip(column(batch, "tab"), column(batch, "rec_id"), column(batch, "text")):
-            got = sentence_spans(value)
+            got = stored_spans(value)
             tabs += [tab] * len(got)
             ids += [rec] * len(got)
             starts += [a for a, _ in got]

@@ -1,6 +1,7 @@
 import pytest
 
-from lexquarry.llm.sentences import sentence_spans, sentence_units
+from lexquarry.llm.encoding import garble
+from lexquarry.llm.sentences import sentence_spans, sentence_units, stored_spans
 
 
 def units(text):
@@ -40,3 +41,11 @@ def test_edges(spark):
     df = spark.createDataFrame([("t", 1, "A b. C d.", 5), ("t", 1, "A b. C d.", 6), ("t", 2, None, 7), ("t", 3, "", 8)], "tab string, rec_id long, text string, start_pos int")
     assert sorted(map(tuple, sentence_units(df).collect())) == [("t", 1, 0, 4)] * 2 + [("t", 1, 5, 9)] * 2
     assert sentence_units(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("wrong", ["cp1252", "latin-1", "mac_roman", "cp1251"])
+@pytest.mark.parametrize("parts", [["用人单位不得拒绝。", "工会是否有权？"], ["“Stop. Wait.”", "Señor Paz left — “so.”"], ["क्या वह रखे?", "धारा 4.71 के अनुसार दे।"], ["ตามข้อ 61.69 ของประกาศ", "ถ้าเกิน 5 ให้ระงับ"]])
+def test_garbled_text_keeps_its_units(parts, wrong):
+    bad = [garble(p, "utf-8", wrong) for p in parts]
+    text = "\n\n".join(bad) + "\n\n" + ("" if "。" in parts[0] else " ").join(bad)
+    assert [text[a:b] for a, b in stored_spans(text)] == bad * 2
