@@ -44,7 +44,7 @@ NO_NAME = {
     "Annex", "Form", "Sheet", "Ledger", "Docket", "Sec", "Art", "Rule", "Order", "Republic", "Department", "Tel", "Email", "ID", "SSS", "TIN", "UMID", "GSIS", "CRN", "PhilHealth",
     "It", "For", "As", "At", "In", "Not", "On", "Ang", "Si", "Sa", "Ayon", "Inc", "Ltd", "Co", "Corp", "Trading", "Manufacturing",
 }
-TITLES = ["Mr.", "Mrs.", "Ms.", "Dr.", "Dra.", "Sr.", "Sra.", "Srta.", "Atty.", "Engr.", "Dir.", "Prof.", "Hon.", "Bb.", "Gng.", "Messrs.", " G. "]
+TITLES = ["Mr.", "Mrs.", "Ms.", "Dr.", "Dra.", "Sr.", "Sra.", "Srta.", "Atty.", "Engr.", "Dir.", "Prof.", "Hon.", "Bb.", "Gng.", "Messrs.", " G. ", "\nG. ", " G.\n"]
 BEFORE = [
     "Witness", "Complainant", "Contact:", "My name is", "According to", "The respondent,", "look for", "released to", "not to", "El testigo", "el testigo", "La testigo", "Enviar el pago a",
     "claim of", "投诉人", "申立人", "ผู้ร้องชื่อ", "शिकायतकर्ता", "المشتكي", "ay kay", "para kay", "ni kay", "whose name is", "Employee:", "Name:", "Attn:", "Dear",
@@ -68,7 +68,7 @@ ADDRESSES = [
     (["Calle "], re.compile(rf"Calle\s+{_TOWN}\s+[0-9]+,\s+[0-9]+\.º\s+[A-Z]{_TAIL}")),
     (["Avda. de"], re.compile(rf"Avda\.\s+de\s+{_TOWN},\s+n\.º\s+[0-9]+{_TAIL}")),
 ]
-STREET_WORDS = [" St.", " Ext.", " Road", " Avenue", " Blvd.", "\nSt.", "\nExt."]
+STREET_WORDS = [a + w for w in ("St.", "Ext.", "Road", "Avenue", "Blvd.") for a in " \n"]
 HOUSE = re.compile(rf"[0-9]+(?:-?[A-Z])?\s+{_STREET}(?:,\s+(?:Brgy\.\s+)?{_TOWN}(?:\s+(?:Subd|Village)\.?)?)?{_TAIL}")
 HOUSE_START = re.compile(rf"[0-9]+(?:-?[A-Z])?(?=\s+(?:[{UP}][{LO}]+\s+){{0,3}}[{UP}][{LO}]+$)")
 JAPANESE = re.compile(r"[一-鿿々]+[0-9０-９]+丁目[0-9０-９]+(?:[-−－‐][0-9０-９]+)*(?:番(?:地|[0-9０-９]+号)?)?")

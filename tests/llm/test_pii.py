@@ -24,6 +24,8 @@ def found(text):
     ("ويبلغ د. دلفي دلفاني بذلك. للتواصل: ٠٥٩ ٨٣١ ١٩١٩", {("name", "دلفي دلفاني"), ("phone", "٠٥٩ ٨٣١ ١٩١٩")}),
     ("Prepared by:\nKarita Ulavmar Jr.\nUnit 21A, 84 Jihelra Avenue, Vamel City\nTel. 632.8854.5428", {("name", "Karita Ulavmar Jr."), ("address", "Unit 21A, 84 Jihelra Avenue, Vamel City"), ("phone", "632.8854.5428")}),
     ("Invoice 2083-3414-1024 and SKU 1449-25-3882; Form version 54.81.27.7; NLRC Case No. RAB-35-8906-4; lot of 3630-1243 meters.", set()),
+    ("Si\nG. Tatirtan at si Bb.\nUlcorven; ni G.\nPijunva.", {("name", "Tatirtan"), ("name", "Ulcorven"), ("name", "Pijunva")}),
+    ("Mail to 341 Viwennor\nSt., Brgy. Cadamor, Santa\nUlkifa, Zivorro.", {("address", "341 Viwennor\nSt., Brgy. Cadamor, Santa\nUlkifa, Zivorro")}),
     ("Tadelra Manufacturing, Inc. posted a bond. The Cecara Doctrine holds. Pay P45,210.05.", set()),
 ])
 def test_spans(text, want):
