@@ -106,7 +106,7 @@ def first_sentence(text: str) -> str:
     """Up to the first full stop before white space that follows neither an initial nor a citation."""
     for m in re.finditer(r"\.(?=\s|$)", text):
         word = re.search(r"[^\W_]*$", text[: m.start()]).group()
-        if len(word) != 1 and word not in NOTE_CITING:
+        if not (len(word) == 1 and word.isalpha()) and word not in NOTE_CITING:
             return text[: m.end()]
     return text
 
@@ -161,6 +161,11 @@ def first_sentence_of(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: first_sentence(t) if t is not None else None)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def first_sentences_of(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda ts: None if ts is None else [first_sentence(t) for t in ts])
+
+
 def title_of(text: Column) -> Column:
     """The lines in capitals below the order number, joined; null if there are none.
 

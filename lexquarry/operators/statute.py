@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexquarry.functions import dates, refs
 from lexquarry.functions.text import capital_heading, squeeze, strip
-from lexquarry.operators.blocks import longest
-from lexquarry.operators.orders import first_sentence_of
+from lexquarry.operators.blocks import heading, longest
+from lexquarry.operators.orders import first_sentences_of
 
 #: The books as they are shown.
 BOOKS = [
@@ -134,7 +134,7 @@ def without_references(c: Column) -> Column:
 
 # --- scan ----------------------------------------------------------------------------------------
 def articles(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, ord, article_number, former_article_number, book, title_name, chapter, heading_rest, body).
+    """(doc, ord, article_number, former_article_number, book, title_name, chapter, title_refs, chapter_refs, heading_rest, body).
 
     The context of an article is carried forward over the lines of its document by windows: books
     start partitions for titles, titles for chapters. All windows share one partitioning and sort.
@@ -154,6 +154,8 @@ def articles(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFr
     lines = lines.withColumn("n_caps", n_caps).withColumn(
         "wraps", F.coalesce(F.when(n_caps == 0, lone(F.lead("line", 1).over(w))).when(n_caps == 1, lone(F.lead("line", 2).over(w))).otherwise(lone(F.lead("line", 3).over(w))), F.lit(False))
     )
+    after = F.when(n_caps == 0, F.lead("line", 1).over(w)).when(n_caps == 1, F.lead("line", 2).over(w)).otherwise(F.lead("line", 3).over(w))
+    lines = lines.withColumn("wrapped", F.when(F.col("wraps"), after))
     is_book = line.rlike(BOOK) & ~contents
     lines = lines.withColumn("is_book", is_book).withColumn("seen_book", F.max("is_book").over(upto))
     follow = F.concat_ws(" ", "c1", F.when(F.col("c1").isNotNull(), F.col("c2")))
@@ -173,6 +175,7 @@ def articles(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFr
     lines = lines.withColumns({
         "kind": F.when(contents, "contents").when(line.rlike(PRELIMINARY), "preliminary").when(F.col("is_book"), "book")
         .when(head(TITLE), "title").when(head(CHAPTER), "chapter").when(line.rlike(ARTICLE), "article"),
+        "refs": note_references(F.concat_ws(" ", "line", follow, "wrapped")),
         "book": F.when(F.col("is_book"), book), "title": F.when(head(TITLE), shown(TITLE, "Title")), "chapter": F.when(head(CHAPTER), shown(CHAPTER, "Chapter")),
     })
     # Lines that a header above took as the rest of its name.
@@ -188,11 +191,12 @@ def articles(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFr
     in_book = Window.partitionBy(doc, "book_id").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     in_title = Window.partitionBy(doc, "book_id", "title_id").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     of = lambda c, kind, over: F.last(F.when(F.col("kind") == kind, F.col(c)), ignorenulls=True).over(over)
-    lines = lines.withColumns({"in_book": of("book", "book", in_book), "in_title": of("title", "title", in_title), "in_chapter": of("chapter", "chapter", in_title)})
+    lines = lines.withColumns({"in_book": of("book", "book", in_book), "in_title": of("title", "title", in_title), "in_chapter": of("chapter", "chapter", in_title),
+        "title_refs": of("refs", "title", in_title), "chapter_refs": of("refs", "chapter", in_title)})
     context = F.struct(
         F.col("i").alias("ord"), F.regexp_extract("line", ARTICLE, 1).cast("int").alias("article_number"), F.regexp_extract("line", ARTICLE, 2).try_cast("int").alias("former_article_number"),
         F.coalesce("in_book", F.lit(BOOKS[0])).alias("book"), F.coalesce("in_title", F.when(F.col("in_book").isNull(), F.lit(BOOKS[0])).otherwise("General Provisions")).alias("title_name"),
-        F.col("in_chapter").alias("chapter"), strip(F.regexp_extract("line", ARTICLE, 3)).alias("heading_rest"),
+        F.col("in_chapter").alias("chapter"), "title_refs", "chapter_refs", strip(F.regexp_extract("line", ARTICLE, 3)).alias("heading_rest"),
     )
     grouped = lines.where("kind IS NULL OR kind = 'article'").groupBy(doc, "head_id").agg(
         F.max(F.when(F.col("kind") == "article", context)).alias("a"), F.array_sort(F.collect_list(F.when(F.col("kind").isNull(), F.struct("i", "line")))).alias("b")
@@ -207,23 +211,60 @@ def deduped(found: DataFrame, doc: str = "doc_id") -> DataFrame:
 
 
 def amendments(found: DataFrame, text: str = "content", notes: str | None = None) -> DataFrame:
-    """Adds ``amendments`` (law, law_date) from notes in brackets and, law by law, from footnotes.
+    """Adds ``amendments`` (law, law_date, description) from notes in brackets and from footnotes; each law once.
 
-    Of a footnote only the first sentence counts, and a law that the text names already is skipped.
-    A date is given only where the note names exactly one law.
+    Of a footnote only the first sentence counts. A date is given only where the note names one law.
     """
-    shape = "array<struct<law:string,law_date:date>>"
+    shape = "array<struct<law:string,law_date:date,description:string>>"
 
     def of(note: Column) -> Column:
         laws = refs.cited_laws(note)
         day = F.when(F.size(laws) == 1, dates.first_date(note))
-        return F.transform(laws, lambda law: F.struct(law.alias("law"), day.alias("law_date"))).cast(shape)
-
-    inline = F.flatten(F.transform(F.regexp_extract_all(F.col(text), F.lit(INSERTED), 1), of))
-    found = found.withColumn("amendments", F.coalesce(inline, F.array().cast(shape)))
-    if notes is None:
-        return found
-    lead = F.filter(F.col(notes), lambda n: n.rlike(AMENDS))
-    more = F.flatten(F.transform(lead, of))
-    known = F.transform("amendments", lambda a: a["law"])
-    return found.withColumn("amendments", F.concat("amendments", F.coalesce(F.filter(more, lambda a: ~F.array_contains(known, a["law"])), F.array().cast(shape))))
+        return F.transform(laws, lambda law: F.struct(law.alias("law"), day.alias("law_date"), note.alias("description"))).cast(shape)
+
+    every = F.transform(F.regexp_extract_all(F.col(text), F.lit(INSERTED), 1), squeeze)
+    if notes is not None:
+        every = F.concat(every, F.filter(F.coalesce(notes, F.array().cast("array<string>")), lambda n: n.rlike(AMENDS)))
+    found = found.withColumn("_all", F.coalesce(F.flatten(F.transform(every, of)), F.array().cast(shape))).withColumn("_laws", F.transform("_all", lambda a: a["law"]))
+    first = F.filter("_all", lambda a, i: F.array_position("_laws", a["law"]) == i + 1)
+    return found.withColumn("amendments", first).drop("_all", "_laws")
+
+
+def records(docs: DataFrame, notes: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """Whole article records of marked texts and their notes (doc, note_number, note_text).
+
+    Notes are joined on (document, number), for the article and for the headings above it;
+    references to notes that do not exist vanish.
+    """
+    raw = deduped(articles(docs, doc, text), doc)
+    parts = raw.select(
+        doc, "ord", "article_number", "former_article_number", "book", "title_name", "chapter",
+        note_references(F.concat("heading_rest", F.lit("\n"), "body")).alias("own"),
+        F.concat(
+            F.transform(F.coalesce("title_refs", F.array().cast("array<int>")), lambda n: F.struct(F.col("title_name").alias("heading"), n.alias("n"))),
+            F.transform(F.coalesce("chapter_refs", F.array().cast("array<int>")), lambda n: F.struct(F.col("chapter").alias("heading"), n.alias("n"))),
+        ).alias("above"),
+        heading(without_references(F.col("heading_rest"))).alias("h"), strip(without_references(F.col("body"))).alias("rest"),
+    )
+    both = F.when(F.col("h.inline") == "", F.col("rest")).when(F.col("rest") == "", F.col("h.inline")).otherwise(F.concat("h.inline", F.lit("\n"), "rest"))
+    parts = parts.withColumn("content", F.regexp_replace(both, r"(?m)^[ \t]+", "")).withColumn("heading", F.col("h.title")).drop("h", "rest")
+    key = [doc, "article_number"]
+    asked = parts.select(*key, F.posexplode("own").alias("seq", "note_number"), F.lit(None).cast("string").alias("heading")).unionByName(
+        parts.select(*key, F.posexplode("above").alias("seq", "a")).select(*key, "seq", F.col("a.n").alias("note_number"), F.col("a.heading").alias("heading"))
+    )
+    held = asked.join(notes.where("note_number IS NOT NULL").select(doc, "note_number", "note_text"), [doc, "note_number"])
+    listed = F.array_sort(F.collect_list(F.struct("seq", "heading", "note_number", "note_text")))
+    grouped = held.groupBy(*key).agg(listed.alias("n"))
+    full = parts.join(grouped, key, "left").withColumn("n", F.coalesce("n", F.array().cast("array<struct<seq:int,heading:string,note_number:int,note_text:string>>")))
+    full = full.withColumn("footnotes", F.transform(F.filter("n", lambda x: x["heading"].isNull()), lambda x: F.struct(x["note_number"], x["note_text"])))
+    full = full.withColumn("heading_footnotes", F.transform(F.filter("n", lambda x: x["heading"].isNotNull()), lambda x: F.struct(x["heading"], x["note_number"], x["note_text"])))
+    texts = F.transform("footnotes", lambda x: x["note_text"])
+    full = full.withColumn("leads", first_sentences_of(texts))
+    full = amendments(full, "content", "leads")
+    bracketed = F.regexp_extract_all("content", F.lit(INSERTED), 1)
+    return full.select(
+        doc, "article_number", "former_article_number", "book", "title_name", "chapter", "heading", "content", "footnotes", "heading_footnotes", "amendments",
+        (~F.exists(bracketed, lambda x: x.rlike(INSERTION)) & ~F.exists(texts, lambda x: x.rlike(INSERTION))).alias("original"),
+        refs.related_articles(F.col("content"), F.col("article_number")).alias("related_articles"),
+        F.array_distinct(F.flatten(F.transform(texts, refs.order_ids))).alias("implementing_orders"),
+    )

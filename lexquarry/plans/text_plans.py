@@ -134,8 +134,15 @@ def footnote_amendments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lead.select("rec_id", "note_number", F.array_join(refs.cited_laws(F.col("note")), "|").alias("laws"), F.when(F.size(refs.cited_laws(F.col("note"))) == 1, dates.first_date(F.col("note"))).alias("law_date"))
 
 
+def statute_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole article records of rendered codes, one per number."""
+    notes = spark.createDataFrame([], "doc_id string, note_number int, note_text string")
+    r = statute.records(corpus.statute_text(spark, sf_dir), notes)
+    return r.select("doc_id", "article_number", "heading", "content", "original", F.array_join(F.col("related_articles").cast("array<string>"), ",").alias("related"))
+
+
 QUERIES = {f.__name__: f for f in (
-    effective_date, parse_dates, order_numbers, related_laws, topic_tags, clean_text, repair_sequences, page_quality, capital_lines, running_lines, without_running_lines,
+    statute_records, effective_date, parse_dates, order_numbers, related_laws, topic_tags, clean_text, repair_sequences, page_quality, capital_lines, running_lines, without_running_lines,
     split_sections, dedupe_sections, signed_dates, statute_scan, nested_items, article_references, footnote_amendments,
 )}
 
@@ -199,6 +206,13 @@ ORACLE = {
           ['Book I: Pre-Employment', 'Book II: Human Resources Development', 'Book III: Conditions of Employment', 'Book IV: Health, Safety and Social Welfare Benefits', 'Book V: Labor Relations'][n_regionkey + 1] AS book,
           CASE WHEN t IS NULL THEN 'General Provisions' ELSE 'Title ' || (t + 1) || ': ' || (SELECT n_name FROM nation WHERE n_nationkey = t) END AS title_name,
           CASE WHEN n_nationkey % 2 = 1 THEN 'Chapter ' || (n_nationkey + 1) || ': ' || n_name END AS chapter FROM h""",
+    "statute_records": """
+        SELECT doc_id, article_number, heading, 'The employer shall pay.' || chr(10) || 'Article 4 of this Code shall apply.' AS content, true AS original, CASE WHEN article_number = 4 THEN '' ELSE '4' END AS related
+        FROM (
+          SELECT c_mktsegment AS doc_id, CAST(c_custkey % 999 + 1 AS INT) AS article_number, 'Duty of ' || c_custkey AS heading,
+            row_number() OVER (PARTITION BY c_mktsegment, c_custkey % 999 ORDER BY length('Duty of ' || c_custkey) DESC, n_regionkey, n_nationkey, c_custkey) AS k
+          FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey > 0
+        ) WHERE k = 1""",
     "article_references": """
         SELECT rec_id, array_to_string(list_sort(list_distinct(list_filter(list_concat(range(article_number + 1, article_number + 2 + rec_id % 5), [7, 3]), lambda x: x <> article_number))), ',') AS related FROM code_articles""",
     "footnote_amendments": r"""

@@ -111,6 +111,20 @@ def test_amendments(spark):
     assert got == [("RA 6715", dt.date(1989, 3, 21)), ("RA 1", None), ("PD 2", None), ("RA 99", dt.date(2001, 5, 2))]
 
 
+def test_article_records(spark):
+    p1 = "\n".join(["BOOK ONE", "TITLE I – WAGES", "Art. 5. [4] Pay.1 – Workers shall be paid under Article 9.2", "  (a) daily", "  (b) weekly (As inserted by R.A. No. 7, May 2, 2001)", "1 See D.O. No. 018-A-11.", "2 As amended by R.A. No. 8. See R.A. 9."])
+    p2 = "\n".join(["Art. 6. Rest — A day.", "Article 1700 of the Civil Code applies."])
+    pages_ = spark.createDataFrame([(1, 1, p1), (1, 2, p2)], "doc_id long, page_no int, content string")
+    found = statute.footnotes(pages_)
+    rows = statute.records(found.where("text IS NOT NULL").select("doc_id", "text"), found.where("note_number IS NOT NULL")).orderBy("article_number").collect()
+    five, six = rows
+    assert (five.heading, five.former_article_number, five.title_name) == ("Pay", 4, "Title I: WAGES")
+    assert five.content.startswith("Workers shall be paid under Article 9.\n(a) daily\n(b) weekly") and not five.original and six.original
+    assert [(a.law, a.law_date) for a in five.amendments] == [("RA 7", dt.date(2001, 5, 2)), ("RA 8", None)]
+    assert [n.note_number for n in five.footnotes] == [1, 2] and five.implementing_orders == ["DO-18-A-11"] and five.related_articles == [9]
+    assert six.related_articles == [] and six.footnotes == [] and six.heading == "Rest"
+
+
 def test_status(spark):
     articles = spark.createDataFrame([(i,) for i in range(1, 8)], "article_number int")
     notes = spark.createDataFrame([(1, 10, "Repealed by RA 1."), (3, 11, "Superseded."), (4, 12, "See also."), (5, 13, "deemed repealed"), (6, 14, "Obsolete")], "article_number int, footnote int, note_text string")

@@ -50,3 +50,20 @@ def test_stream(spark, tmp_path):
     query = counted.writeStream.format("memory").queryName("counted").outputMode("complete").trigger(availableNow=True).start()
     query.awaitTermination(60)
     assert sum(r.n_pages for r in spark.sql("SELECT * FROM counted").collect()) == 3
+
+
+def test_command_line(spark, tmp_path):
+    from lexquarry import cli
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "DO-5-01.txt").write_text("DEPARTMENT ORDER NO. 5-01\nRULES ON PAY\nSection 1. Scope. — All.\n\nDone this 2 May 2001.")
+    assert cli.main(["parse-orders", str(tmp_path / "in"), str(tmp_path / "out")]) == 0
+    assert spark.read.parquet(str(tmp_path / "out" / "orders")).first().title == "RULES ON PAY"
+    (tmp_path / "in" / "DO-5-01.txt").write_text("BOOK ONE\nArt. 1. Name — Text.1\n1 As amended by R.A. No. 10.")
+    assert cli.main(["parse-code", str(tmp_path / "in"), str(tmp_path / "code")]) == 0
+    assert spark.read.parquet(str(tmp_path / "code")).first().content == "Text."
+    (tmp_path / "r.json").write_text('{"id": 3}')
+    (tmp_path / "s.json").write_text('{"type": "object", "properties": {"id": {"type": "string"}}}')
+    assert cli.main(["validate", str(tmp_path / "r.json"), "--schema", str(tmp_path / "s.json")]) == 1
+    (tmp_path / "m.toml").write_text('[[document]]\nid = "DO-1-01"\nkind = "dole_order"\ntitle = "t"\nsource_url = "https://x.example"\n')
+    assert cli.main(["check-manifest", str(tmp_path / "m.toml")]) == 0
