@@ -6,11 +6,15 @@ matrix of the evaluation passages gives a latent space; every corpus passage is
 and compared with every evaluation passage by cosine, in blocks. The SVD is fitted on the evaluation
 side because the corpus's own leading directions are its boilerplate, in which the rare words of a
 leaked passage vanish; statistics and search cover all documents and all their windows. Documents
-with a close passage are then checked word by word: the longest run of consecutive common words,
-and for paraphrases the longest common subsequence and the figures of the answer.
+with a close passage are then checked for paraphrases: the longest common subsequence and the figures
+of the answer.
 
-A window of ``WINDOW`` words at every ``STRIDE`` contains any run of ``RUN`` words whole, and all words
-of such a run are in the vocabulary; windows with fewer known words are not projected.
+Runs of ``RUN`` consecutive common words do not depend on the cosine, as a passage may have little in
+the latent space: every run of a document whose words are all in the vocabulary is looked up by its
+hash among all runs of the evaluation texts and compared word by word.
+
+A window of ``WINDOW`` words at every ``STRIDE`` contains any run of ``RUN`` words whole; windows with
+fewer known words are not projected.
 
 The evaluation set is the stated query set; it is handed to the tasks after a check of its size
 (``MAX_WORDS`` words), beyond which the search is repeated for blocks of items.
@@ -163,6 +167,18 @@ def lcs(a: list[str], b: list[str], masks: dict[str, int] | None = None) -> int:
     return len(a) - row.bit_count()
 
 
+#: Odd factors of the hash of a run; matches are compared word by word.
+FACTORS = np.random.default_rng(13).integers(1, 2**63, RUN, dtype=np.uint64) | np.uint64(1)
+
+
+def run_hashes(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of ``RUN`` word numbers that begin at the given places."""
+    out = np.zeros(len(at), dtype=np.uint64)
+    for k in range(RUN):
+        out += ids[at + k].astype(np.uint64) * FACTORS[k]
+    return out
+
+
 class Search:
     """Compares the passages of documents with the evaluation passages."""
 
@@ -174,16 +190,42 @@ class Search:
         np.add.at(queries, row, (value[:, None] * space[term]).astype(np.float32))
         self.queries = queries.T.copy()
         self.text_of = np.array([t for t, _ in passages.rows])
+        hashes, owners = [], []
+        for t, (_, _, ws) in enumerate(passages.texts):
+            ids = np.array([passages.vocabulary[w] for w in ws], dtype=np.int64)
+            hashes.append(run_hashes(ids, np.arange(len(ws) - RUN + 1)))
+            owners.append(np.full(len(hashes[-1]), t))
+        order = np.argsort(np.concatenate(hashes), kind="stable")
+        self.run_hash, self.run_text = np.concatenate(hashes)[order], np.concatenate(owners)[order]
+
+    def runs(self, ws: list[str], row: np.ndarray, hits: np.ndarray) -> dict[int, set[int]]:
+        """text -> places of a document where a run of that text begins."""
+        at = np.flatnonzero(hits[RUN:] - hits[:-RUN] == RUN)
+        found: dict[int, set[int]] = {}
+        if not len(at):
+            return found
+        keys = run_hashes(row, at)
+        a, b = np.searchsorted(self.run_hash, keys), np.searchsorted(self.run_hash, keys, "right")
+        for i in np.flatnonzero(b > a):
+            p = int(at[i])
+            run = tuple(ws[p : p + RUN])
+            for t in self.run_text[a[i] : b[i]].tolist():
+                if run in self.passages.runs[t]:
+                    found.setdefault(t, set()).add(p)
+        return found
 
-    def close(self, docs: list[list[str]], cosine: float, block: int = 4096) -> dict[int, dict[int, list[int]]]:
-        """doc -> text -> starts of the windows whose cosine to one of its passages reaches the threshold."""
+    def close(self, docs: list[list[str]], cosine: float, block: int = 4096) -> dict[int, dict[int, tuple[list[int], set[int]]]]:
+        """doc -> text -> (starts of the windows whose cosine to one of its passages reaches the threshold, places of common runs)."""
         known = self.passages.vocabulary.get
         owner, starts, ids = [], [], []
+        found: dict[int, dict[int, tuple[list[int], set[int]]]] = {}
         for d, ws in enumerate(docs):
             if len(ws) < RUN:
                 continue
             row = np.array([known(w, -1) for w in ws], dtype=np.int64)
             hits = np.concatenate([[0], np.cumsum(row >= 0)])
+            for t, places in self.runs(ws, row, hits).items():
+                found.setdefault(d, {})[t] = ([], places)
             at = np.arange(0, max(1, len(ws) - WINDOW + STRIDE), STRIDE)
             at = at[hits[np.minimum(at + WINDOW, len(ws))] - hits[at] >= RUN]
             for s in at:
@@ -191,7 +233,6 @@ class Search:
                 owner.append(d)
                 starts.append(int(s))
                 ids.append(x[x >= 0])
-        found: dict[int, dict[int, list[int]]] = {}
         for a in range(0, len(ids), block):
             part = ids[a : a + block]
             row, term, value = tfidf(part, self.idf)
@@ -199,20 +240,17 @@ class Search:
             np.add.at(z, row, (value / np.maximum(self.idf[term], 1e-9))[:, None].astype(np.float32) * self.weighted[term])
             w, q = np.nonzero(z @ self.queries >= cosine)
             for i, t in zip((w + a).tolist(), self.text_of[q].tolist()):
-                found.setdefault(owner[i], {}).setdefault(t, []).append(starts[i])
+                found.setdefault(owner[i], {}).setdefault(t, ([], set()))[0].append(starts[i])
         return found
 
-    def judge(self, ws: list[str], text: int, starts: list[int]) -> tuple[str, int] | None:
+    def judge(self, ws: list[str], text: int, starts: list[int], hits: set[int]) -> tuple[str, int] | None:
         """(kind, words): a run of common words, or a paraphrase by its common subsequence."""
         item, f, want = self.passages.texts[text]
         runs, best = self.passages.runs[text], 0
         size = len(ws)
-        hits = []
-        for s in starts:
-            # A run that touches the window begins at most RUN - 1 words before it.
-            hits += [p for p in range(max(0, s - RUN + 1), min(size - RUN, s + WINDOW - RUN) + 1) if tuple(ws[p : p + RUN]) in runs]
         if hits:
-            for p in set(hits):
+            # A run that goes on is measured from its first place.
+            for p in (p for p in hits if p - 1 not in hits):
                 n = RUN
                 while p + n < size and tuple(ws[p + n - RUN + 1 : p + n + 1]) in runs:
                     n += 1
@@ -257,8 +295,8 @@ def _search(rows: DataFrame, passages: Passages, schema: str, cosine: float) ->
         ids, docs = column(batch, "doc_id"), [words_of(t) for t in column(batch, "text")]
         out = {"doc_id": [], "item_id": [], "field": [], "kind": [], "n_words": []}
         for d, texts in s.close(docs, cosine).items():
-            for t, starts in texts.items():
-                if got := s.judge(docs[d], t, starts):
+            for t, (starts, hits) in texts.items():
+                if got := s.judge(docs[d], t, starts, hits):
                     item, f, _ = s.passages.texts[t]
                     for name, value in zip(out, (ids[d], item, FIELDS[f], *got)):
                         out[name].append(value)

@@ -82,3 +82,17 @@ def test_latent_space_spans_the_leading_directions(spark):
     dense[r, t] = v
     best = np.linalg.svd(dense)[1][:10]
     assert ((dense @ space) ** 2).sum() >= 0.97 * (best**2).sum()
+
+
+def test_every_run_of_every_item(spark):
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(2500)]
+    items = [(i, " ".join(rnd.sample(words, 40)), None) for i in range(150)]
+    docs, want = [], set()
+    for i, q, _ in items:
+        ws = q.split()
+        for a in range(0, len(ws) - 11, 4):
+            docs.append((len(docs), " ".join([*rnd.sample(words, 23), *ws[a : a + 12], *rnd.sample(words, 23)])))
+            want.add((len(docs) - 1, i))
+    got = leakage.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, question string, expected_answer string"))
+    assert {(r.doc_id, r.item_id) for r in got.where("kind = 'part'").collect()} == want
