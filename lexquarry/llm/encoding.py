@@ -4,7 +4,8 @@ Every distinct clean form of the corpus is garbled under every chain of wrong de
 garbled forms are hash-joined with the forms that the records hold. A form is either a word with
 a character beyond ASCII (digits masked) or such a run of characters with the kinds of its two
 neighbours. A match counts if the original is at least as frequent as the garbled form (for runs,
-``RUN_RATIO`` times). Forms are counted over all records.
+``RUN_RATIO`` times). Forms are counted over the distinct texts of all records, so that copies of a
+garbled text do not outvote the originals; every copy is judged by that.
 
 Scripts written without blanks have no recurring words, so there whole runs are decoded backwards
 under the same chains instead, and accepted if the bytes are valid UTF-8 (but for a cut at the
@@ -213,21 +214,21 @@ def forms_of(text: str) -> tuple[set[str], bool]:
 
 
 def _forms(df: DataFrame) -> DataFrame:
-    """(tab, rec_id, field, form): the distinct forms of each record; a null form marks sure garbling."""
+    """(tab, rec_id, field, hash, form): the distinct forms of each record and the hash of its text; a null form marks sure garbling."""
 
     def work(batch):
-        out = {"tab": [], "rec_id": [], "field": [], "form": []}
-        for tab, rec, field, text in zip(*(column(batch, c) for c in ("tab", "rec_id", "field", "text"))):
+        out = {"tab": [], "rec_id": [], "field": [], "hash": [], "form": []}
+        for tab, rec, field, hashed, text in zip(*(column(batch, c) for c in ("tab", "rec_id", "field", "hash", "text"))):
             if text.isascii():
                 continue
             forms, sure = forms_of(text)
             held = [*forms, *([None] if sure else [])]
-            for name, values in (("tab", [tab] * len(held)), ("rec_id", [rec] * len(held)), ("field", [field] * len(held)), ("form", held)):
+            for name, values in (("tab", [tab] * len(held)), ("rec_id", [rec] * len(held)), ("field", [field] * len(held)), ("hash", [hashed] * len(held)), ("form", held)):
                 out[name] += values
         return out
 
-    rows = df.where(F.col("text").isNotNull()).select("tab", "rec_id", "field", "text")
-    return map_batches(rows, work, "tab string, rec_id long, field string, form string")
+    rows = df.where(F.col("text").isNotNull()).select("tab", "rec_id", "field", F.xxhash64("text").alias("hash"), "text")
+    return map_batches(rows, work, "tab string, rec_id long, field string, hash long, form string")
 
 
 def _garbled_table(counts: DataFrame) -> DataFrame:
@@ -255,7 +256,7 @@ def garbled(df: DataFrame) -> DataFrame:
     ``fixes`` lists the record's verified (form, original) pairs.
     """
     held = cut(_forms(df))
-    counts = held.where("form IS NOT NULL").groupBy("form").agg(F.count("*").alias("n"))
+    counts = held.where("form IS NOT NULL").groupBy("form").agg(F.count_distinct("hash").alias("n"))
     table = _garbled_table(cut(counts))
     key = ("tab", "rec_id", "field")
     hits = held.join(table, "form").select(*key, F.struct("form", "original").alias("fix"))

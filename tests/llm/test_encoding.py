@@ -45,3 +45,9 @@ def test_records(spark):
 def test_edges(spark):
     assert encoding.garbled(frame(spark, [None, "", "plain " * 50_000])).count() == 0
     assert encoding.garbled(spark.createDataFrame([], "tab string, rec_id long, field string, text string")).count() == 0
+
+
+def test_copies_do_not_vote(spark):
+    bad = garble("Aviso señalado", "cp1252", "cp437")
+    texts = ["Lo señalado aquí", "Plazo señalado hoy", *[bad] * 30]
+    assert {r.rec_id for r in encoding.garbled(frame(spark, texts)).collect()} == set(range(2, 32))
