@@ -63,10 +63,8 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages with no or little text, by the first lines of each scanned page."""
-    p = table(spark, sf_dir, "scan_pages")
-    head = F.substring("raw_text", 1, (F.col("page_id") % 120).cast("int"))
-    return p.select("page_id", text.page_warning(head).alias("warning"))
+    """Pages with no or little text."""
+    return table(spark, sf_dir, "scan_pages").select("page_id", text.page_warning(F.col("raw_text")).alias("warning"))
 
 
 def capital_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

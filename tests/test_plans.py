@@ -1,6 +1,6 @@
 """Queries over small tables made for them."""
 
-from lexquarry.plans import record_plans
+from lexquarry.plans import record_plans, text_plans
 
 
 def save(spark, folder, name, rows, schema):
@@ -16,3 +16,10 @@ def test_status_changes_of_every_part(spark, tmp_path):
     assert got == {(1, 2, 1, 1), (2, 4, 3, 0)}
     rolled = {tuple(r) for r in record_plans.status_roll_up(spark, at).collect()}
     assert rolled == {(2, "partly_superseded", 1), (4, "superseded", 1), (300, "no_change_noted", 0)}
+
+
+def test_page_quality_of_whole_pages(spark, tmp_path):
+    pages = [(120, "x" * 1300), (121, "y" * 50), (122, "z" * 49), (123, " \n\t"), (124, ""), (125, None), (240, " " * 200 + "w" * 60)]
+    at = save(spark, tmp_path, "scan_pages", pages, "page_id long, raw_text string")
+    got = {r.page_id: r.warning for r in text_plans.page_quality(spark, at).collect()}
+    assert got == {120: None, 121: None, 122: "low_char_count", 123: "empty_page", 124: "empty_page", 125: None, 240: None}
