@@ -112,7 +112,7 @@ def statute_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nested_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of every enumeration in the sections."""
-    s = table(spark, sf_dir, "order_sections").where("NOT ocr_text").select("rec_id", F.explode(lists.items_of(F.col("content"))).alias("i"))
+    s = table(spark, sf_dir, "order_sections").select("rec_id", F.explode(lists.items_of(F.col("content"))).alias("i"))
     return s.select("rec_id", "i.node", "i.parent", "i.level", "i.label", "i.path")
 
 

@@ -23,3 +23,10 @@ def test_page_quality_of_whole_pages(spark, tmp_path):
     at = save(spark, tmp_path, "scan_pages", pages, "page_id long, raw_text string")
     got = {r.page_id: r.warning for r in text_plans.page_quality(spark, at).collect()}
     assert got == {120: None, 121: None, 122: "low_char_count", 123: "empty_page", 124: "empty_page", 125: None, 240: None}
+
+
+def test_nested_items_of_scanned_sections(spark, tmp_path):
+    sections = [(i, "(a) one\n(b) two", ocr) for i, ocr in enumerate((True, None, False))]
+    at = save(spark, tmp_path, "order_sections", sections, "rec_id long, content string, ocr_text boolean")
+    got = sorted((r.rec_id, r.path) for r in text_plans.nested_items(spark, at).collect())
+    assert got == [(i, p) for i in range(3) for p in "ab"]
