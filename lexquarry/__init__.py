@@ -1,3 +1,3 @@
 """lexquarry: a Spark-native engine for structuring collections of legal documents."""
 
-__version__ = "0.1.0"
+VERSION = __version__ = "0.2.0"

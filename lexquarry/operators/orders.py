@@ -1,169 +1,147 @@
-"""From cleaned order texts to order records."""
+"""From cleaned order texts to order records, all in Column expressions but for nested enumerations."""
 
 from __future__ import annotations
 
-import datetime as dt
-import re
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
+from lexquarry import VERSION
 from lexquarry.functions import dates, refs
+from lexquarry.functions.binding import let
 from lexquarry.functions.text import mostly_capitals, squeeze, strip
 from lexquarry.operators import blocks
-
-HEADER = r"(?i)^\s*(?:department\s+order|d\.?\s*o\.?)\s*no\.?\s*[0-9]"
-BODY_HEAD = r"^(?:RULE|PART|SECTION|ARTICLE|[A-Z]\.)\s"
-OFFICIAL = r"(?i)^\s*(?:officer[- ]in[- ]charge|secretary)\b"
+from lexquarry.operators.lists import items_of
+
+#: Words that sign an order, that open its signature block, and that put it into effect.
+SIGNING_WORDS = ["signed", "done", "issued", "approved", r"manila,\s+philippines"]
+BLOCK_WORDS = ["done", "signed", "given", "issued", "approved", r"manila,\s+philippines"]
+EFFECT_PHRASES = ["shall take effect", "shall become effective", "shall be effective", "takes effect"]
+#: Verbs by which one order changes another.
+AMENDING_VERBS = [
+    "amend", "amends", "amended", "amending", "superseding", "supersedes", "superseded", "repealing", "repeals", "repealed",
+    "revoking", "revokes", "revoked", "modifying", "modifies", "modified",
+]
+#: Who signs an order, and who issues it if no one is named.
+OFFICIALS = ["secretary", "officer-in-charge", "officer in charge"]
 DEFAULT_AUTHORITY = "Department of Labor and Employment"
-#: How many lines are looked at for a title, and how many it may have.
+#: Words in capitals that open a body, and how many lines are looked at for a title and how many it may have.
+BODY_WORDS = ["RULE", "PART", "SECTION", "ARTICLE"]
 COVER_LINES, TITLE_LINES = 60, 8
 #: Fixed values, in bytes: the tail with a signature block and its date, the reach of a signing verb, the
 #: tail searched without one, and the reach of an amending verb.
 SIGNATURE_TAIL, SIGNATURE_DATE, SIGNING_REACH, DATE_TAIL, AMENDING_REACH = 3000, 300, 120, 2000, 200
-SIGNING = re.compile(r"\b(?:signed|done|issued|approved|manila,\s+philippines)\b", re.I)
-SIGNATURE = re.compile(r"^[ \t]*(?:done|signed|given|issued|approved|manila,\s+philippines)\b", re.I | re.M)
-EFFECT = re.compile(r"\b(?:shall\s+take\s+effect|shall\s+(?:become|be)\s+effective|takes\s+effect)\b", re.I)
-AMENDING = re.compile(r"\b(?:amend(?:ing|s|ed)?|supersed(?:ing|es|ed)|repeal(?:ing|s|ed)|revok(?:ing|es|ed)|modif(?:ying|ies|ied))\b", re.I)
-_DATES = [(re.compile(dates.MONTH_FIRST), (3, 1, 2)), (re.compile(dates.DAY_FIRST), (3, 2, 1))]
-_ORDERS = [re.compile(refs.DASHED), re.compile(refs.SERIES)]
 #: Abbreviations after which a full stop ends no sentence.
-CITING = {"no", "nos", "sec", "art", "rep", "s"}
-NOTE_CITING = {"No", "Nos", "Sec", "Secs", "Art", "Arts", "Par", "Pars", "Blg", "Rep", "Inc", "Co", "vs"}
-
-
-def byte_slice(text: str, start: int, end: int) -> str:
-    """The characters that the byte range touches."""
-    data = text.encode()
-    start, end = max(0, start), min(len(data), end)
-    while start > 0 and start < len(data) and data[start] & 0xC0 == 0x80:
-        start -= 1
-    while end < len(data) and data[end] & 0xC0 == 0x80:
-        end += 1
-    return data[start:end].decode()
-
-
-def _at_byte(text: str, char: int) -> int:
-    return len(text[:char].encode())
-
-
-def first_date(text: str) -> dt.date | None:
-    """As :func:`lexquarry.functions.dates.first_date`, for use inside Python operators."""
-    best = None
-    for pattern, (y, m, d) in _DATES:
-        if hit := pattern.search(text):
-            try:
-                month = "janfebmaraprmayjunjulaugsepoctnovdec".index(hit[m][:3].lower()) // 3 + 1
-                day = dt.date(int(hit[y]), month, int(hit[d]))
-            except ValueError:
-                continue
-            if best is None or hit.start() < best[0]:
-                best = hit.start(), day
-    return best and best[1]
-
-
-def signature_start(text: str) -> int | None:
-    """Where the signature block begins: a signing line near the end that a date follows."""
-    size = len(text.encode())
-    for m in SIGNATURE.finditer(text):
-        at = _at_byte(text, m.start())
-        if at >= size - SIGNATURE_TAIL and first_date(byte_slice(text, at, at + SIGNATURE_DATE)):
-            return m.start()
-    return None
-
-
-def signed_date(text: str) -> dt.date | None:
-    """The date after the last signing verb that has one, else the first on the last page."""
-    for m in reversed(list(SIGNING.finditer(text))):
-        at = _at_byte(text, m.end())
-        if found := first_date(byte_slice(text, at, at + SIGNING_REACH)):
-            return found
-    size = len(text.encode())
-    return first_date(byte_slice(text, size - DATE_TAIL, size))
-
-
-def enclosing_sentence(text: str, start: int, end: int) -> str:
-    """The sentence around a span, between full stops that end no citation, or blank lines."""
-
-    def stops(dot: int) -> bool:
-        after = text[dot + 1 : dot + 2]
-        word = re.search(r"[^\W_]*$", text[:dot]).group()
-        return (not after or after.isspace()) and word.lower() not in CITING
-
-    a = next((i + 1 for i in range(start - 1, -1, -1) if text[i] == "." and stops(i) or text[i] == "\n" and text[i - 1 : i] == "\n"), 0)
-    b = len(text)
-    for i in range(end, len(text)):
-        if text[i] == "." and stops(i):
-            b = i + 1
-            break
-        if text[i] == "\n" and text[i + 1 : i + 2] == "\n":
-            b = i
-            break
-    return text[a:b].strip().lstrip("—–-").strip()
-
-
-def first_sentence(text: str) -> str:
-    """Up to the first full stop before white space that follows neither an initial nor a citation."""
-    for m in re.finditer(r"\.(?=\s|$)", text):
-        word = re.search(r"[^\W_]*$", text[: m.start()]).group()
-        if not (len(word) == 1 and word.isalpha()) and word not in NOTE_CITING:
-            return text[: m.end()]
-    return text
+CITING = ["no", "nos", "sec", "art", "rep", "s"]
+NOTE_CITING = ["No", "Nos", "Sec", "Secs", "Art", "Arts", "Par", "Pars", "Blg", "Rep", "Inc", "Co", "vs"]
+
+
+#: Who made a record: the library and its version, never a time.
+PARSER = f"lexquarry {VERSION}"
+
+
+def _any(words: list[str]) -> str:
+    return "(?:" + "|".join(w.replace(" ", r"\s+") for w in words) + ")"
+
+
+def _bytes_of(text: Column, start: int, size: int) -> Column:
+    """A byte range of a text, from 1 or from the end; a character that it cuts is replaced."""
+    return F.decode(F.substring(F.encode(text, "UTF-8"), start, size), "UTF-8")
+
+
+def head_bytes(text: Column, size: int) -> Column:
+    return _bytes_of(text, 1, size)
+
+
+def tail_bytes(text: Column, size: int) -> Column:
+    return F.when(F.octet_length(text) <= size, text).otherwise(_bytes_of(text, -size, size))
+
+
+def signature_parts(text: Column) -> Column:
+    """(body, block): the text before the signature block, and the block; a text without one is all body.
+
+    The block begins at a line that opens with a word of signing, near the end of the text and with a
+    date soon after; the first such line counts.
+    """
+
+    def cut(parts: Column) -> Column:
+        rest = lambda i: F.array_join(F.slice(parts, i + 1, F.size(parts)), "")
+        opens = lambda i: parts[i].rlike(rf"(?i)^[ \t]*{_any(BLOCK_WORDS)}\b") & (F.octet_length(rest(i)) <= SIGNATURE_TAIL) & dates.first_date(head_bytes(rest(i), SIGNATURE_DATE)).isNotNull()
+        first = F.get(F.filter(F.sequence(F.lit(0), F.size(parts) - 1), opens), F.lit(0))
+        return let(F.coalesce(first, F.size(parts)), lambda i: F.struct(F.array_join(F.slice(parts, F.lit(1), i), "").alias("body"), rest(i).alias("block")))
+
+    return let(F.split(text, rf"(?mi)^(?=[ \t]*{_any(BLOCK_WORDS)}\b)"), cut)
+
+
+def signed_date_of(text: Column) -> Column:
+    """The date soon after the last word of signing that has one, else the first near the end of the text.
+
+    Cut at these words, every piece but the first is what follows one of them.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    after = F.split(text, rf"(?i)\b{_any(SIGNING_WORDS)}\b")
+    found = let(after, lambda ps: F.filter(F.transform(F.slice(ps, F.lit(2), F.size(ps)), lambda p: dates.first_date(head_bytes(p, SIGNING_REACH))), lambda d: d.isNotNull()))
+    return F.coalesce(let(found, lambda ds: F.get(ds, F.size(ds) - 1)), dates.first_date(tail_bytes(text, DATE_TAIL)))
+
 
+def _stop(citing: list[str]) -> str:
+    """The empty place behind a full stop that ends a sentence."""
+    return rf"(?<=\.)(?<!\b(?:{'|'.join(citing)})\.)(?=\s|$)"
 
-def effectivity_clause(titled: str | None, text: str) -> str | None:
-    """The sentence with the last effectivity phrase, of the section titled so if there is one."""
-    where = text if titled is None else titled
-    hits = list(EFFECT.finditer(where))
-    return " ".join(enclosing_sentence(where, hits[-1].start(), hits[-1].end()).split()) if hits else None
 
+def effectivity_clause_of(titled: Column, text: Column) -> Column:
+    """The sentence with the last effectivity phrase, of the section titled so if there is one.
 
-def superseded(text: str, own: str | None) -> list[str]:
-    """Orders named near an amending verb, in its paragraph; those merely cited "as amended" are not meant."""
-    out: list[str] = []
-    for m in AMENDING.finditer(text):
-        if text[max(0, m.start() - 40) : m.start()].lower().rstrip().endswith(" as"):
-            continue
-        a = text.rfind("\n\n", 0, m.start())
-        b = text.find("\n\n", m.end())
-        a, b = _at_byte(text, a + 2 if a >= 0 else 0), _at_byte(text, b if b >= 0 else len(text))
-        around = byte_slice(text, max(a, _at_byte(text, m.start()) - AMENDING_REACH), min(b, _at_byte(text, m.end()) + AMENDING_REACH))
-        for pattern in _ORDERS:
-            for hit in pattern.finditer(around):
-                name = "-".join(["DO", hit[1], *([hit[2].upper()] if hit[2] else []), hit[3][-2:]])
-                if name != own and name not in out:
-                    out.append(name)
-    return out
+    Sentences end at full stops that end no citation, and at blank lines.
+    """
+    where = F.coalesce(titled, text)
+    phrase = rf"(?i)\b{_any(EFFECT_PHRASES)}\b"
+    sentences = F.split(where, rf"{_stop([f'(?i:{w})' for w in CITING])}|\n\n")
+    last = let(F.filter(sentences, lambda s: s.rlike(phrase)), lambda ss: F.get(ss, F.size(ss) - 1))
+    return squeeze(F.regexp_replace(strip(last), "^[—–-]+", ""))
 
 
-@F.pandas_udf(T.DateType())
-def signed_date_of(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: signed_date(t) if t is not None else None)
+def first_sentence_of(text: Column) -> Column:
+    """Up to the first full stop before white space that follows neither an initial nor a citation."""
+    return F.get(F.split(text, _stop([r"\p{L}", *NOTE_CITING]), 2), F.lit(0))
 
 
-@F.pandas_udf(T.IntegerType())
-def signature_start_of(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: signature_start(t) if t is not None else None).astype("Int32")
+def superseded_of(text: Column, own: Column) -> Column:
+    """Orders named near an amending verb, in its paragraph; those merely cited "as amended" are not meant.
 
+    Cut at the verbs, an order is near one if it stands near the cut end of a piece.
+    """
+    verb = rf"(?i)(?<!\bas\s{{1,3}})\b{_any(AMENDING_VERBS)}\b"
 
-@F.pandas_udf(T.StringType())
-def effectivity_clause_of(titled: pd.Series, texts: pd.Series) -> pd.Series:
-    return pd.Series([effectivity_clause(a, b) if b is not None else None for a, b in zip(titled, texts)], dtype=object)
+    def near(pieces: Column) -> Column:
+        def ids(p: Column, i: Column) -> Column:
+            none = F.array().cast("array<struct<form:string,id:string>>")
+            left = F.when(i > 0, refs.mentions(head_bytes(p, AMENDING_REACH))).otherwise(none)
+            right = F.when(i + 1 < F.size(pieces), refs.mentions(tail_bytes(p, AMENDING_REACH))).otherwise(none)
+            return F.concat(left, right)
 
+        return F.flatten(F.transform(pieces, ids))
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def superseded_of(texts: pd.Series, own: pd.Series) -> pd.Series:
-    return pd.Series([superseded(t, o) if t is not None else None for t, o in zip(texts, own)])
+    found = F.flatten(F.transform(F.split(text, "\n\n"), lambda p: let(F.split(p, verb), near)))
+    return let(found, lambda ms: F.array_distinct(F.filter(F.concat(refs.ids_of(ms, refs.DASHED), refs.ids_of(ms, refs.SERIES)), lambda x: own.isNull() | (x != own))))
 
 
-@F.pandas_udf(T.StringType())
-def first_sentence_of(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: first_sentence(t) if t is not None else None)
+def supersession(edges: DataFrame, newer: str = "order_key", older: str = "superseded") -> DataFrame:
+    """(newer, older, distance): every order that an order replaces, directly or through others.
 
+    The edges are walked from both ends at once, so a chain of n orders takes log(n) rounds; each
+    round is cut with a checkpoint. A cycle ends the walk, as no pair gets a shorter way.
+    """
+    from lexquarry.session import cut
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def first_sentences_of(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda ts: None if ts is None else [first_sentence(t) for t in ts])
+    known = cut(edges.where(F.col(newer) != F.col(older)).groupBy(newer, older).agg(F.lit(1).alias("distance")))
+    n = known.count()
+    while True:
+        a = known.select(newer, F.col(older).alias("_mid"), F.col("distance").alias("_d"))
+        b = known.select(F.col(newer).alias("_mid"), older, "distance")
+        longer = a.join(b, "_mid").where(F.col(newer) != F.col(older)).select(newer, older, (F.col("_d") + F.col("distance")).alias("distance"))
+        known = cut(known.unionByName(longer).groupBy(newer, older).agg(F.min("distance").alias("distance")))
+        before, n = n, known.count()
+        if n == before:
+            return known
 
 
 def title_of(text: Column) -> Column:
@@ -177,9 +155,9 @@ def title_of(text: Column) -> Column:
     def step(s: Column, line: Column) -> Column:
         bare = strip(line)
         skip = (bare == "") | F.lower(bare).startswith("series of")
-        over = bare.rlike(BODY_HEAD) | ~skip & (~mostly_capitals(bare) | (F.size(s["found"]) >= TITLE_LINES))
+        over = bare.rlike(rf"^(?:{_any(BODY_WORDS)}|[A-Z]\.)\s") | ~skip & (~mostly_capitals(bare) | (F.size(s["found"]) >= TITLE_LINES))
         keep = (s["phase"] == 1) & ~skip & ~over
-        phase = F.when(s["phase"] == 0, line.rlike(HEADER).cast("int")).when((s["phase"] == 1) & over & (bare != ""), 2).otherwise(s["phase"])
+        phase = F.when(s["phase"] == 0, line.rlike(rf"(?i)^\s*{refs.ORDER_HEAD}[0-9]").cast("int")).when((s["phase"] == 1) & over & (bare != ""), 2).otherwise(s["phase"])
         return F.struct(phase.alias("phase"), F.when(keep, F.concat(s["found"], F.array(bare))).otherwise(s["found"]).alias("found"))
 
     return F.nullif(F.aggregate(lines, start, step, lambda s: F.array_join(s["found"], " ")), F.lit(""))
@@ -199,33 +177,51 @@ def authority_of(text: Column) -> Column:
         waiting = s["line"].isNotNull() & (bare != "") & ~s["over"]
         fits = waiting & mostly_capitals(bare) & (F.size(F.split(squeeze(bare), " ")) >= 2)
         found = F.when(fits, F.concat(bare, F.lit(", "), s["line"])).otherwise(s["found"])
-        line = F.when(raw.rlike(OFFICIAL) & ~fits, bare).when(waiting, none).otherwise(s["line"])
+        line = F.when(raw.rlike(rf"(?i)^\s*{_any(OFFICIALS)}\b") & ~fits, bare).when(waiting, none).otherwise(s["line"])
         return F.struct(line.alias("line"), found.alias("found"), (s["over"] | fits).alias("over"))
 
     return F.aggregate(lines, start, step, lambda s: s["found"])
 
 
+def problems(docs: DataFrame) -> DataFrame:
+    """(doc_id, problem) of docs (doc_id, text, order_number and, of the manifest entry they belong to, entry_id and entry_kind).
+
+    A document without text, without a number, or with an entry of another kind or another id.
+    """
+    rules = {
+        "no_text": F.coalesce(strip(F.col("text")), F.lit("")) == "", "no_order_number": F.col("order_number").isNull(),
+        "entry_of_other_kind": F.col("entry_kind") != "dole_order", "entry_of_other_id": F.col("entry_id") != F.col("order_number"),
+    }
+    broken = F.array_compact(F.array(*[F.when(F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()]))
+    return docs.select("doc_id", F.explode(broken).alias("problem"))
+
+
 def order_records(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(orders, sections) of docs (doc_id, file_name, text, published): the whole pipeline of one order.
 
-    Texts are cleaned already. The body ends where the signature block begins.
+    Texts are cleaned already. The body ends where the signature block begins. ``info_title``,
+    ``source_url``, ``sha256`` and ``superseded_by`` are used where docs have them. A document is one
+    row from end to end, so nothing is exchanged.
     """
-    docs = docs.withColumn("order_number", refs.order_number(F.col("text"), F.col("file_name"))).withColumn("cut", signature_start_of("text"))
-    body = docs.select("doc_id", F.when(F.col("cut").isNotNull(), F.substr("text", F.lit(1), F.col("cut"))).otherwise(F.col("text")).alias("text"))
-    parts = blocks.sections(body)
-    bare = body.join(parts.select("doc_id").distinct(), "doc_id", "left_anti")
-    full = bare.select("doc_id", F.lit(1).cast("bigint").alias("ord"), F.lit("Full Text").alias("section_number"), F.lit(None).cast("string").alias("title"), F.col("text").alias("content"))
-    out = parts.select("doc_id", F.col("ord").cast("bigint").alias("ord"), "section_number", "title", "content").unionByName(full)
-    titled = out.where(F.lower("title").contains("effectiv")).groupBy("doc_id").agg(F.max_by("content", "ord").alias("titled"))
-    orders = (
-        docs.join(titled, "doc_id", "left")
-        .withColumn("title", F.coalesce(title_of(F.col("text")), F.concat(F.lit("Department Order "), F.regexp_replace("order_number", "^DO-", ""))))
-        .withColumn("signed_date", signed_date_of("text")).withColumn("effectivity_clause", effectivity_clause_of("titled", "text"))
+    optional = {c: F.col(c) if c in docs.columns else F.lit(None).cast("string") for c in ("info_title", "source_url", "sha256", "superseded_by")}
+    rows = docs.withColumns(optional).where(F.coalesce(strip(F.col("text")), F.lit("")) != "")
+    rows = rows.withColumn("order_number", refs.order_number(F.col("text"), F.col("file_name"))).withColumn("body", signature_parts(F.col("text"))["body"])
+    parts = blocks.sections(rows.select("doc_id", F.col("body").alias("text")))
+    parts = parts.select("doc_id", "ord", "section_number", "title", "content")
+    whole = rows.where(F.size(blocks.blocks_in(F.col("body"))) == 0).select(
+        "doc_id", F.lit(1).cast("bigint").alias("ord"), F.lit("Full Text").alias("section_number"), F.lit(None).cast("string").alias("title"), F.col("body").alias("content"))
+    out = parts.unionByName(whole).withColumn("subsections", items_of(F.col("content")))
+    titled = F.filter(blocks.blocks_in(F.col("body")), lambda b: F.lower(b["title"]).contains("effectiv"))
+    found = (
+        rows.withColumn("titled", let(titled, lambda ts: F.get(ts, F.size(ts) - 1)["content"]))
+        .withColumn("title", F.coalesce(title_of(F.col("text")), "info_title", F.concat(F.lit("Department Order "), F.regexp_replace("order_number", "^DO-", ""))))
+        .withColumn("signed_date", signed_date_of(F.col("text"))).withColumn("effectivity_clause", effectivity_clause_of(F.col("titled"), F.col("text")))
         .select(
-            "doc_id", "order_number", "title", "signed_date", F.col("published").alias("published_date"), "effectivity_clause",
+            "doc_id", "order_number", "title", "source_url", "signed_date", F.col("published").alias("published_date"), "effectivity_clause",
             dates.effective_date(F.col("effectivity_clause"), F.col("published"), F.col("signed_date")).alias("effective_date"),
             F.coalesce(authority_of(F.col("text")), F.lit(DEFAULT_AUTHORITY)).alias("issuing_authority"),
-            superseded_of("text", "order_number").alias("supersedes"), refs.laws(F.col("text")).alias("related_laws"), refs.tags(F.col("text"), F.col("title")).alias("tags"),
+            superseded_of(F.col("text"), F.col("order_number")).alias("supersedes"), refs.laws(F.col("text")).alias("related_laws"), refs.tags(F.col("text"), F.col("title")).alias("tags"),
+            "superseded_by", F.struct(F.col("sha256").alias("source_sha256"), F.lit(PARSER).alias("parser")).alias("provenance"),
         )
     )
-    return orders, out
+    return found, out

@@ -2,126 +2,129 @@
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexquarry.functions import dates, refs
-from lexquarry.functions.text import capital_heading, squeeze, strip
+from lexquarry.functions.binding import let
+from lexquarry.functions.text import capital_heading, squeeze, strip, upper_median
 from lexquarry.operators.blocks import heading, longest
-from lexquarry.operators.orders import first_sentences_of
+from lexquarry.operators.lists import items_of
+from lexquarry.operators.orders import PARSER, first_sentence_of
 
-#: The books as they are shown.
+#: The books as they are shown, and how their numbers are printed.
 BOOKS = [
     "Preliminary Title", "Book I: Pre-Employment", "Book II: Human Resources Development", "Book III: Conditions of Employment",
     "Book IV: Health, Safety and Social Welfare Benefits", "Book V: Labor Relations", "Book VI: Post-Employment", "Book VII: Transitory and Final Provisions",
 ]
 NUMERALS = [["ONE", "I", "1"], ["TWO", "II", "2"], ["THREE", "III", "3"], ["FOUR", "IV", "4"], ["FIVE", "V", "5"], ["SIX", "VI", "6"], ["SEVEN", "VII", "7"]]
-BOOK = r"^\s*(?:BOOK|Book)\s+(ONE|One|TWO|Two|THREE|Three|FOUR|Four|FIVE|Five|SIX|Six|SEVEN|Seven|VII|VI|IV|V|III|II|I|[1-7])\s*(?:$|[-.:–—])"
-TITLE = r"^\s*(?:TITLE|Title)\s+([IVXLCDM]{1,7}(?:-[A-Z])?|[0-9]{1,2})(?:\s*[.:–—-]\s*(.*)|\s*)$"
-CHAPTER = r"^\s*(?:CHAPTER|Chapter)\s+([IVXLCDM]{1,7}|[0-9]{1,2})(?:\s*[.:–—-]\s*(.*)|\s*)$"
-PRELIMINARY = r"^\s*PRELIMINARY\s+TITLE\s*$"
-CONTENTS = r"^\s*(?:BOOK|Book|TITLE|Title|CHAPTER|Chapter|PRELIMINARY\s+TITLE)\b.*\S[ \t]+[0-9]{1,3}\s*$"
-ARTICLE = r"^\s*(?:ART(?:ICLE)?|Art(?:icle)?)\.?\s+([0-9]{1,3})\s*[.:]\s*(?:\[([0-9]{1,3})\]\s*)?(.*)$"
-GLUED = r"([.;:)\]”])[ \t]+((?:Chapter|Title)\s+[IVXLCDM]+\s+[–—-]\s+[A-Z]{2})"
+#: The general shape of a header line: a word, a number, a separator, the rest. What it heads is told by the word.
+SHAPE = r"^\s*([A-Za-z]+)\.?\s+([0-9]{1,3}|[A-Za-z]+(?:-[A-Z])?)(?![A-Za-z0-9])(\s*[-.:–—])?\s*(.*)$"
+#: The words of headers.
+HEADERS = {"BOOK": "book", "TITLE": "title", "CHAPTER": "chapter", "ART": "article", "ARTICLE": "article"}
 #: A reference to a footnote, between two characters for private use that no text has.
 OPEN, CLOSE = "\ue000", "\ue001"
 TOKEN = f"{OPEN}([0-9]+){CLOSE}"
-NOTE = re.compile(r"^\s*([0-9]{1,3})[ \t]+([A-Z\"“(\[].*)$")
-MARK = re.compile(r"([A-Za-z.,;:)\]”’])([0-9]{1,3})\b|(?m:^)([0-9]{1,3})(?m:$)")
+#: A line that may open a note, and a number that may refer to one.
+NOTE = r"^\s*([0-9]{1,3})[ \t]+(?=[A-Z\"“(\[])"
+MARK = r"(?m)(?<=[A-Za-z.,;:)\]”’])[0-9]{1,3}\b|^[0-9]{1,3}$"
 #: How far footnote numbers may jump, how much wider notes are set, which lines are measured.
 GAP, WIDER, MEASURED = 3, 1.3, 20
-INSERTED = r"(?i)\(\s*((?:as\s+)?(?:amended|inserted|added|incorporated)\s+by\b[^)]*)\)"
-INSERTION = r"(?i)^\s*(?:as\s+)?(?:inserted|added|incorporated)\b"
-AMENDS = r"(?i)^\s*(?:as\s+)?(?:amended|inserted|added|incorporated)\b"
+#: Verbs that begin a note on a change of the law; all but the first insert something new.
+AMENDED, INSERTING = "amended", ["inserted", "added", "incorporated"]
 
 
 # --- footnotes -----------------------------------------------------------------------------------
-def _opens(line: str, expected: int):
-    m = NOTE.match(line)
-    return (int(m[1]), m[2]) if m and expected <= int(m[1]) <= expected + GAP else None
-
-
-def _upper_median(values: list[int]) -> int | None:
-    return sorted(values)[len(values) // 2] if values else None
-
-
-def _widths(lines) -> list[int]:
-    return [n for x in lines if (n := len(x.strip())) >= MEASURED]
-
-
-def _pass(units: list[str], width: int | None):
-    """One pass over the pages: (bodies, notes, widths of note lines, widths of body lines)."""
-    bodies, notes, note_widths, body_widths = [], {}, [], []
-    expected, open_note = 1, None
-    for unit in units:
-        lines = unit.split("\n")
-        area = next((i for i, x in enumerate(lines) if _opens(x, expected)), len(lines))
-        end = area
-        while width is not None and open_note is not None:
-            filled = [i for i in range(end) if lines[i].strip()]
-            if not filled:
-                break
-            top = filled[-1]
-            while top > 0 and lines[top - 1].strip():
-                top -= 1
-            paragraph = lines[top : filled[-1] + 1]
-            if len(paragraph) < 2 or (_upper_median(_widths(paragraph)) or 0) < width:
-                break
-            end = top
-        if open_note is not None and end < area:
-            notes[open_note] = " ".join(x for x in [notes[open_note], *(" ".join(y.split()) for y in lines[end:area])] if x)
-        current = None
-        for line in lines[area:]:
-            if hit := _opens(line, expected):
-                current, text = hit
-                notes[current] = " ".join(text.split())
-                expected = current + 1
-                note_widths += _widths([text])
-            else:
-                notes[current] = " ".join(x for x in (notes[current], " ".join(line.split())) if x)
-                note_widths += _widths([line])
-        body_widths += _widths(lines[:end])
-        if "".join(lines[:end]).strip():
-            bodies.append("\n".join(lines[:end]))
-        open_note = current if current is not None else open_note if end == 0 and area > 0 else None
-    return bodies, notes, note_widths, body_widths
-
-
-def split_notes(units: list[str]) -> tuple[str, dict[int, str]]:
-    """(running text with marked references, notes by number) of the pages of one document."""
-    _, _, notes, body = _pass(units, None)
-    wide, narrow = _upper_median(notes), _upper_median(body)
-    threshold = (wide + narrow) // 2 if wide and narrow and wide >= WIDER * narrow else None
-    bodies, found, _, _ = _pass(units, threshold)
-    expected = 1
-
-    def mark(m: re.Match) -> str:
-        nonlocal expected
-        n = int(m[2] or m[3])
-        if n not in found or not expected <= n <= expected + GAP:
-            return m[0]
-        expected = n + 1
-        return f"{m[1] or ''}{OPEN}{n}{CLOSE}"
-
-    return MARK.sub(mark, "\n".join(bodies)), found
+def _chain(candidates: Column, may=lambda x: F.lit(True)) -> Column:
+    """The elements of an ordered array (with number ``n``) that go on counting: none jumps back or further than ``GAP``."""
+    start = F.struct(F.lit(1).alias("next"), F.array().cast("array<int>").alias("kept"))
+
+    def fold(cs: Column) -> Column:
+        def step(s: Column, i: Column) -> Column:
+            c = F.get(cs, i)
+            fits = (c["n"] >= s["next"]) & (c["n"] <= s["next"] + GAP) & may(c)
+            return F.struct(F.when(fits, c["n"] + 1).otherwise(s["next"]).alias("next"), F.when(fits, F.concat(s["kept"], F.array(i))).otherwise(s["kept"]).alias("kept"))
+
+        places = F.when(F.size(cs) > 0, F.sequence(F.lit(0), F.size(cs) - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(F.aggregate(places, start, step, lambda s: s["kept"]), lambda i: F.get(cs, i))
+
+    return let(candidates, fold)
+
+
+def _widths(lines: Column) -> Column:
+    return F.filter(F.transform(lines, lambda x: F.char_length(strip(x))), lambda n: n >= MEASURED)
+
+
+def note_units(pages: DataFrame, doc: str) -> DataFrame:
+    """(doc, page_no, lines): the pages of each document; of a document with one page its paragraphs."""
+    many = F.count("*").over(Window.partitionBy(doc)) > 1
+    units = F.when(F.col("_many"), F.array("content")).otherwise(F.split("content", "\n{2,}", -1))
+    return (
+        pages.select(doc, F.col("page_no").cast("long").alias("_p"), "content", many.alias("_many")).select(doc, "_p", F.posexplode(units).alias("_u", "unit"))
+        .select(doc, F.struct("_p", "_u").alias("page_no"), F.split("unit", "\n", -1).alias("lines"))
+    )
 
 
 def footnotes(pages: DataFrame, doc: str = "doc_id") -> DataFrame:
     """(doc, text, note_number, note_text): the marked text in a row without a number, and the notes.
 
-    State runs across the pages of a document, so this is one Python group per document.
+    1. Lines that may open a note are counted through over the pages of a document; the area of notes
+       of a page begins at the first that counts and is shared out among them.
+    2. Notes are set wider than the text. Paragraphs of that width that end the text of a page belong
+       to the note that was open at the end of the page before: the last one there, or, if that page
+       was taken up whole, the one open before it (windows over the pages).
+    3. The rest of the pages is the text; numbers in it that count through the notes found become references.
     """
-    key = pages.schema[doc].dataType.simpleString()
-
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("page_no")
-        text, notes = split_notes(pdf["content"].tolist())
-        rows = [(pdf[doc].iloc[0], text, None, None), *((pdf[doc].iloc[0], None, n, t) for n, t in sorted(notes.items()))]
-        return pd.DataFrame(rows, columns=[doc, "text", "note_number", "note_text"]).astype({"note_number": "Int32"})
-
-    return pages.select(doc, "page_no", "content").groupBy(doc).applyInPandas(work, f"{doc} {key}, text string, note_number int, note_text string")
+    units = note_units(pages, doc)
+    opens = F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("i"), F.regexp_extract(x, NOTE, 1).try_cast("int").alias("n"))), lambda c: c["n"].isNotNull())
+    units = units.withColumn("opens", opens)
+    listed = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "opens"))), lambda p: F.transform(p["opens"], lambda c: F.struct(p["page_no"].alias("page_no"), c["i"].alias("i"), c["n"].alias("n")))))
+    chains = units.groupBy(doc).agg(listed.alias("c")).select(doc, _chain(F.col("c")).alias("counted"))
+    units = units.join(chains, doc).withColumn("own", F.filter("counted", lambda c: c["page_no"] == F.col("page_no"))).drop("counted", "opens")
+    area = F.coalesce(F.get("own", F.lit(0))["i"], F.size("lines"))
+
+    def note(c: Column, k: Column) -> Column:
+        end = F.coalesce(F.get("own", k + 1)["i"], F.size("lines"))
+        first = F.regexp_replace(F.get("lines", c["i"]), NOTE, "")
+        return F.struct(c["n"].alias("n"), F.concat(F.array(first), F.slice("lines", c["i"] + 2, end - c["i"] - 1)).alias("lines"))
+
+    units = units.select(doc, "page_no", F.transform("own", note).alias("notes"), F.slice("lines", F.lit(1), area).alias("body"))
+    measured = units.groupBy(doc).agg(
+        upper_median(F.flatten(F.collect_list(_widths(F.flatten(F.transform("notes", lambda n: n["lines"])))))).alias("wide"), upper_median(F.flatten(F.collect_list(_widths(F.col("body"))))).alias("narrow")
+    ).select(doc, F.when(F.col("wide") >= WIDER * F.col("narrow"), F.floor((F.col("wide") + F.col("narrow")) / 2)).alias("least"))
+    paragraphs = F.regexp_extract_all(F.array_join("body", "\n"), F.lit(r"(?s).+?(?:\n(?:[ \t]*\n)+|\z)"), F.lit(0))
+
+    def is_wide(p: Column) -> Column:
+        lines = F.filter(F.split(p, "\n"), lambda x: strip(x) != "")
+        return (F.size(lines) >= 2) & F.coalesce(upper_median(_widths(lines)) >= F.col("least"), F.lit(False))
+
+    last_narrow = F.array_max(F.transform("pars", lambda p, i: F.when(~is_wide(p), i)))
+    units = units.join(measured, doc).withColumn("pars", paragraphs).withColumn("keep", F.coalesce(last_narrow + 1, F.lit(0)))
+    in_order = Window.partitionBy(doc).orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1)
+    taken_whole = (F.size("notes") == 0) & (F.col("keep") == 0) & (F.size("pars") > 0) & (strip(F.get("body", F.lit(0))) != "")
+    state = F.when(~taken_whole, F.struct(F.get("notes", F.size("notes") - 1)["n"].alias("n")))
+    units = units.withColumn("open", F.last(state, ignorenulls=True).over(in_order)["n"]).withColumn("keep", F.when(F.col("open").isNull(), F.size("pars")).otherwise(F.col("keep")))
+    kept = F.array_join(F.slice("pars", F.lit(1), F.col("keep")), "")
+    units = units.withColumn("kept", F.when(F.col("keep") < F.size("pars"), F.regexp_replace(kept, "\n\\z", "")).otherwise(kept))
+    spilt = F.when(F.col("keep") < F.size("pars"), F.array(F.struct(F.col("open").alias("n"), F.slice("pars", F.col("keep") + 1, F.size("pars")).alias("lines")))).otherwise(F.array().cast("array<struct<n:int,lines:array<string>>>"))
+    pieces = units.select(doc, "page_no", F.explode(F.concat(spilt, "notes")).alias("x")).select(doc, "page_no", F.col("x.n").alias("n"), squeeze(F.array_join("x.lines", " ")).alias("t"))
+    notes = pieces.groupBy(doc, "n").agg(F.array_sort(F.collect_list(F.struct("page_no", "t"))).alias("t")).select(
+        doc, F.lit(None).cast("string").alias("text"), F.col("n").alias("note_number"), F.array_join(F.filter(F.transform("t", lambda x: x["t"]), lambda x: x != ""), " ").alias("note_text"))
+    bodies = units.where(strip(F.col("kept")) != "").groupBy(doc).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "kept"))), lambda x: x["kept"]), "\n").alias("text"))
+    known = notes.groupBy(doc).agg(F.collect_set("note_number").alias("known"))
+    texts = units.select(doc).distinct().join(bodies, doc, "left").join(known, doc, "left").select(
+        doc, marked(F.coalesce("text", F.lit("")), F.coalesce("known", F.array().cast("array<int>"))).alias("text"), F.lit(None).cast("int").alias("note_number"), F.lit(None).cast("string").alias("note_text"))
+    return texts.unionByName(notes)
+
+
+def marked(text: Column, known: Column) -> Column:
+    """The text with the numbers that count through the known notes as references."""
+
+    def joined(numbers: Column) -> Column:
+        places = F.transform(_chain(F.transform(numbers, lambda n, i: F.struct(i.alias("i"), n.cast("int").alias("n"))), lambda c: F.array_contains(known, c["n"])), lambda c: c["i"])
+        shown = lambda ps: F.transform(numbers, lambda n, i: F.when(F.array_contains(ps, i), F.concat(F.lit(OPEN), n.cast("int"), F.lit(CLOSE))).otherwise(n))
+        return F.array_join(F.zip_with(F.split(text, MARK, -1), let(places, shown), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+
+    return let(F.regexp_extract_all(text, F.lit(MARK), F.lit(0)), joined)
 
 
 def note_references(c: Column) -> Column:
@@ -132,6 +135,28 @@ def without_references(c: Column) -> Column:
     return F.regexp_replace(c, TOKEN, "")
 
 
+def leading_verb(note: Column) -> Column:
+    """The first word of a note, "as" left out, in lower case."""
+    return F.regexp_extract(F.lower(note), r"^\s*(?:as\s+)?(\p{L}+)", 1)
+
+
+def amends(note: Column) -> Column:
+    return leading_verb(note).isin(AMENDED, *INSERTING)
+
+
+def inserts(note: Column) -> Column:
+    return leading_verb(note).isin(*INSERTING)
+
+
+def bracketed_notes(text: Column) -> Column:
+    """The notes in brackets that say by what a text was changed."""
+    return F.filter(F.regexp_extract_all(text, F.lit(r"\(([^)]*)\)"), F.lit(1)), lambda n: amends(n) & n.rlike(r"(?i)^\s*(?:as\s+)?\p{L}+\s+by\b"))
+
+
+#: The number that an article had before, in brackets.
+FORMER = r"^\[([0-9]{1,3})\]\s*"
+
+
 # --- scan ----------------------------------------------------------------------------------------
 def articles(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc, ord, article_number, former_article_number, book, title_name, chapter, title_refs, chapter_refs, heading_rest, body).
@@ -139,13 +164,26 @@ def articles(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFr
     The context of an article is carried forward over the lines of its document by windows: books
     start partitions for titles, titles for chapters. All windows share one partitioning and sort.
     """
-    glued = F.regexp_replace(F.regexp_replace(text, "\r", ""), GLUED, "$1\n$2")
+    glued = F.regexp_replace(F.regexp_replace(text, "\r", ""), r"(?<=[.;:)\]”])[ \t]+(?=(?:Chapter|Title)\s+[IVXLCDM]+\s+[–—-]\s+[A-Z]{2})", "\n")
     lines = docs.select(doc, F.posexplode(F.split(glued, "\n", -1)).alias("i", "line"))
     w = Window.partitionBy(doc).orderBy("i")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     line = F.col("line")
-    contents = line.rlike(CONTENTS)
-    structural = line.rlike(BOOK) | line.rlike(TITLE) | line.rlike(CHAPTER) | line.rlike(ARTICLE) | contents
+    word = F.regexp_extract(line, SHAPE, 1)
+    words = F.create_map(*[F.lit(x) for pair in HEADERS.items() for x in pair])
+    lines = lines.withColumn("w", F.when((word == F.upper(word)) | (word == F.initcap(word)), F.try_element_at(words, F.upper(word))))
+    lines = lines.withColumns({"n": F.regexp_extract(line, SHAPE, 2), "mark": F.trim(F.regexp_extract(line, SHAPE, 3)), "rest": strip(F.regexp_extract(line, SHAPE, 4))})
+    apart = (F.col("mark") != "") | (F.col("rest") == "")
+    preliminary = squeeze(line) == "PRELIMINARY TITLE"
+    in_contents = (F.col("w").isin("book", "title", "chapter") | squeeze(line).startswith("PRELIMINARY TITLE")) & F.regexp_replace(line, r"^\s*\p{L}+\.?", "").rlike(r"\S[ \t]+[0-9]{1,3}\s*$")
+    book = F.coalesce(*[F.when(F.upper("n").isin(*names), F.lit(BOOKS[i + 1])) for i, names in enumerate(NUMERALS)])
+    small = F.col("n").rlike("^(?:[IVXLCDM]{1,7}|[0-9]{1,2})$")
+    is_head = (
+        F.when(F.col("w") == "book", book.isNotNull() & apart).when(F.col("w") == "title", (small | F.col("n").rlike("^[IVXLCDM]{1,7}-[A-Z]$")) & apart)
+        .when(F.col("w") == "chapter", small & apart).when(F.col("w") == "article", F.col("n").rlike("^[0-9]{1,3}$") & F.col("mark").isin(".", ":")).otherwise(False)
+    )
+    lines = lines.withColumn("contents", F.coalesce(in_contents, F.lit(False))).withColumn("h", F.when(is_head, F.col("w")))
+    contents, structural = F.col("contents"), F.col("h").isNotNull() | F.col("contents")
     lines = lines.withColumn("caps", F.when((strip(line) != "") & ~structural & capital_heading(strip(line)), strip(line)))
     for k in (1, 2):
         lines = lines.withColumn(f"c{k}", F.lead("caps", k).over(w))
@@ -156,27 +194,21 @@ def articles(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFr
     )
     after = F.when(n_caps == 0, F.lead("line", 1).over(w)).when(n_caps == 1, F.lead("line", 2).over(w)).otherwise(F.lead("line", 3).over(w))
     lines = lines.withColumn("wrapped", F.when(F.col("wraps"), after))
-    is_book = line.rlike(BOOK) & ~contents
-    lines = lines.withColumn("is_book", is_book).withColumn("seen_book", F.max("is_book").over(upto))
+    lines = lines.withColumn("is_book", (F.coalesce("h", F.lit("")) == "book") & ~contents).withColumn("seen_book", F.max("is_book").over(upto))
     follow = F.concat_ws(" ", "c1", F.when(F.col("c1").isNotNull(), F.col("c2")))
+    name = squeeze(without_references(F.concat_ws(" ", F.nullif("rest", F.lit("")), F.nullif(follow, F.lit("")))))
+    lines = lines.withColumn("name", name)
+    heads = lambda kind: F.coalesce(F.col("h") == kind, F.lit(False)) & ~contents & ((F.col("name") != "") | F.col("seen_book"))
 
-    def name(pattern: str) -> Column:
-        return squeeze(without_references(F.concat_ws(" ", F.nullif(strip(F.regexp_extract("line", pattern, 2)), F.lit("")), F.nullif(follow, F.lit("")))))
-
-    def head(pattern: str) -> Column:
-        return ~contents & ~F.col("is_book") & line.rlike(pattern) & ((name(pattern) != "") | F.col("seen_book"))
-
-    def shown(pattern: str, word: str) -> Column:
-        label = F.concat(F.lit(f"{word} "), F.regexp_extract("line", pattern, 1))
-        return F.when(name(pattern) == "", label).otherwise(F.concat(label, F.lit(": "), name(pattern)))
+    def shown(word: str) -> Column:
+        label = F.concat(F.lit(f"{word} "), "n")
+        return F.when(F.col("name") == "", label).otherwise(F.concat(label, F.lit(": "), "name"))
 
-    token = F.upper(F.regexp_extract("line", BOOK, 1))
-    book = F.coalesce(*[F.when(token.isin(*names), F.lit(BOOKS[i + 1])) for i, names in enumerate(NUMERALS)])
     lines = lines.withColumns({
-        "kind": F.when(contents, "contents").when(line.rlike(PRELIMINARY), "preliminary").when(F.col("is_book"), "book")
-        .when(head(TITLE), "title").when(head(CHAPTER), "chapter").when(line.rlike(ARTICLE), "article"),
+        "kind": F.when(contents, "contents").when(preliminary, "preliminary").when(F.col("is_book"), "book")
+        .when(heads("title"), "title").when(heads("chapter"), "chapter").when(F.col("h") == "article", "article"),
         "refs": note_references(F.concat_ws(" ", "line", follow, "wrapped")),
-        "book": F.when(F.col("is_book"), book), "title": F.when(head(TITLE), shown(TITLE, "Title")), "chapter": F.when(head(CHAPTER), shown(CHAPTER, "Chapter")),
+        "book": F.when(F.col("is_book"), book), "title": F.when(heads("title"), shown("Title")), "chapter": F.when(heads("chapter"), shown("Chapter")),
     })
     # Lines that a header above took as the rest of its name.
     took = F.when(F.col("kind") == "book", F.col("n_caps")).when(F.col("kind").isin("title", "chapter"), F.col("n_caps") + F.col("wraps").cast("int")).otherwise(0)
@@ -194,9 +226,9 @@ def articles(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFr
     lines = lines.withColumns({"in_book": of("book", "book", in_book), "in_title": of("title", "title", in_title), "in_chapter": of("chapter", "chapter", in_title),
         "title_refs": of("refs", "title", in_title), "chapter_refs": of("refs", "chapter", in_title)})
     context = F.struct(
-        F.col("i").alias("ord"), F.regexp_extract("line", ARTICLE, 1).cast("int").alias("article_number"), F.regexp_extract("line", ARTICLE, 2).try_cast("int").alias("former_article_number"),
+        F.col("i").alias("ord"), F.col("n").try_cast("int").alias("article_number"), F.regexp_extract("rest", FORMER, 1).try_cast("int").alias("former_article_number"),
         F.coalesce("in_book", F.lit(BOOKS[0])).alias("book"), F.coalesce("in_title", F.when(F.col("in_book").isNull(), F.lit(BOOKS[0])).otherwise("General Provisions")).alias("title_name"),
-        F.col("in_chapter").alias("chapter"), "title_refs", "chapter_refs", strip(F.regexp_extract("line", ARTICLE, 3)).alias("heading_rest"),
+        F.col("in_chapter").alias("chapter"), "title_refs", "chapter_refs", strip(F.regexp_replace("rest", FORMER, "")).alias("heading_rest"),
     )
     grouped = lines.where("kind IS NULL OR kind = 'article'").groupBy(doc, "head_id").agg(
         F.max(F.when(F.col("kind") == "article", context)).alias("a"), F.array_sort(F.collect_list(F.when(F.col("kind").isNull(), F.struct("i", "line")))).alias("b")
@@ -222,9 +254,9 @@ def amendments(found: DataFrame, text: str = "content", notes: str | None = None
         day = F.when(F.size(laws) == 1, dates.first_date(note))
         return F.transform(laws, lambda law: F.struct(law.alias("law"), day.alias("law_date"), note.alias("description"))).cast(shape)
 
-    every = F.transform(F.regexp_extract_all(F.col(text), F.lit(INSERTED), 1), squeeze)
+    every = F.transform(bracketed_notes(F.col(text)), squeeze)
     if notes is not None:
-        every = F.concat(every, F.filter(F.coalesce(notes, F.array().cast("array<string>")), lambda n: n.rlike(AMENDS)))
+        every = F.concat(every, F.filter(F.coalesce(notes, F.array().cast("array<string>")), amends))
     found = found.withColumn("_all", F.coalesce(F.flatten(F.transform(every, of)), F.array().cast(shape))).withColumn("_laws", F.transform("_all", lambda a: a["law"]))
     first = F.filter("_all", lambda a, i: F.array_position("_laws", a["law"]) == i + 1)
     return found.withColumn("amendments", first).drop("_all", "_laws")
@@ -244,7 +276,7 @@ def records(docs: DataFrame, notes: DataFrame, doc: str = "doc_id", text: str =
             F.transform(F.coalesce("title_refs", F.array().cast("array<int>")), lambda n: F.struct(F.col("title_name").alias("heading"), n.alias("n"))),
             F.transform(F.coalesce("chapter_refs", F.array().cast("array<int>")), lambda n: F.struct(F.col("chapter").alias("heading"), n.alias("n"))),
         ).alias("above"),
-        heading(without_references(F.col("heading_rest"))).alias("h"), strip(without_references(F.col("body"))).alias("rest"),
+        heading(without_references(F.col("heading_rest")), bare=False).alias("h"), strip(without_references(F.col("body"))).alias("rest"),
     )
     both = F.when(F.col("h.inline") == "", F.col("rest")).when(F.col("rest") == "", F.col("h.inline")).otherwise(F.concat("h.inline", F.lit("\n"), "rest"))
     parts = parts.withColumn("content", F.regexp_replace(both, r"(?m)^[ \t]+", "")).withColumn("heading", F.col("h.title")).drop("h", "rest")
@@ -259,12 +291,13 @@ def records(docs: DataFrame, notes: DataFrame, doc: str = "doc_id", text: str =
     full = full.withColumn("footnotes", F.transform(F.filter("n", lambda x: x["heading"].isNull()), lambda x: F.struct(x["note_number"], x["note_text"])))
     full = full.withColumn("heading_footnotes", F.transform(F.filter("n", lambda x: x["heading"].isNotNull()), lambda x: F.struct(x["heading"], x["note_number"], x["note_text"])))
     texts = F.transform("footnotes", lambda x: x["note_text"])
-    full = full.withColumn("leads", first_sentences_of(texts))
+    full = full.withColumn("leads", F.transform(texts, first_sentence_of))
     full = amendments(full, "content", "leads")
-    bracketed = F.regexp_extract_all("content", F.lit(INSERTED), 1)
+    full = full.join(docs.select(doc, "sha256"), doc) if "sha256" in docs.columns else full.withColumn("sha256", F.lit(None).cast("string"))
     return full.select(
-        doc, "article_number", "former_article_number", "book", "title_name", "chapter", "heading", "content", "footnotes", "heading_footnotes", "amendments",
-        (~F.exists(bracketed, lambda x: x.rlike(INSERTION)) & ~F.exists(texts, lambda x: x.rlike(INSERTION))).alias("original"),
+        doc, "article_number", "former_article_number", "book", "title_name", "chapter", "heading", "content", items_of(F.col("content")).alias("subsections"), "footnotes", "heading_footnotes", "amendments",
+        (~F.exists(bracketed_notes(F.col("content")), inserts) & ~F.exists(texts, inserts)).alias("original"),
         refs.related_articles(F.col("content"), F.col("article_number")).alias("related_articles"),
         F.array_distinct(F.flatten(F.transform(texts, refs.order_ids))).alias("implementing_orders"),
+        refs.tags(F.col("content"), F.col("heading")).alias("tags"), F.struct(F.col("sha256").alias("source_sha256"), F.lit(PARSER).alias("parser")).alias("provenance"),
     )

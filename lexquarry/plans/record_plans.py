@@ -114,7 +114,7 @@ QUERIES = {f.__name__: f for f in (
     status_interval_join, status_roll_up, unreviewed_notes, resolved_notes, manifest_problems, manifest_lookup, manifest_pins, text_hashes, order_links, superseded_orders, line_widths, schema_errors,
 )}
 
-_CHANGES_SQL = "SELECT CAST(p_partkey AS INT) AS file_ord, p_partkey % 380 + 1 AS first, p_partkey % 380 + 1 + p_size % 9 AS last, p_size AS footnote, p_partkey % 3 > 0 AS has_part FROM part WHERE p_partkey % 50 = 7"
+_CHANGES_SQL = "SELECT CAST(p_partkey AS INT) AS file_ord, p_partkey % 380 + 1 AS first, p_partkey % 380 + 1 + p_size % 9 AS last, p_size AS footnote, p_partkey % 3 > 0 AS has_part FROM part"
 ORACLE = {
     "status_interval_join": f"SELECT rec_id, article_number, file_ord, footnote FROM code_articles JOIN ({_CHANGES_SQL}) ON article_number BETWEEN first AND last",
     "status_roll_up": f"""

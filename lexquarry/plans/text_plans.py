@@ -101,7 +101,7 @@ def dedupe_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def signed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signing dates of rendered orders."""
-    return corpus.order_texts(spark, sf_dir).select("doc_id", orders.signed_date_of("text").alias("signed_date"))
+    return corpus.order_texts(spark, sf_dir).select("doc_id", orders.signed_date_of(F.col("text")).alias("signed_date"))
 
 
 def statute_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,20 +127,48 @@ def article_references(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def footnote_amendments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Laws and dates read from the first sentence of every amending footnote."""
-    a = table(spark, sf_dir, "code_articles").select("rec_id", F.explode("metadata.footnotes").alias("f")).where(F.col("f.note_text").rlike(statute.AMENDS))
+    a = table(spark, sf_dir, "code_articles").select("rec_id", F.explode("metadata.footnotes").alias("f")).where(statute.amends(F.col("f.note_text")))
     lead = a.select("rec_id", F.col("f.note_number").alias("note_number"), orders.first_sentence_of(F.col("f.note_text")).alias("note"))
     return lead.select("rec_id", "note_number", F.array_join(refs.cited_laws(F.col("note")), "|").alias("laws"), F.when(F.size(refs.cited_laws(F.col("note"))) == 1, dates.first_date(F.col("note"))).alias("law_date"))
 
 
+def _noted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    found = statute.footnotes(corpus.noted_pages(spark, sf_dir))
+    return found.where("note_number IS NULL").select("doc_id", "text"), found.where("note_number IS NOT NULL").select("doc_id", "note_number", "note_text")
+
+
+def statute_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The footnotes of rendered codes."""
+    return _noted(spark, sf_dir)[1]
+
+
 def statute_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole article records of rendered codes, one per number."""
-    notes = spark.createDataFrame([], "doc_id string, note_number int, note_text string")
-    r = statute.records(corpus.statute_text(spark, sf_dir), notes)
-    return r.select("doc_id", "article_number", "heading", "content", "original", F.array_join(F.col("related_articles").cast("array<string>"), ",").alias("related"))
+    """Whole article records of rendered codes, one per number, with what their footnotes say."""
+    r = statute.records(*_noted(spark, sf_dir))
+    text = lambda c: F.array_join(F.col(c).cast("array<string>"), ",")
+    return r.select(
+        "doc_id", "article_number", "former_article_number", "title_name", "heading", "content", "original", text("related_articles").alias("related"), text("implementing_orders").alias("orders"),
+        F.array_join(F.transform("footnotes", lambda n: n["note_number"].cast("string")), ",").alias("notes"),
+        F.array_join(F.transform("heading_footnotes", lambda n: F.concat(n["heading"], F.lit("="), n["note_text"])), ",").alias("heading_notes"),
+        F.array_join(F.transform("amendments", lambda a: F.concat_ws("@", a["law"], a["law_date"].cast("string"))), ",").alias("amendments"),
+    )
+
+
+def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole records of rendered orders."""
+    found = orders.order_records(corpus.whole_orders(spark, sf_dir))[0]
+    text = lambda c: F.array_join(c, "|").alias(c)
+    return found.select("doc_id", "order_number", "title", "issuing_authority", "signed_date", "published_date", "effective_date", "effectivity_clause", text("supersedes"), text("related_laws"), text("tags"))
+
+
+def order_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sections of rendered orders with their enumerations; orders without any have one of the whole text."""
+    found = orders.order_records(corpus.whole_orders(spark, sf_dir))[1]
+    return found.select("doc_id", "section_number", "title", "content", F.array_join(F.transform("subsections", lambda i: i["path"]), "|").alias("items"))
 
 
 QUERIES = {f.__name__: f for f in (
-    statute_records, effective_date, parse_dates, order_numbers, related_laws, topic_tags, clean_text, repair_sequences, page_quality, capital_lines, running_lines, without_running_lines,
+    statute_records, statute_notes, order_records, order_parts, effective_date, parse_dates, order_numbers, related_laws, topic_tags, clean_text, repair_sequences, page_quality, capital_lines, running_lines, without_running_lines,
     split_sections, dedupe_sections, signed_dates, statute_scan, nested_items, article_references, footnote_amendments,
 )}
 
@@ -152,7 +180,6 @@ _REPAIRED = "{c}"
 for _bad, _good in text.GARBLED:
     _REPAIRED = f"replace({_REPAIRED}, '{_bad}', '{_good}')"
 _SQUEEZED = r"trim(regexp_replace({c}, '[\s\x{{85}}\x{{A0}}\x{{2028}}\x{{2029}}\x{{3000}}]+', ' ', 'g'))"
-_PAGE_LINE = "^(?i:page[ \\t]+[0-9]{1,3}(?:[ \\t]*of[ \\t]*[0-9]{1,3})?|[-–—][ \\t]*[0-9]{1,3}[ \\t]*[-–—]|[0-9]{1,3}[ \\t]*/[ \\t]*[0-9]{1,3})$"
 _RUNNING = rf"""
     WITH l AS (
       SELECT order_number, scan_no, page_id, list_filter(list_transform(string_split(raw_text, chr(10)), lambda x: {_SQUEEZED.format(c='x')}), lambda x: x <> '' AND strlen(x) <= 100) AS ls FROM scan_pages
@@ -160,6 +187,15 @@ _RUNNING = rf"""
     t AS (SELECT order_number, scan_no, count(*) AS n_pages FROM scan_pages GROUP BY 1, 2),
     r AS (SELECT order_number, scan_no, line, count(*) AS n FROM e GROUP BY 1, 2, 3)"""
 
+_WHOLE = "SELECT o_orderkey AS k, o_custkey, CAST(o_orderkey % 89 + 1 AS INT) AS n, CAST(o_orderdate AS DATE) AS d, CASE WHEN o_orderkey % 11 > 0 THEN CAST(o_orderdate AS DATE) + 10 END AS p FROM orders"
+_PRINTED_NUMBER = "(k % 900 + 1) || CASE WHEN k % 4 = 0 THEN '-' || ['A', 'B', 'C'][k % 3 + 1] ELSE '' END || '-' || right(CAST(year(d) AS VARCHAR), 2)"
+_ORDER_NUMBER = f"'DO-' || {_PRINTED_NUMBER}"
+_OLD = "('DO-' || (k % 50 + 1) || '-' || lpad(CAST(k % 20 AS VARCHAR), 2, '0'))"
+_COVER = (
+    f"'Republic' || chr(10) || chr(10) || 'DEPARTMENT ORDER NO. ' || {_PRINTED_NUMBER} || chr(10) || 'Series of ' || year(d) || chr(10) || chr(10) || 'RULES ON THE LOADING OF' || chr(10) || 'LOT ' || o_custkey || chr(10) || chr(10)"
+    " || 'Pursuant to R.A. No. ' || (k % 9000 + 1000) || ' and Presidential Decree No. ' || (k % 899 + 1) || ', as amended by B.P. Blg. 7, these rules on wages are issued.' || chr(10) || chr(10)"
+)
+
 ORACLE = {
     "effective_date": f"""
         SELECT doc_id, CAST(CASE kind WHEN 0 THEN p + n WHEN 1 THEN p + 15 WHEN 2 THEN d - 7 WHEN 3 THEN d + n WHEN 5 THEN p WHEN 6 THEN d - 7 + 60 END AS DATE) AS effective_date,
@@ -177,7 +213,7 @@ ORACLE = {
     "repair_sequences": f"SELECT rec_id, {_REPAIRED.format(c='title')} AS title FROM dole_orders",
     "page_quality": r"""
         SELECT page_id, CASE WHEN n = 0 THEN 'empty_page' WHEN n < 50 THEN 'low_char_count' END AS warning
-        FROM (SELECT page_id, length(regexp_replace(regexp_replace(substr(raw_text, 1, page_id % 120), '^[\s\x{85}\x{A0}\x{2028}\x{2029}\x{3000}]+', ''), '[\s\x{85}\x{A0}\x{2028}\x{2029}\x{3000}]+$', '')) AS n FROM scan_pages)""",
+        FROM (SELECT page_id, length(regexp_replace(regexp_replace(raw_text, '^[\s\x{85}\x{A0}\x{2028}\x{2029}\x{3000}]+', ''), '[\s\x{85}\x{A0}\x{2028}\x{2029}\x{3000}]+$', '')) AS n FROM scan_pages)""",
     "running_lines": _RUNNING + " SELECT r.order_number, r.scan_no, line, n FROM r JOIN t ON r.order_number IS NOT DISTINCT FROM t.order_number AND r.scan_no = t.scan_no WHERE n >= 3 AND n * 2 >= n_pages",
     "split_sections": """
         SELECT l_orderkey AS doc_id, count(*) AS n_blocks, count(DISTINCT l_linenumber) AS n_labels, min('Lot ' || l_suppkey) AS first_title FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1""",
@@ -194,27 +230,38 @@ ORACLE = {
         SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Rule I, ' ELSE '' END || 'Section ' || n AS section_number, 'Lot ' || s AS title FROM y WHERE k = 1""",
     "signed_dates": "SELECT o_orderkey AS doc_id, CAST(o_orderdate AS DATE) AS signed_date FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)",
     "statute_scan": """
-        WITH h AS (
-          SELECT c_mktsegment AS doc_id, c_custkey, n_regionkey, n_nationkey, n_name,
-            (SELECT max(m.n_nationkey) FROM nation m WHERE m.n_regionkey = n.n_regionkey AND m.n_nationkey <= n.n_nationkey AND m.n_nationkey % 2 = 0
-              AND EXISTS (SELECT 1 FROM customer d WHERE d.c_nationkey = m.n_nationkey AND d.c_mktsegment = c.c_mktsegment AND d.c_custkey > 0)) AS t
-          FROM customer c JOIN nation n ON c_nationkey = n_nationkey WHERE c_custkey > 0
+        WITH x AS (SELECT *, c_mktsegment || '-' || (c_custkey // 50) AS doc FROM customer JOIN nation ON c_nationkey = n_nationkey),
+        h AS (
+          SELECT *, (SELECT max(m.n_nationkey) FROM x m WHERE m.doc = x.doc AND m.n_regionkey = x.n_regionkey AND m.n_nationkey <= x.n_nationkey AND m.n_nationkey % 2 = 0) AS t FROM x
         )
-        SELECT doc_id, CAST(c_custkey % 999 + 1 AS INT) AS article_number, CAST(c_custkey % 500 + 1 AS INT) AS former_article_number,
+        SELECT doc AS doc_id, CAST(c_custkey % 999 + 1 AS INT) AS article_number, CAST(c_custkey % 500 + 1 AS INT) AS former_article_number,
           ['Book I: Pre-Employment', 'Book II: Human Resources Development', 'Book III: Conditions of Employment', 'Book IV: Health, Safety and Social Welfare Benefits', 'Book V: Labor Relations'][n_regionkey + 1] AS book,
           CASE WHEN t IS NULL THEN 'General Provisions' ELSE 'Title ' || (t + 1) || ': ' || (SELECT n_name FROM nation WHERE n_nationkey = t) END AS title_name,
           CASE WHEN n_nationkey % 2 = 1 THEN 'Chapter ' || (n_nationkey + 1) || ': ' || n_name END AS chapter FROM h""",
-    "statute_records": """
-        SELECT doc_id, article_number, heading, 'The employer shall pay.' || chr(10) || 'Article 4 of this Code shall apply.' AS content, true AS original, CASE WHEN article_number = 4 THEN '' ELSE '4' END AS related
-        FROM (
-          SELECT c_mktsegment AS doc_id, CAST(c_custkey % 999 + 1 AS INT) AS article_number, 'Duty of ' || c_custkey AS heading,
-            row_number() OVER (PARTITION BY c_mktsegment, c_custkey % 999 ORDER BY length('Duty of ' || c_custkey) DESC, n_regionkey, n_nationkey, c_custkey) AS k
-          FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey > 0
-        ) WHERE k = 1""",
     "article_references": """
         SELECT rec_id, array_to_string(list_sort(list_distinct(list_filter(list_concat(range(article_number + 1, article_number + 2 + rec_id % 5), [7, 3]), lambda x: x <> article_number))), ',') AS related FROM code_articles""",
     "footnote_amendments": r"""
         SELECT rec_id, f.note_number AS note_number, 'RA ' || regexp_extract(f.note_text, '^As amended by RA ([0-9]+)', 1) AS laws,
           CAST(try_strptime(regexp_extract(f.note_text, '^As amended by RA [0-9]+, ([A-Za-z]+ [0-9]+, [0-9]{4})', 1), '%B %-d, %Y') AS DATE) AS law_date
         FROM (SELECT rec_id, unnest(metadata.footnotes) AS f FROM code_articles) WHERE f.note_text LIKE 'As amended by RA %'""",
+    "statute_notes": """
+        SELECT c_custkey // 40 AS doc_id, CAST(c_custkey % 40 + 2 AS INT) AS note_number,
+          'As ' || CASE WHEN c_custkey % 3 = 0 THEN 'inserted' ELSE 'amended' END || ' by R.A. No. ' || (c_custkey % 9000 + 1000) || ', March 1, 2001. See D.O. No. 05, Series of 2003.' AS note_text FROM customer
+        UNION ALL SELECT DISTINCT c_custkey // 40, 1, 'Of the title.' FROM customer""",
+    "statute_records": """
+        SELECT c_custkey // 40 AS doc_id, CAST(c_custkey % 40 + 1 AS INT) AS article_number, CAST(c_custkey % 500 + 1 AS INT) AS former_article_number, 'Title II: WORK.' AS title_name,
+          'Duty of ' || c_custkey AS heading, 'The employer shall pay under Article 99.' AS content, c_custkey % 3 <> 0 AS original, '99' AS related, 'DO-5-03' AS orders,
+          CAST(c_custkey % 40 + 2 AS VARCHAR) AS notes, 'Title II: WORK.=Of the title.' AS heading_notes, 'RA ' || (c_custkey % 9000 + 1000) || '@2001-03-01' AS amendments FROM customer""",
+    "order_records": f"""
+        SELECT k AS doc_id, {_ORDER_NUMBER} AS order_number, 'RULES ON THE LOADING OF LOT ' || o_custkey AS title, 'ANA B. REYES, Secretary of Lot ' || o_custkey AS issuing_authority, d AS signed_date,
+          p AS published_date, CAST(CASE WHEN k % 10 = 9 THEN d ELSE p + n END AS DATE) AS effective_date,
+          CASE WHEN k % 10 = 9 THEN 'This Order shall take effect immediately upon signing.' ELSE 'Under Sec. 5 of the Code, this Order shall take effect ' || n || ' days after its publication.' END AS effectivity_clause,
+          CASE WHEN k % 10 = 9 OR {_OLD} = {_ORDER_NUMBER} THEN '' ELSE {_OLD} END AS supersedes, 'RA ' || (k % 9000 + 1000) || '|PD ' || (k % 899 + 1) AS related_laws, CASE WHEN k % 10 = 9 THEN '' ELSE 'wages' END AS tags
+        FROM ({_WHOLE})""",
+    "order_parts": f"""
+        SELECT k AS doc_id, 'Section 1' AS section_number, 'Coverage' AS title, 'It covers minimum wages, wages and more wages.' || chr(10) || '(a) first ' || k || chr(10) || '(1) one' || chr(10) || '(2) two' || chr(10) || '(b) second' AS content, 'a|a/1|a/2|b' AS items
+        FROM ({_WHOLE}) WHERE k % 10 <> 9
+        UNION ALL SELECT k, 'Section 2', 'Repeal', 'Department Order No. ' || (k % 50 + 1) || ', Series of ' || (k % 20 + 2000) || ' is hereby superseded.' || chr(10) || 'The board keeps D.O. No. 77-99 as amended.', '' FROM ({_WHOLE}) WHERE k % 10 <> 9
+        UNION ALL SELECT k, 'Section 3', 'Effectivity', 'Under Sec. 5 of the Code, this Order shall take effect ' || n || ' days after its publication.', '' FROM ({_WHOLE}) WHERE k % 10 <> 9
+        UNION ALL SELECT k, 'Full Text', NULL, {_COVER} || 'Nothing is listed here. This Order shall take effect immediately upon signing.' || chr(10) || chr(10), '' FROM ({_WHOLE}) WHERE k % 10 = 9""",
 }

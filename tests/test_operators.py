@@ -53,16 +53,40 @@ def test_lists(text, want):
     assert [i["path"] for i in lists.items(text)] == want
 
 
-def test_order_parts():
+def of(spark, column, *values):
+    names = [f"v{i}" for i in range(len(values))]
+    return spark.createDataFrame([tuple(values)], ", ".join(f"{n} string" for n in names)).select(column(*map(F.col, names)).alias("r")).first().r
+
+
+def test_order_parts(spark):
     text = "Body.\n\nIssued in accordance with Section 5." + " More." * 60 + "\n\nDone in the City, this 16th day of March, 2017.\n\nJUAN CRUZ\nSecretary"
-    assert orders.signed_date(text) == dt.date(2017, 3, 16) and text[orders.signature_start(text) :].startswith("Done in")
-    assert orders.signature_start("Done today.") is None and orders.signed_date("") is None
-    assert orders.superseded("D.O. No. 18-A, Series of 2011 is hereby superseded; D.O. No. 5-99 as amended is cited.\n\nD.O. No. 7-01 stays.", None) == ["DO-5-99", "DO-18-A-11"]  # dashed forms first
-    assert orders.superseded("Rules as amended by D.O. No. 9-02.", None) == []
-    assert orders.effectivity_clause(None, "It takes effect never. These Rules, under Department Order No. 5, shall take effect\nnow.\n\nEnd.") == "These Rules, under Department Order No. 5, shall take effect now."
-    assert orders.effectivity_clause("nothing", "shall take effect now.") is None
-    assert orders.first_sentence("As amended by Sec. 3, R.A. No. 10151. See also R.A. No. 2.") == "As amended by Sec. 3, R.A. No. 10151."
-    assert orders.byte_slice("añb", 2, 3) == "ñ"
+    assert of(spark, orders.signed_date_of, text) == dt.date(2017, 3, 16)
+    body, block = of(spark, orders.signature_parts, text)
+    assert body + block == text and block.startswith("Done in")
+    assert of(spark, orders.signature_parts, "Done today.")["block"] == "" and of(spark, orders.signed_date_of, "") is None
+    early = "Done this 5 May 2001.\n" + "x" * 3100 + "\n  Signed\non 6 May 2001"
+    assert of(spark, orders.signature_parts, early)["block"] == "  Signed\non 6 May 2001" and of(spark, orders.signature_parts, None)["body"] is None
+    superseded = lambda t: of(spark, lambda c: orders.superseded_of(c, F.lit(None).cast("string")), t)
+    assert superseded("D.O. No. 18-A, Series of 2011 is hereby superseded; D.O. No. 5-99 as amended is cited.\n\nD.O. No. 7-01 stays.") == ["DO-5-99", "DO-18-A-11"]  # dashed forms first
+    assert superseded("Rules as amended by D.O. No. 9-02.") == [] and superseded("") == []
+    assert superseded("D.O. No. 9-02 " + "far " * 60 + "is repealed") == [] and superseded("This amends D.O. No. 9-02 and repeals D.O. No. 8-01") == ["DO-9-02", "DO-8-01"]
+    clause = lambda titled, t: of(spark, orders.effectivity_clause_of, titled, t)
+    assert clause(None, "It takes effect never. These Rules, under Department Order No. 5, shall take effect\nnow.\n\nEnd.") == "These Rules, under Department Order No. 5, shall take effect now."
+    assert clause("nothing", "shall take effect now.") is None and clause(None, "— Shall take effect now") == "Shall take effect now"
+    assert of(spark, orders.first_sentence_of, "As amended by Sec. 3, R.A. No. 10151. See also R.A. No. 2.") == "As amended by Sec. 3, R.A. No. 10151."
+    assert of(spark, orders.first_sentence_of, "no stop") == "no stop"
+
+
+def test_order_problems(spark):
+    df = spark.createDataFrame([(1, "x", "DO-1-01", "DO-1-01", "dole_order"), (2, " ", None, None, None), (3, "x", "DO-1-01", "DO-2-01", "labor_code")], "doc_id long, text string, order_number string, entry_id string, entry_kind string")
+    assert {tuple(r) for r in orders.problems(df).collect()} == {(2, "no_text"), (2, "no_order_number"), (3, "entry_of_other_kind"), (3, "entry_of_other_id")}
+
+
+def test_supersession(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("d", "b"), ("x", "x"), ("a", "b")], "order_key string, superseded string")
+    got = {tuple(r) for r in orders.supersession(edges).collect()}
+    assert got == {("a", "b", 1), ("a", "c", 2), ("a", "d", 3), ("b", "c", 1), ("b", "d", 2), ("c", "d", 1), ("c", "b", 2), ("d", "b", 1), ("d", "c", 2)}
+    assert orders.supersession(edges.limit(0)).count() == 0
 
 
 def test_order_records(spark):
@@ -97,12 +121,26 @@ def test_footnotes(spark):
     wide = "As amended by a very long citation that is set in a smaller type and runs on " * 2
     p1 = "\n".join(["The law was passed.1 It", "binds all the workers.2", "fifteen body words here", "1 As amended.", "2 " + wide, wide])
     p2 = "\n".join([wide, wide, "", "body text of the second page.5", "goes on for a while here", "5 See also this.", "99 Not next"])
-    text, notes = statute.split_notes([p1, p2])
-    assert set(notes) == {1, 2, 5} and notes[1] == "As amended." and notes[5] == "See also this. 99 Not next"
-    assert statute.note_references is not None and "5".replace("5", "") not in "" and "passed.1" in text and "page.5" in text
     df = spark.createDataFrame([(7, 2, p2), (7, 1, p1)], "doc_id long, page_no int, content string")
     rows = statute.footnotes(df).collect()
-    assert {r.note_number: r.note_text for r in rows if r.note_number} == notes and [r.text for r in rows if r.note_number is None] == [text]
+    notes = {r.note_number: r.note_text for r in rows if r.note_number}
+    assert set(notes) == {1, 2, 5} and notes[1] == "As amended." and notes[5] == "See also this. 99 Not next" and notes[2].count("As amended by a very") == 4
+    text = next(r.text for r in rows if r.note_number is None)
+    ref = statute.OPEN + "{}" + statute.CLOSE
+    assert f"passed.{ref.format(1)} It" in text and f"workers.{ref.format(2)}" in text and f"page.{ref.format(5)}" in text
+
+
+def test_notes_over_whole_pages(spark):
+    wide = "A very long line of a note that runs on over the pages of a document " * 2
+    narrow = "body words that are set as usual here"
+    pages_ = [(1, f"{narrow}.1\n{narrow}\n1 {wide}\n{wide}"), (2, f"{wide}\n{wide}"), (3, f"{wide}\n{wide}\n\n{narrow}\n{narrow}"), (4, f"{wide}\n{wide}")]
+    df = spark.createDataFrame([(1, p, t) for p, t in pages_] + [(2, 1, ""), (3, 1, "only 4 words.1\n\n1 A note")], "doc_id long, page_no int, content string")
+    rows = statute.footnotes(df).collect()
+    notes = {(r.doc_id, r.note_number): r.note_text for r in rows if r.note_number}
+    assert set(notes) == {(1, 1), (3, 1)} and notes[1, 1].count("A very long") == 8 and notes[3, 1] == "A note"
+    texts = {r.doc_id: r.text for r in rows if r.note_number is None}
+    assert texts[1].count("A very long") == 8 and texts[2] == "" and texts[3].startswith("only 4 words." + statute.OPEN)
+    assert statute.footnotes(df.limit(0)).count() == 0
 
 
 def test_amendments(spark):
