@@ -133,7 +133,7 @@ def test_footnotes(spark):
 def test_notes_over_whole_pages(spark):
     wide = "A very long line of a note that runs on over the pages of a document " * 2
     narrow = "body words that are set as usual here"
-    pages_ = [(1, f"{narrow}.1\n{narrow}\n1 {wide}\n{wide}"), (2, f"{wide}\n{wide}"), (3, f"{wide}\n{wide}\n\n{narrow}\n{narrow}"), (4, f"{wide}\n{wide}")]
+    pages_ = [(1, f"{narrow}.1" + f"\n{narrow}" * 9 + f"\n1 {wide}\n{wide}"), (2, f"{wide}\n{wide}"), (3, f"{wide}\n{wide}\n\n{narrow}\n{narrow}"), (4, f"{wide}\n{wide}")]
     df = spark.createDataFrame([(1, p, t) for p, t in pages_] + [(2, 1, ""), (3, 1, "only 4 words.1\n\n1 A note")], "doc_id long, page_no int, content string")
     rows = statute.footnotes(df).collect()
     notes = {(r.doc_id, r.note_number): r.note_text for r in rows if r.note_number}
