@@ -1,7 +1,7 @@
 import pytest
 
 from lexquarry.llm import encoding
-from lexquarry.llm.encoding import garble, restore, ungarbled
+from lexquarry.llm.encoding import garble, ungarbled
 
 CLEAN = [
     "La señora pidió al almacén de Peñas — “piece rate” de ₱45.10 según el Art. 5.", "SÃO TELMIRO ± 16 days, CONVENÇÃO DE Âncora", "¼ load lifts 3 kg., n.º 7, «No se puede», ¿Está? ¡Nadie!",
@@ -10,25 +10,48 @@ CLEAN = [
 LONG = [CLEAN[0], *CLEAN[3:]]
 
 
-@pytest.mark.parametrize("text", CLEAN)
-def test_clean_is_not_sure(text):
-    assert not encoding.forms_of(text)[1]
+def frame(spark, texts):
+    return spark.createDataFrame([("t", i, "f", t, "x") for i, t in enumerate(texts)], "tab string, rec_id long, field string, text string, form string")
+
+
+def restored(spark, texts):
+    return {r.rec_id: r.restored for r in encoding.restored(frame(spark, texts)).collect()}
 
 
-@pytest.mark.parametrize("wrong", ["cp1252", "latin-1", "mac_roman", "cp1251", "cp437"])
-@pytest.mark.parametrize("text", LONG)
-def test_round_trip(text, wrong):
-    bad = garble(text, "utf-8", wrong)
-    assert encoding.forms_of(bad)[1]
-    assert restore(bad, []) == text
+def test_round_trip_alone_and_among_clean_texts(spark):
+    bad = {(i, w): garble(t, "utf-8", w) for i, t in enumerate(LONG) for w in ("cp1252", "latin-1", "mac_roman", "cp1251", "cp437")}
+    got = restored(spark, [*bad.values()])
+    assert [got.get(k) for k in range(len(bad))] == [LONG[i] for i, _ in bad]
+    got = restored(spark, [*CLEAN * 3, *bad.values()])
+    assert set(got) == set(range(3 * len(CLEAN), 3 * len(CLEAN) + len(bad)))
+    assert [got[3 * len(CLEAN) + k] for k in range(len(bad))] == [LONG[i] for i, _ in bad]
 
 
 def test_twice():
     assert ungarbled(garble(garble("ñ", "utf-8", "cp1252"), "utf-8", "cp1252"), True) == "ñ"
 
 
-def frame(spark, texts):
-    return spark.createDataFrame([("t", i, "f", t, "x") for i, t in enumerate(texts)], "tab string, rec_id long, field string, text string, form string")
+def test_phrase_inside_clean_east_asian_text(spark):
+    phrase, clean = "必须在港泽镇厂内", "用人单位应当保存值班表"
+    texts = [CLEAN[3], CLEAN[4], clean, f"工会的{phrase}证件是"]
+    for wrong in ("gb18030", "big5"):
+        bad = garble(phrase, "utf-8", wrong)
+        texts += [clean[:n] + bad + clean[:3] for n in (0, 1, 5, 8)] + ["字" * 60 + bad]
+    got = restored(spark, texts)
+    assert set(got) == set(range(4, len(texts)))
+    assert got[4] == phrase + clean[:3] and got[6] == clean[:5] + phrase + clean[:3] and got[8] == "字" * 60 + phrase
+
+
+def test_nothing_is_too_long(spark):
+    word = "señalado" + "ísimamente" * 9
+    texts = [f"Lo {word} aquí", f"Es {word} hoy", f"muy {garble(word, 'cp1252', 'cp850')}", "nota " + "x" * 60 + garble("señor", "utf-8", "cp1252"), "día 5 días-7años", "día 5 " + garble("días-7años", "cp1252", "mac_roman")]
+    got = restored(spark, texts)
+    assert set(got) == {2, 3, 5} and got[2] == f"muy {word}" and got[3] == "nota " + "x" * 60 + "señor" and got[5] == "día 5 días-7años"
+
+
+def test_masked_digits_are_those_of_the_text(spark):
+    texts = ["artículo1234º", "artículo9º", garble("artículo77º", "cp1252", "cp437")]
+    assert restored(spark, texts) == {2: "artículo77º"}
 
 
 def test_records(spark):
@@ -36,7 +59,7 @@ def test_records(spark):
         len(CLEAN) * 3 + 0: garble("La señora pidió", "cp1252", "mac_roman"), len(CLEAN) * 3 + 1: "lost � here", len(CLEAN) * 3 + 2: "odd \x93quote\x94",
         len(CLEAN) * 3 + 3: garble("el almacén", "cp1252", "cp850"), len(CLEAN) * 3 + 4: garble("Café señora", "utf-8", "gb18030"),
     }
-    got = {r.rec_id: r.restored for r in encoding.restored(frame(spark, CLEAN * 3 + list(bad.values()) + [None, ""])).collect()}
+    got = restored(spark, CLEAN * 3 + list(bad.values()) + [None, ""])
     assert set(got) == set(bad)
     first = len(CLEAN) * 3
     assert got[first] == "La señora pidió" and got[first + 3] == "el almacén" and "señora" in got[first + 4]
@@ -51,3 +74,14 @@ def test_copies_do_not_vote(spark):
     bad = garble("Aviso señalado", "cp1252", "cp437")
     texts = ["Lo señalado aquí", "Plazo señalado hoy", *[bad] * 30]
     assert {r.rec_id for r in encoding.garbled(frame(spark, texts)).collect()} == set(range(2, 32))
+
+
+@pytest.mark.parametrize("form", ["a", "ñé", "鐢ㄤ汉"])
+def test_places_agree(form):
+    import numpy as np
+
+    h = np.uint64(0)
+    with np.errstate(over="ignore"):
+        for p in encoding.points_of(form).astype(np.uint64):
+            h = h * encoding.FACTOR + p
+    assert int(h >> np.uint64(40)) == encoding.place(form)
