@@ -28,6 +28,7 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from lexquarry.llm.arrow import column, map_batches
@@ -200,7 +201,8 @@ def forms_of(text: str) -> set[str]:
     forms: set[str] = set()
     for m in BEYOND.finditer(text):
         word = DIGITS.sub("9", m.group()).strip(EDGES)
-        if word and "�" not in word and not word.isascii() and not SOLID.fullmatch(word):
+        # Scripts without blanks have no words; their characters go as ``c`` and ``g``.
+        if word and "�" not in word and not word.isascii() and (not NO_BLANKS.search(word) or MIXED.search(word)):
             forms.add("w" + word)
     for pattern in (RUN, MIXED):
         for m in pattern.finditer(text):
@@ -210,9 +212,9 @@ def forms_of(text: str) -> set[str]:
     return forms
 
 
-#: A word that holds a character beyond ASCII, and one that is all of a script without blanks.
+#: A word that holds a character beyond ASCII, and the scripts without blanks.
 BEYOND = re.compile(r"[^\s]*[^\x00-\x7f\s][^\s]*")
-SOLID = re.compile(f"[฀-๿぀-ヿ㐀-鿿{WIDE_MARKS}‐-‧]+")
+NO_BLANKS = re.compile(f"[฀-๿぀-ヿ㐀-鿿{WIDE_MARKS}]")
 EDGES = ".,;:?!()[]\"'/"
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -301,14 +303,20 @@ def _held(df: DataFrame) -> DataFrame:
     return map_batches(rows, work, "tab string, rec_id long, field string, hash long, form string")
 
 
-def _forward(counts: DataFrame) -> DataFrame:
-    """(form, original, n_original): every garbled form of the forms of the corpus (form, n)."""
+def _forward(counts: DataFrame, held=None) -> DataFrame:
+    """(form, original, n_original): every garbled form of the forms of the corpus (form, n).
+
+    ``held`` is the broadcast bitmap of the forms that records hold: garbled forms that no record has
+    need not travel to the join.
+    """
 
     def work(batch):
         out = {"form": [], "original": [], "n_original": []}
         for form, n in zip(column(batch, "form"), column(batch, "n")):
             head, text = (form[:3], form[3:]) if form[0] == "r" else (form[0], form[1:])
-            if head == "c":
+            if head == "c" and ord(text) >= 0x3400:
+                bad = {b for w in WRONG_FOR_UTF8 if w not in WIDE_CODECS and (b := garble(text, "utf-8", w))}
+            elif head == "c":
                 bad = {b for b in garbled_forms(text) if len(b) > 1 or ord(b) >= 0x2E80}
             elif head == "g":
                 bad = {b for w in WIDE_CODECS if (b := garble(text, "utf-8", w)) and len(b) == 3 and all(ord(c) >= 0x2E80 for c in b)}
@@ -319,6 +327,10 @@ def _forward(counts: DataFrame) -> DataFrame:
             for b in bad:
                 if head in "cg" and ("�" in b or b.isascii()):
                     continue
+                if held is not None:
+                    h = form_place(head + b)
+                    if not held.value[h >> 3] >> (h & 7) & 1:
+                        continue
                 for name, value in zip(out, (("c" if head == "g" else head) + b, form, n)):
                     out[name].append(value)
         return out
@@ -326,16 +338,21 @@ def _forward(counts: DataFrame) -> DataFrame:
     return map_batches(counts.where("NOT form RLIKE '[\\\\x{80}-\\\\x{9f}\\\\x{fffd}]'"), work, "form string, original string, n_original long")
 
 
-def _bitmap(pieces: DataFrame) -> np.ndarray:
-    """The bitmap of the forms of single characters and pairs: ``BITS`` bits, whatever their number.
+def form_place(form: str) -> int:
+    """The place of a word or a run in the bitmap."""
+    return xxhash.xxh32_intdigest(form) & (BITS - 1)
+
+
+def _bitmap(forms: DataFrame, place=form_place) -> np.ndarray:
+    """A bitmap of forms: ``BITS`` bits, whatever their number.
 
     Spark joins the bits in blocks of 4 KB, so the driver gets at most ``BITS / 8`` bytes.
     """
 
     def places(batch):
-        return {"p": [place(f[1:]) + 1 for f in column(batch, "form")]}  # Spark counts them from 1
+        return {"p": [place(f) + 1 for f in column(batch, "form")]}  # Spark counts them from 1
 
-    blocks = map_batches(pieces.select("form"), places, "p long").groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+    blocks = map_batches(forms.select("form"), places, "p long").groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
     out = np.zeros(BITS // 8, dtype=np.uint8)
     for r in blocks.collect():
         at = (r.b - 1) * 4096
@@ -346,10 +363,10 @@ def _bitmap(pieces: DataFrame) -> np.ndarray:
 
 def _alphabets(spark) -> DataFrame:
     """(form): the single characters of ``ALPHABETS``."""
-    parts = [spark.range(a, b, 1, 8) for a, b in ALPHABETS]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
+    inside = F.lit(False)
+    for a, b in ALPHABETS:
+        inside = inside | F.col("id").between(a, b - 1)
+    every = spark.range(ALPHABETS[0][0], ALPHABETS[-1][1], 1, 4).where(inside)
     hexed = F.lpad(F.hex("id"), 8, "0")
     return every.select(F.concat(F.lit("c"), F.decode(F.unhex(hexed), "UTF-32")).alias("form"))
 
@@ -367,7 +384,7 @@ def garbled(df: DataFrame) -> DataFrame:
     # Forms are spread by their hash: a few forms make many.
     spread = lambda x: x.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "form")
     counts = cut(spread(counts))
-    forward = _forward(counts)
+    forward = _forward(counts, spark.sparkContext.broadcast(_bitmap(counts)))
     # One original per garbled form: the most frequent.
     best = forward.groupBy("form").agg(F.max_by("original", F.struct("n_original", "original")).alias("original"), F.max("n_original").alias("n_original"))
     least = F.when(F.col("form").startswith("r"), F.lit(RUN_RATIO)).otherwise(1)
@@ -375,7 +392,7 @@ def garbled(df: DataFrame) -> DataFrame:
     hits = records.join(table, "form").select(*key, F.struct("form", "original").alias("fix"))
     lost = records.where("form IS NULL").select(*key, F.lit(None).cast(hits.schema["fix"].dataType).alias("fix"))
     letter_table = cut(_forward(spread(letters)).groupBy("form").agg(F.min("original").alias("original")))
-    bitmap = spark.sparkContext.broadcast(_bitmap(letter_table))
+    bitmap = spark.sparkContext.broadcast(_bitmap(letter_table, lambda f: place(f[1:])))
 
     def pieces(batch):
         out = {"tab": [], "rec_id": [], "field": [], "form": []}
