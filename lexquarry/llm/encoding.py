@@ -402,8 +402,8 @@ def garbled(df: DataFrame) -> DataFrame:
                 out[name] += values
         return out
 
-    # Only texts with two neighbours beyond ASCII, or one beside a Latin letter, can hold such a piece.
-    rows = df.where(F.col("text").rlike(r"[^\x00-\x7f]{2}|[a-zñ][\x{2e80}-\x{ffef}]|[\x{2e80}-\x{ffef}][a-z]")).select(*key, "text")
+    # Only texts with two neighbours beyond ASCII, or an East Asian character, can hold such a piece.
+    rows = df.where(F.col("text").rlike(r"[^\x00-\x7f](?:[^\x00-\x7f]|(?<=[\x{2e80}-\x{ffef}]))")).select(*key, "text")
     found = map_batches(rows, pieces, "tab string, rec_id long, field string, form string").join(letter_table, "form").select(*key, F.struct("form", "original").alias("fix"))
     # A record holds few distinct forms, so the list per record is short.
     return hits.unionByName(lost).unionByName(found).groupBy(*key).agg(F.collect_set("fix").alias("fixes"), F.max(F.col("fix").isNull()).alias("lost")).drop("lost")

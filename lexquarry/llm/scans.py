@@ -1,19 +1,20 @@
 """Noise in text from scanned pages: find it line by line, and repair the text.
 
-Three passes over the lines, each pre-aggregated inside its tasks:
-
-1. Corpus counts: words, pairs of neighbouring words, and whole short lines.
-2. Page furniture: lines are masked (digits to ``#``, rare capitalised words to ``<X>``), and masks
-   that stand nearly always at page edges become header templates; masks whose number follows the
-   page number become page-number templates.
-3. Labelling: templates are matched with up to two misread characters; words outside the vocabulary
-   are grouped with the frequent word of the same confusable-glyph skeleton and count as misread when
-   that word is supported by a neighbour; words broken at a line end are joined with the next line of
-   running text. A window over the pages of a scan gives the last line of a page the first word of
-   the next page.
-
-What passes 1 and 2 hand to the tasks is chosen by relative frequency (a word makes up at least
-``WORD_SHARE`` of all words, and so on), so its size is bounded by ``1 / share`` entries at any scale.
+1. *Counts* of words, of pairs of neighbouring words and of short lines, pre-aggregated inside tasks, stay
+   tables. Nothing is cut by its share of the corpus: every threshold is a least support (``LEAST``), a ratio
+   between two counts, or a confidence bound, so a text gets the same rows in a small and a large corpus.
+2. *Page furniture*: lines at page edges are masked (digits to ``#``, and runs of capitalised words one after
+   another to ``<X>``). A mask becomes a header template if it stands at edges nearly always, as far as its count
+   tells (Wilson's lower bound), or, grouped by scan, on half of the pages of one scan; masks whose number
+   follows the page number become page-number templates. Templates are matched with up to two misread
+   characters. They go to the tasks in blocks of ``TEMPLATE_BYTES``; beyond one block every block labels all
+   lines and the labels are joined to the texts.
+3. *Misread words*: words are grouped by confusable-glyph skeleton. A form that another form of its group
+   exceeds ``DOMINANCE`` times, or at all if it has other signs than letters, is suspect; tasks recognise suspects by a bitmap of fixed size and hand on only
+   those with their neighbours, for joins with the forms and with the pairs: the frequent form counts if a
+   neighbour supports it. Words broken at a line end are joined with the next line of running text or, by a
+   window over the pages of a scan, with the next page, and looked up whole and hyphened.
+4. *Paragraphs* are reflowed in windows over the lines of a scan, so they run on across pages.
 
 Defined results: null and empty texts have no lines of interest; lines are split at line feeds only
 and counted from 0; a page scanned twice gives rows for each scan; a broken word whose next page is
@@ -26,15 +27,21 @@ import re
 from collections import Counter
 from functools import lru_cache
 
+import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lexquarry.llm.arrow import column, map_batches
 from lexquarry.session import cut
 
-WORD_SHARE, PAIR_SHARE, LINE_SHARE, MASK_SHARE = 4e-5, 5e-6, 1e-5, 2e-3
-LEAST = 3
+LEAST, DOMINANCE = 3, 10
+#: Lower bounds of the share of a mask's lines at page edges, and of those that print the page number.
+EDGE_BOUND, NUMBER_BOUND, Z = 0.5, 0.35, 1.96
 SHORT = 8
 EDGE = 3
+TEMPLATE_BYTES = 1 << 20
+#: Size of the bitmap of suspect forms.
+BITS = 1 << 24
 #: Glyphs that scans confuse, each replaced by strokes that all look-alikes share: ``d`` looks like ``cl``,
 #: ``h`` like ``li``, ``u`` like ``ii``, ``n`` like ``ri``, ``m`` like ``rn``, and so on.
 GLYPHS = str.maketrans({
@@ -64,6 +71,27 @@ def plain(token: str) -> str:
     return token.strip(EDGE_PUNCT).lower()
 
 
+def digits_masked(bare: str) -> str:
+    return NUMBER.sub("#", re.sub(r"-[A-Za-z](?=-)", "", bare)).lower()
+
+
+def masks(bare: str) -> list[str]:
+    """The line with its digits masked, then with one run of one or two capitalised words at a time masked as well."""
+    tokens = bare.split()
+    plain_mask = [digits_masked(t) for t in tokens]
+    found = [" ".join(plain_mask)]
+    capital = [t.strip(EDGE_PUNCT)[:1].isupper() and not any(c.isdigit() for c in t) for t in tokens]
+    for n in (1, 2):
+        for i in range(len(tokens) - n + 1):
+            if all(capital[i : i + n]):
+                found.append(" ".join([*plain_mask[:i], "<X>", *plain_mask[i + n :]]))
+    return found
+
+
+def place(form: str) -> int:
+    return xxhash.xxh32_intdigest(form) & (BITS - 1)
+
+
 def kind_of(token: str) -> str:
     """What stands for a token in a pair of neighbours: the word, a name or a number."""
     bare = token.strip(EDGE_PUNCT)
@@ -72,55 +100,15 @@ def kind_of(token: str) -> str:
     return "X" if bare[:1].isupper() else bare
 
 
-def _counts(df: DataFrame) -> dict[str, dict[str, int]]:
-    """Pass 1: frequent words, pairs and short lines, each above its share of the corpus."""
+class Specks:
+    """Stray marks: short lines that hardly ever stand inside longer lines."""
 
-    def work(batch):
-        words, pairs, lines, inner = Counter(), Counter(), Counter(), Counter()
-        for text in column(batch, "text"):
-            for line in text.split("\n"):
-                bare = line.strip()
-                if len(bare) <= SHORT:
-                    if bare:
-                        lines[bare] += 1
-                    continue
-                tokens = bare.split()
-                words.update(map(plain, tokens))
-                inner.update(t for t in tokens[:-2] if len(t) <= 4)
-                kinds = list(map(kind_of, tokens))
-                pairs.update(map(" ".join, zip(kinds, kinds[1:])))
-        found = [("w", k, n) for k, n in words.items() if k] + [("b", k, n) for k, n in pairs.items()] + [("l", k, n) for k, n in lines.items()] + [("i", k, n) for k, n in inner.items()]
-        return dict(zip(("kind", "key", "n"), map(list, zip(*found)))) if found else None
-
-    counts = map_batches(df.select("text"), work, "kind string, key string, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    counts = cut(counts.where(F.col("n") >= LEAST).select("*"))
-    total = {r.kind: r.n for r in counts.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    share = {"w": WORD_SHARE, "b": PAIR_SHARE, "l": LINE_SHARE, "i": LINE_SHARE}
-    frequent = F.lit(False)
-    for k, n in total.items():
-        frequent = frequent | ((F.col("kind") == k) & (F.col("n") >= max(LEAST, share[k] * n)))
-    out: dict[str, dict[str, int]] = {"w": {}, "b": {}, "l": {}, "i": {}}
-    for r in counts.where(frequent).collect():
-        out[r.kind][r.key] = r.n
-    return out
-
-
-class Lexicon:
-    """What the counts of pass 1 say about words and short lines."""
-
-    def __init__(self, counts: dict[str, dict[str, int]]):
-        self.words = {w: n for w, n in counts["w"].items() if LETTERS.match(w)}
-        self.pairs = frozenset(counts["b"])
-        self.by_skeleton: dict[str, list[str]] = {}
-        for w in self.words:
-            if len(w) > 2:
-                self.by_skeleton.setdefault(skeleton(w), []).append(w)
-        # A short line whose words hardly ever stand inside longer lines is a stray mark.
+    def __init__(self, lines: dict[str, int], inner: dict[str, int]):
         self.specks = frozenset(
-            s for s, n in counts["l"].items()
+            s for s, n in lines.items()
             if not PAGE.match(s) and len(s) <= 6 and not s.endswith((".", ";", ":", ",", "?", "”", "»", ")")) and s == s.strip("-")
             and not any(c.isdigit() and len(s.split()) == 1 for c in s)
-            and max(counts["i"].get(t, 0) for t in s.split()) < n
+            and max(inner.get(t, 0) for t in s.split()) < n
         )
         self.speck_tokens = frozenset(t.lower() for s in self.specks for t in s.split())
 
@@ -147,45 +135,143 @@ class Lexicon:
             a += 1
         return " ".join(tokens[a:b])
 
-    def mask(self, bare: str) -> str:
-        """Digits to ``#`` and words outside the vocabulary to ``<X>``; neighbouring ones to one."""
-        out: list[str] = []
-        for t in bare.split():
-            if any(c.isdigit() for c in t):
-                t = NUMBER.sub("#", re.sub(r"-[A-Za-z](?=-)", "", t)).lower()
-            elif t[:1].isupper() and plain(t) not in self.words:
-                t = "<X>"
-            else:
-                t = t.lower()
-            if t != "<X>" or not out or out[-1] != "<X>":
-                out.append(t)
-        return " ".join(out)
-
-    def intended(self, token: str, before: str, after: str) -> str | None:
-        """The frequent word that a misread token stands for, if a neighbour supports it."""
-        bare = token.strip(EDGE_PUNCT)
-        low = bare.lower()
-        if len(low) < 3 or low in self.words or low.rstrip("!") in self.words or not any(c.isalpha() for c in low):
-            return None
-        odd = any(not c.isalpha() for c in low)
-        if odd and sum(c.isdigit() for c in low) * 3 > len(low):
-            return None
-        if not odd and not bare[0].islower() and before != "":
-            return None
-        best = None
-        for shape in (low, low.rstrip("!")):
-            for word in self.by_skeleton.get(skeleton(shape), ()):
-                if word != shape and (f"{before} {word}" in self.pairs or f"{word} {after}" in self.pairs or odd and bare[0].isupper()):
-                    if best is None or self.words[word] > self.words[best]:
-                        best = word
-        return best
-
-    def keeps_hyphen(self, first: str, rest: str) -> bool:
-        """Whether a word broken at a line end keeps its hyphen."""
-        if not rest or not rest[0].islower() and not first.isupper():
-            return True
-        hyphened, joined = self.words.get(f"{first}-{rest}".lower(), 0), self.words.get((first + rest).lower(), 0)
-        return hyphened > joined
+
+def keeps_hyphen(first: str, rest: str) -> bool:
+    """Whether a word broken at a line end keeps its hyphen whatever the corpus says."""
+    return not rest or not rest[0].islower() and not first.isupper()
+
+
+def _counts(df: DataFrame) -> DataFrame:
+    """(kind, key, n): words (``w``), pairs (``b``), short lines (``l``) and short tokens inside lines (``i``)."""
+
+    def work(batch):
+        words, pairs, lines, inner = Counter(), Counter(), Counter(), Counter()
+        for text in column(batch, "text"):
+            for line in text.split("\n"):
+                bare = line.strip()
+                if len(bare) <= SHORT:
+                    if bare:
+                        lines[bare] += 1
+                    continue
+                tokens = bare.split()
+                words.update(map(plain, tokens))
+                inner.update(t for t in tokens[:-2] if len(t) <= 4)
+                kinds = list(map(kind_of, tokens))
+                pairs.update(map(" ".join, zip(kinds, kinds[1:])))
+        shaped = lambda w: any(map(str.isalpha, w)) and 3 * sum(map(str.isdigit, w)) <= len(w)
+        found = [("w", k, n) for k, n in words.items() if len(k) > 2 and shaped(k)] + [("b", k, n) for k, n in pairs.items()] + [("l", k, n) for k, n in lines.items() if len(k) <= 6] + [("i", k, n) for k, n in inner.items()]
+        return dict(zip(("kind", "key", "n"), map(list, zip(*found)))) if found else None
+
+    counts = map_batches(df.select("text"), work, "kind string, key string, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return cut(counts.where((F.col("kind") == "w") | (F.col("n") >= LEAST)))
+
+
+def _specks(counts: DataFrame) -> Specks:
+    """Short lines have six characters at most, and only tokens of such lines are asked for."""
+    lines = counts.where("kind = 'l'")
+    inner = counts.where("kind = 'i'").join(lines.select(F.explode(F.split("key", r"\s+")).alias("key")).distinct(), "key", "left_semi")
+    rows = {k: {r.key: r.n for r in part.select("key", "n").collect()} for k, part in (("l", lines), ("i", inner))}
+    return Specks(rows["l"], rows["i"])
+
+
+def _least(form, n):
+    """What a form must be exceeded by: other signs than letters make no word."""
+    return F.when(form.rlike(r"^[\p{L}’'-]+$"), DOMINANCE * n).otherwise(n)
+
+
+def _words(counts: DataFrame) -> DataFrame:
+    """(skeleton, form, n, whole): the forms of the corpus; ``whole`` ones have letters only and may be meant by others."""
+
+    def work(batch):
+        forms = column(batch, "key")
+        return {"skeleton": list(map(skeleton, forms)), "form": forms, "n": column(batch, "n"), "whole": [bool(LETTERS.match(w)) for w in forms]}
+
+    return map_batches(counts.where("kind = 'w'").select("key", "n"), work, "skeleton string, form string, n long, whole boolean")
+
+
+def _confusions(words: DataFrame) -> DataFrame:
+    """(form, meant, n_meant): forms with the forms of their skeleton that exceed them many times."""
+    meant = words.where(F.col("whole") & (F.col("n") >= LEAST)).select("skeleton", F.col("form").alias("meant"), F.col("n").alias("n_meant"))
+    pairs = words.join(meant, "skeleton").where((F.col("form") != F.col("meant")) & (F.col("n_meant") >= _least(F.col("form"), F.col("n"))))
+    # A word before an exclamation mark is no misread word if it is one without the mark.
+    called = words.select(F.col("form").alias("called"), F.col("n").alias("n_called"))
+    shouted = pairs.where("form LIKE '%!'").withColumn("called", F.rtrim("form", F.lit("!"))).join(called, "called", "left").where(F.col("n_called").isNull() | (F.col("n_meant") >= DOMINANCE * F.col("n_called")))
+    cols = ("form", "meant", "n_meant")
+    return pairs.where("NOT form LIKE '%!'").select(*cols).unionByName(shouted.select(*cols))
+
+
+def _bitmap(forms: DataFrame) -> np.ndarray:
+    """The bitmap of forms, ``BITS`` bits whatever their number; Spark joins it in blocks of 4 KB."""
+
+    def places(batch):
+        return {"p": [place(f) + 1 for f in column(batch, "form")]}  # Spark counts them from 1
+
+    blocks = map_batches(forms.select("form"), places, "p long").groupBy(F.bitmap_bucket_number("p").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+    out = np.zeros(BITS // 8, dtype=np.uint8)
+    for r in blocks.collect():
+        bits = np.frombuffer(bytes(r.bits), dtype=np.uint8)
+        out[(r.b - 1) * 4096 : (r.b - 1) * 4096 + len(bits)] |= bits
+    return out
+
+
+def _lower_bound(hits, n):
+    """Wilson's lower bound of a share."""
+    p = hits / n
+    return (p + Z * Z / (2 * n) - Z * F.sqrt(p * (1 - p) / n + Z * Z / (4 * n * n))) / (1 + Z * Z / n)
+
+
+def _templates(pages: DataFrame, specks) -> DataFrame:
+    """(kind, mask, hits) over whole pages (doc, scan_no, page_no, text): header masks ``h`` and page-number masks ``n``."""
+
+    def work(batch):
+        found: dict[tuple, list[int]] = {}
+        for doc, scan, text, page_no in zip(*(column(batch, c) for c in ("doc", "scan_no", "text", "page_no"))):
+            lines = [b for b in (x.strip() for x in text.split("\n")) if b]
+            for i, bare in enumerate(lines):
+                edge = i < EDGE or i >= len(lines) - EDGE
+                numbers = NUMBER.findall(bare) if len(bare) <= 16 else ()
+                if numbers and numbers != [bare]:
+                    c = found.setdefault(("n", NUMBER.sub("#", bare.lower()), doc, scan), [0, 0])
+                    c[0] += 1
+                    c[1] += edge and page_no is not None and str(page_no) in numbers
+                clean = specks.value.without_specks(bare)
+                if may_be_header(clean) and not PAGE.match(clean):
+                    for k, mask in enumerate(masks(clean)):
+                        if sum(c.isalpha() for c in mask.replace("<X>", "")) >= 6:
+                            c = found.setdefault(("x" if k else "h", mask, doc, scan), [0, 0])
+                            c[0] += 1
+                            c[1] += edge
+        rows = [(*key, *v) for key, v in found.items()]
+        return dict(zip(("kind", "mask", "doc", "scan_no", "n", "hits"), map(list, zip(*rows)))) if rows else None
+
+    schema = "kind string, mask string, doc string, scan_no int, n long, hits long"
+    per_scan = map_batches(pages.select("doc", "scan_no", "text", "page_no"), work, schema).groupBy("kind", "mask", "doc", "scan_no").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+    sizes = pages.groupBy("doc", "scan_no").agg(F.count("*").alias("n_pages"))
+    own = F.col("doc").isNotNull() & (F.col("kind") == "h") & (F.col("hits") >= LEAST) & (2 * F.col("hits") >= F.col("n_pages"))
+    # One row per scan, so nothing is exchanged again but the sums of a mask.
+    rows = per_scan.join(sizes, ["doc", "scan_no"], "left").groupBy("kind", "mask").agg(
+        F.sum("n").alias("n"), F.sum("hits").alias("hits"), F.max(F.coalesce(own, F.lit(False))).alias("own"), F.count("*").alias("n_scans")
+    )
+    number = F.col("kind") == "n"
+    ratio = F.when(number, 0.5).otherwise(0.7)
+    anywhere = (F.col("hits") >= LEAST) & (F.col("hits") >= ratio * F.col("n")) & (_lower_bound(F.col("hits"), F.col("n")) >= F.when(number, NUMBER_BOUND).otherwise(EDGE_BOUND)) & ((F.col("kind") != "x") | (F.col("n_scans") > 1))
+    return cut(rows.where(F.col("own") | anywhere).select(F.when(number, "n").otherwise("h").alias("kind"), "mask", "hits"))
+
+
+def may_be_header(clean: str) -> bool:
+    """Whether a line may be furniture by its looks: not like running text."""
+    return len(clean) >= 8 and clean[-1] not in ".;:,?" and not clean[:1].islower() and sum(t[:1].islower() for t in clean.split()) <= 3
+
+
+def _blocks(templates: DataFrame) -> list[tuple[list[str], list[str]]]:
+    """The templates by blocks of bounded size: (headers, page numbers) each; one empty block if there are none."""
+    size = templates.agg(F.sum(F.octet_length("mask") + 64).alias("b")).first().b or 0
+    n = max(1, -(-size // TEMPLATE_BYTES))
+    out = []
+    for b in range(n):
+        rows = templates.where(F.pmod(F.xxhash64("mask"), F.lit(n)) == b).orderBy(F.desc("hits"), "mask").collect()
+        out.append(([r.mask for r in rows if r.kind == "h"], [r.mask for r in rows if r.kind == "n"]))
+    return out
 
 
 def _within(a: str, b: str, most: int) -> int | None:
@@ -205,11 +291,15 @@ def _within(a: str, b: str, most: int) -> int | None:
 class Furniture:
     """Header and page-number templates."""
 
-    def __init__(self, lexicon: Lexicon, headers: list[str], numbers: list[str]):
-        self.lexicon, self.headers, self.numbers = lexicon, frozenset(headers), frozenset(numbers)
+    def __init__(self, specks: Specks, headers: list[str], numbers: list[str]):
+        self.specks, self.headers, self.numbers = specks, frozenset(headers), frozenset(numbers)
         # (text before the first name, text after the last): what of a template is compared with edits.
         self.ends = []
+        self.kind = self._kind
         for h in headers:
+            # Headers come by falling frequency: one that reads as a more frequent one is a misread header.
+            if len(h) >= 10 and "<X>" not in h and self._reads_as_header(h):
+                continue
             before, after = h.split("<X>")[0], h.split("<X>")[-1] if "<X>" in h else None
             # Two edits leave one of three parts of the template as it is.
             parts = sorted((x for x in (before, after) if x), key=len)
@@ -220,19 +310,21 @@ class Furniture:
         self.kind = lru_cache(100_000)(self._kind)
 
     def _kind(self, bare: str) -> str | None:
-        clean = self.lexicon.without_specks(bare)
+        clean = self.specks.without_specks(bare)
         for form in (bare, clean):
             if NUMBER.sub("#", form.lower()) in self.numbers or PAGE.match(form) and not (ROMAN.match(form) and form.isalpha()):
                 return "page_number"
-        if self.lexicon.is_speck(bare):
+        if self.specks.is_speck(bare):
             return "speck"
-        if self.lexicon.mask(clean) in self.headers:
+        if any(m in self.headers for m in masks(clean)):
             return "header"
         # Running text that ends like a sentence, or starts in lower case, is not compared with edits.
-        if len(clean) < 8 or len(clean) > 70 or clean[-1:] in ".;:," or clean[:1].islower() and clean[:2].islower() and " " not in clean[:10]:
+        if len(clean) < 8 or clean[-1:] in ".;:," or clean[:1].islower() and clean[:2].islower() and " " not in clean[:10] or sum(t[:1].islower() for t in clean.split()) > 4:
             return None
-        low = NUMBER.sub("#", re.sub(r"-[A-Za-z](?=-)", "", clean)).lower()
-        return "header" if any(any(p in low for p in parts) and self._alike(low, before, after) for parts, before, after in self.ends) else None
+        return "header" if self._reads_as_header(digits_masked(clean)) else None
+
+    def _reads_as_header(self, low: str) -> bool:
+        return any(any(p in low for p in parts) and self._alike(low, before, after) for parts, before, after in self.ends)
 
     @staticmethod
     def _alike(low: str, before: str, after: str | None) -> bool:
@@ -255,242 +347,212 @@ def _end_within(text: str, start: str) -> int | None:
     return min(found, default=None)
 
 
-def _templates(pages: DataFrame, lexicon) -> tuple[list[str], list[str]]:
-    """Pass 2, over whole pages: (header masks, page-number masks)."""
-
-    def work(batch):
-        lex: Lexicon = lexicon.value
-        seen: dict[tuple[str, str], list[int]] = {}
-        for text, page_no in zip(column(batch, "text"), column(batch, "page_no")):
-            lines = [b for b in (x.strip() for x in text.split("\n")) if b]
-            for i, bare in enumerate(lines):
-                if len(bare) > 70:
-                    continue
-                edge = i < EDGE or i >= len(lines) - EDGE
-                clean = lex.without_specks(bare)
-                numbers = NUMBER.findall(bare)
-                if len(bare) <= 16 and numbers and numbers != [bare]:
-                    c = seen.setdefault(("n", NUMBER.sub("#", bare.lower())), [0, 0])
-                    c[0] += 1
-                    c[1] += edge and page_no is not None and str(page_no) in numbers
-                small = sum(t[:1].islower() for t in clean.split())
-                if clean[-1:] not in ".;:,?" and not clean[:1].islower() and small <= 3 and len(clean) >= 8 and not PAGE.match(clean):
-                    c = seen.setdefault(("h", lex.mask(clean)), [0, 0])
-                    c[0] += 1
-                    c[1] += edge
-        found = [(k, m, n, hits) for (k, m), (n, hits) in seen.items()]
-        return dict(zip(("kind", "mask", "n", "hits"), map(list, zip(*found)))) if found else None
-
-    n_pages = pages.count()
-    rows = (
-        map_batches(pages.select("text", "page_no"), work, "kind string, mask string, n long, hits long")
-        .groupBy("kind", "mask").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
-        # A page has at most 2 * EDGE edge lines, so the share bounds the number of templates.
-        .where((F.col("hits") >= max(LEAST, MASK_SHARE * n_pages)) & (F.col("hits") * 10 >= F.col("n") * F.when(F.col("kind") == "h", 7).otherwise(5)))
-        .collect()
-    )
-    headers = [r.mask for r in rows if r.kind == "h" and sum(c.isalpha() for c in r.mask.replace("<X>", "")) >= 6]
-    hits = {r.mask: r.hits for r in rows if r.kind == "h"}
-    misread = set()
-    for mask in headers:
-        # The same header with one misread word is no template of its own; it is matched with edits.
-        words = mask.split()
-        for i in range(len(words)):
-            other = " ".join(w for k, w in enumerate(x) if not (w == "<X>" and k and x[k - 1] == "<X>")) if (x := [*words[:i], "<X>", *words[i + 1 :]]) else ""
-            if other != mask and hits.get(other, hits[mask]) < hits[mask]:
-                misread.add(other)
-    return [h for h in headers if h not in misread], [r.mask for r in rows if r.kind == "n"]
+class Reader:
+    """Labels the lines of one text and finds what may be misread or broken."""
 
+    def __init__(self, furniture: Furniture | None, suspects: np.ndarray):
+        self.furniture = furniture
+        self.suspect = lru_cache(200_000)(lambda w: len(w) > 2 and bool(suspects[(h := place(w)) >> 3] >> (h & 7) & 1))
 
-class Reader:
-    """Labels the lines of one text and repairs it."""
+    def label(self, text: str) -> list[tuple[int, str]]:
+        return [(i, kind) for i, line in enumerate(text.split("\n")) if (bare := line.strip()) and (kind := self.furniture.kind(bare))]
 
-    def __init__(self, lexicon: Lexicon, furniture: Furniture):
-        self.lexicon, self.furniture = lexicon, furniture
+    def read(self, text: str, furniture: list[tuple[int, str]]):
+        """(lines, numbers of the running lines, suspects, broken ends).
 
-    def read(self, text: str) -> tuple[list[tuple[int, str]], list[int], list[str]]:
-        """(line, kind) found, the running lines, and all lines as repaired so far."""
+        A suspect is (line, token, form, before, after, loose), a broken end (line, next line or None,
+        first part, rest or None, word, before); its rest may be on the next page.
+        """
         lines = text.split("\n")
-        found: list[tuple[int, str]] = []
-        running: list[int] = []
-        for i, line in enumerate(lines):
-            bare = line.strip()
-            if not bare:
-                continue
-            kind = self.furniture.kind(bare) if len(bare) <= 72 else None
-            if kind:
-                found.append((i, kind))
-            else:
-                running.append(i)
-        fixed = list(lines)
-        lex = self.lexicon
-        broken_from = None  # (line, first part) of a word that goes on in the next running line
+        marked = {i for i, _ in furniture}
+        running = [i for i, line in enumerate(lines) if i not in marked and line.strip()]
+        suspects, broken, tail = [], [], False
         for at, i in enumerate(running):
-            line = lines[i]
-            tokens = list(TOKEN.finditer(line))
-            follow = at + 1 < len(running)
-            m = BROKEN.search(line)
+            tokens = lines[i].split()
+            skip, m = tail, BROKEN.search(lines[i])
+            follow = running[at + 1] if at + 1 < len(running) else None
             tail = bool(m)
-            if m and follow:
-                rest = HEAD.match(lines[running[at + 1]])
-                if not lex.keeps_hyphen(m.group(1), rest.group(1) if rest else ""):
-                    found.append((i, "hyphen"))
-            out, last = [], 0
-            bad = False
             for k, t in enumerate(tokens):
-                if k == 0 and broken_from or tail and k == len(tokens) - 1:
-                    continue  # parts of broken words are judged together below
-                bare = plain(t.group())
-                if bare in lex.words:
+                if k == 0 and skip or tail and k == len(tokens) - 1:
+                    continue  # parts of broken words are judged together
+                bare = t.strip(EDGE_PUNCT)
+                low = bare.lower()
+                if not self.suspect(low):
                     continue
-                before = kind_of(tokens[k - 1].group()) if k else ""
-                after = kind_of(tokens[k + 1].group()) if k + 1 < len(tokens) else ""
-                want = lex.intended(t.group(), before or "^", after or "$") if before or after else None
-                if want is None and (not before or not after):
-                    want = self._over_lines(lines, running, at, k, len(tokens), t.group(), before, after)
-                if want:
-                    bad = True
-                    core = t.group().strip(EDGE_PUNCT)
-                    a = t.start() + t.group().find(core)
-                    out.append(line[last:a] + (want.capitalize() if core[0].isupper() else want))
-                    last = a + len(core)
-            if bad:
-                found.append((i, "misread"))
-                fixed[i] = "".join(out) + line[last:]
-            if m and follow and (i, "hyphen") in found[-2:]:
-                rest = HEAD.match(lines[running[at + 1]])
-                first_token, second_token = tokens[-1].group(), TOKEN.search(lines[running[at + 1]]).group()
-                first = first_token.rstrip(BREAK + " ")
-                word = plain(first) + second_token.lower().strip(EDGE_PUNCT)
-                if word not in lex.words:
-                    want = lex.intended(first.lstrip(EDGE_PUNCT) + second_token.rstrip(EDGE_PUNCT), kind_of(tokens[-2].group()) if len(tokens) > 1 else "^", "$") or self._by_shape(word)
-                    if want:
-                        n = len(plain(first))
-                        where = i if plain(first) != want[:n] else running[at + 1]
-                        if (where, "misread") not in found:
-                            found.append((where, "misread"))
-                broken_from = i
-            else:
-                broken_from = None
-        return found, running, fixed
-
-    def _by_shape(self, word: str) -> str | None:
-        options = self.lexicon.by_skeleton.get(skeleton(word), ())
-        return max(options, key=self.lexicon.words.get) if options and word not in options and len(word) > 4 else None
-
-    def _over_lines(self, lines, running, at, k, n, token, before, after) -> str | None:
-        """Look for the neighbour of the first or last word of a line in the lines around it."""
-        if k == 0 and at:
-            prior = lines[running[at - 1]].split()
-            before = kind_of(prior[-1]) if prior else ""
-        if k == n - 1 and at + 1 < len(running):
-            later = lines[running[at + 1]].split()
-            after = kind_of(later[0]) if later else ""
-        return self.lexicon.intended(token, before or "^", after or "$")
-
-
-SCHEMA = "tab string, rec_id long, line_no int, kind string, doc string, scan_no int, page_no int, part string"
-
-
-def analysed(df: DataFrame, pages: str = "scan_pages"):
-    """(lexicon, furniture) of a corpus, as broadcast values."""
-    spark = df.sparkSession
-    rows = df.where(F.col("text").isNotNull()).select("tab", "text", "page_no")
-    lexicon = spark.sparkContext.broadcast(Lexicon(_counts(rows)))
-    headers, numbers = _templates(rows.where(F.col("tab") == pages), lexicon)
-    return lexicon, (headers, numbers)
+                odd = any(not c.isalpha() for c in low)
+                if not odd and not bare[0].islower() and k:
+                    continue  # a name
+                before = kind_of(tokens[k - 1]) if k else self._last(lines, running, at)
+                after = kind_of(tokens[k + 1]) if k + 1 < len(tokens) else self._first(lines, running, at)
+                suspects.append((i, bare, low, before, after, odd and bare[0].isupper()))
+            if m:
+                before = kind_of(tokens[-2]) if len(tokens) > 1 else "^"
+                if follow is None:
+                    broken.append((i, None, m.group(1), None, "", before))
+                else:
+                    rest = HEAD.match(lines[follow])
+                    second = lines[follow].split()[0]
+                    word = plain(tokens[-1].rstrip(BREAK + " ")) + second.lower().strip(EDGE_PUNCT)
+                    broken.append((i, follow, m.group(1), rest.group(1) if rest else "", word, before))
+        return lines, running, suspects, broken
 
+    @staticmethod
+    def _last(lines, running, at) -> str:
+        return kind_of(lines[running[at - 1]].split()[-1]) if at else "^"
+
+    @staticmethod
+    def _first(lines, running, at) -> str:
+        return kind_of(lines[running[at + 1]].split()[0]) if at + 1 < len(running) else "$"
+
+
+KEY = ("tab", "rec_id")
+READ = "tab string, rec_id long, line_no int, kind string, doc string, scan_no int, page_no int, next_line int, token string, form string, skeleton string, before string, after string, loose boolean, rest string"
 
-def noise(df: DataFrame) -> DataFrame:
-    """(tab, rec_id, line_no, kind) of df (tab, rec_id, doc, scan_no, page_no, text).
 
-    Rows with a page number are pages of a scan; the others are texts of their own.
+class Analysis:
+    """What a corpus (tab, rec_id, doc, scan_no, page_no, text) says about its lines.
+
+    ``lines`` (tab, rec_id, line_no, kind) has every finding, ``fixes`` (tab, rec_id, line_no, token,
+    meant) the misread words. Rows with a page number are pages of a scan; the others are texts of their own.
     """
-    lexicon, templates = analysed(df)
+
+    def __init__(self, df: DataFrame, pages: str = "scan_pages"):
+        spark = df.sparkSession
+        texts = df.where(F.col("text").isNotNull()).select(*KEY, "doc", "scan_no", "page_no", "text")
+        counts = _counts(texts)
+        specks = spark.sparkContext.broadcast(_specks(counts))
+        words = cut(_words(counts))
+        confusions = cut(_confusions(words))
+        suspects = spark.sparkContext.broadcast(_bitmap(confusions))
+        blocks = _blocks(_templates(texts.where(F.col("tab") == pages), specks))
+        read = cut(self._read(texts, specks, suspects, blocks))
+        verdicts = self._broken(read, words)
+        misread = self._misread(read, verdicts, words, confusions, counts.where("kind = 'b'").select("key", "n"))
+        furniture = read.where("kind IN ('header', 'page_number', 'speck')").select(*KEY, "line_no", "kind")
+        hyphens = verdicts.select(*KEY, "line_no", F.lit("hyphen").alias("kind"))
+        self.fixes = misread
+        self.lines = reduce_union([furniture, hyphens, misread.select(*KEY, "line_no", F.lit("misread").alias("kind"))]).distinct()
+
+    @staticmethod
+    def _read(texts: DataFrame, specks, suspects, blocks) -> DataFrame:
+        one = len(blocks) == 1
+        if not one:
+            # More templates than a block holds: each block labels all lines, the first kind by name counts.
+            labels = reduce_union([_labelled(texts, specks, b) for b in blocks]).groupBy(*KEY, "line_no").agg(F.min("kind").alias("kind"))
+            texts = texts.join(labels.groupBy(*KEY).agg(F.collect_list(F.struct("line_no", "kind")).alias("labels")), list(KEY), "left")
+        else:
+            texts = texts.withColumn("labels", F.lit(None).cast("array<struct<line_no:int,kind:string>>"))
+        made: dict[str, Reader] = {}
+        names = [c.split()[0] for c in READ.split(", ")]
+
+        def work(batch):
+            if not made:
+                made["r"] = Reader(Furniture(specks.value, *blocks[0]) if one else None, suspects.value)
+            reader, rows = made["r"], []
+            for tab, rec, doc, scan, page, text, labels in zip(*(column(batch, c) for c in (*KEY, "doc", "scan_no", "page_no", "text", "labels"))):
+                found = reader.label(text) if one else [(x["line_no"], x["kind"]) for x in labels or ()]
+                lines, running, suspicious, broken = reader.read(text, found)
+                rows += [(tab, rec, i, kind, *[None] * 11) for i, kind in found]
+                rows += [(tab, rec, i, "_suspect", None, None, None, None, token, form, None, before, after, loose, None) for i, token, form, before, after, loose in suspicious]
+                rows += [(tab, rec, i, "_broken", doc, scan, page, follow, first, word, skeleton(word), before, None, None, rest) for i, follow, first, rest, word, before in broken]
+                if running and page is not None:
+                    first = HEAD.match(lines[running[0]])
+                    rows.append((tab, rec, running[0], "_head", doc, scan, page, None, None, None, None, None, None, None, first.group(1) if first else ""))
+            return dict(zip(names, map(list, zip(*rows)))) if rows else None
+
+        return map_batches(texts, work, READ)
+
+    @staticmethod
+    def _broken(read: DataFrame, words: DataFrame) -> DataFrame:
+        """The broken ends whose word is joined without a mark."""
+        turn = Window.partitionBy("tab", "doc", "scan_no").orderBy("page_no").rangeBetween(1, 1)
+        over = F.first(F.when(F.col("kind") == "_head", F.col("rest")), ignorenulls=True).over(turn)
+        paged = read.where("kind = '_head' OR kind = '_broken' AND next_line IS NULL AND page_no IS NOT NULL").withColumn("rest", F.when(F.col("kind") == "_head", F.col("rest")).otherwise(over)).where("kind = '_broken'")
+        ends = paged.unionByName(read.where("kind = '_broken' AND (next_line IS NOT NULL OR page_no IS NULL)"))
+        lower = lambda c: (c == F.lower(c)) & (c != F.upper(c))
+        part, rest = F.col("token"), F.col("rest")
+        decided = F.when(rest.isNull(), lower(part)).when((rest == "") | ~lower(F.left(rest, F.lit(1))) & (part != F.upper(part)), F.lit(False))
+        ends = ends.withColumn("joins", decided)
+        asked = ends.where("joins IS NULL").withColumns({"_h": F.lower(F.concat("token", F.lit("-"), "rest")), "_j": F.lower(F.concat("token", "rest"))})
+        for c in ("_h", "_j"):
+            asked = asked.join(words.select(F.col("form").alias(c), F.col("n").alias(f"n{c}")), c, "left")
+        asked = asked.where(F.coalesce("n_h", F.lit(0)) <= F.coalesce("n_j", F.lit(0))).drop("_h", "_j", "n_h", "n_j")
+        return ends.where("joins").unionByName(asked).drop("joins")
+
+    @staticmethod
+    def _misread(read: DataFrame, verdicts: DataFrame, words: DataFrame, confusions: DataFrame, pairs: DataFrame) -> DataFrame:
+        """(tab, rec_id, line_no, token, meant): misread words with the frequent form that they stand for."""
+        cols = (*KEY, "line_no", "token", "meant")
+        asked = read.where("kind = '_suspect'").select(*KEY, "line_no", "token", "form", "before", "after", "loose").join(confusions, "form")
+        # The frequent form and the form itself, each beside either neighbour.
+        sides = lambda w: F.array(F.concat("before", F.lit(" "), w), F.concat(w, F.lit(" "), "after"))
+        rows = asked.withColumn("k", F.explode(F.arrays_zip(sides(F.col("meant")).alias("g"), sides(F.col("form")).alias("f")))).select("*", F.col("k.g").alias("g"), F.col("k.f").alias("f")).drop("k")
+        rows = rows.join(pairs.select(F.col("key").alias("g"), F.col("n").alias("n_g")), "g", "left").join(pairs.select(F.col("key").alias("f"), F.col("n").alias("n_f")), "f", "left")
+        supported = F.coalesce((F.col("n_g") >= _least(F.col("form"), F.coalesce("n_f", F.lit(0)))), F.lit(False))
+        best = lambda df: df.groupBy(*KEY, "line_no", "token").agg(F.max_by("meant", F.struct("n_meant", "meant")).alias("meant"))
+        plain_ones = best(rows.where(supported | F.col("loose")))
+        # Broken words are judged whole; where the first part agrees, the second one is misread.
+        whole = verdicts.where("next_line IS NOT NULL AND length(form) > 4")
+        whole = whole.join(words.select("form", F.col("n").alias("n_own")), "form", "left")
+        meant = words.where(F.col("whole") & (F.col("n") >= LEAST)).select("skeleton", F.col("form").alias("meant"), F.col("n").alias("n_meant"))
+        whole = whole.join(meant, "skeleton").where((F.col("form") != F.col("meant")) & (F.col("n_meant") >= _least(F.col("form"), F.coalesce("n_own", F.lit(1)))))
+        whole = whole.groupBy(*KEY, "line_no", "next_line", "token", "form").agg(F.max_by("meant", F.struct("n_meant", "meant")).alias("meant"))
+        first = F.lower("token") != F.left("meant", F.char_length("token"))
+        return plain_ones.select(*cols).unionByName(whole.withColumn("line_no", F.when(first, F.col("line_no")).otherwise(F.col("next_line"))).withColumn("token", F.lit(None).cast("string")).select(*cols))
+
+
+def _labelled(texts: DataFrame, specks, block) -> DataFrame:
     made: dict[str, Reader] = {}
 
     def work(batch):
         if not made:
-            made["r"] = Reader(lexicon.value, Furniture(lexicon.value, *templates))
-        reader = made["r"]
-        rows = []
-        for tab, rec, doc, scan, page, text in zip(*(column(batch, c) for c in ("tab", "rec_id", "doc", "scan_no", "page_no", "text"))):
-            found, running, _ = reader.read(text)
-            rows += [(tab, rec, i, kind, None, None, None, None) for i, kind in found]
-            if running:
-                lines = text.split("\n")
-                first, last = HEAD.match(lines[running[0]]), BROKEN.search(lines[running[-1]])
-                if page is not None:
-                    rows.append((tab, rec, running[0], "_head", doc, scan, page, first.group(1) if first else ""))
-                if last:
-                    rows.append((tab, rec, running[-1], "_tail", doc, scan, page, last.group(1)))
-        return dict(zip(("tab", "rec_id", "line_no", "kind", "doc", "scan_no", "page_no", "part"), map(list, zip(*rows)))) if rows else None
-
-    texts = df.where(F.col("text").isNotNull()).select("tab", "rec_id", "doc", "scan_no", "page_no", "text")
-    lines = cut(map_batches(texts, work, SCHEMA))
-    # The last line of a page ends in a broken word: its rest is the first word of the next page.
-    turn = Window.partitionBy("tab", "doc", "scan_no").orderBy("page_no").rangeBetween(1, 1)
-    ends = lines.where("kind IN ('_head', '_tail')").withColumn(
-        "rest", F.when(F.col("page_no").isNotNull(), F.first(F.when(F.col("kind") == "_head", F.col("part")), ignorenulls=True).over(turn))
-    ).where("kind = '_tail'").select("tab", "rec_id", "line_no", "part", "rest")
-
-    def judge(batch):
-        out = {"tab": [], "rec_id": [], "line_no": [], "kind": []}
-        for tab, rec, line, part, rest in zip(*(column(batch, c) for c in ("tab", "rec_id", "line_no", "part", "rest"))):
-            if part.islower() if rest is None else not lexicon.value.keeps_hyphen(part, rest):
-                for name, value in zip(out, (tab, rec, line, "hyphen")):
-                    out[name].append(value)
-        return out
-
-    schema = "tab string, rec_id long, line_no int, kind string"
-    return lines.where("NOT kind IN ('_head', '_tail')").select("tab", "rec_id", "line_no", "kind").unionByName(map_batches(ends, judge, schema)).distinct()
+            made["r"] = Reader(Furniture(specks.value, *block), np.zeros(BITS // 8, dtype=np.uint8))
+        rows = [(tab, rec, i, kind) for tab, rec, text in zip(*(column(batch, c) for c in (*KEY, "text"))) for i, kind in made["r"].label(text)]
+        return dict(zip(("tab", "rec_id", "line_no", "kind"), map(list, zip(*rows)))) if rows else None
+
+    return map_batches(texts, work, "tab string, rec_id long, line_no int, kind string")
+
+
+def reduce_union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def noise(df: DataFrame) -> DataFrame:
+    """(tab, rec_id, line_no, kind) of df (tab, rec_id, doc, scan_no, page_no, text)."""
+    return Analysis(df).lines
+
+
+LABEL = r"^\s*(?:\((?:[a-z]{1,4}|\d+)\)|(?:[a-z]|[ivx]+|\d+)[.)]|•)\s"
 
 
 def paragraphs(df: DataFrame) -> DataFrame:
-    """(tab, rec_id, par_no, paragraph): the repaired running text of each row, in paragraphs.
+    """(tab, rec_id, par_no, paragraph): the repaired running text of every scan and of every other text, in paragraphs.
 
-    Furniture is removed, misread words are replaced, broken words joined, lines reflowed; blank
-    lines and enumeration labels start paragraphs. A word broken at a page end is completed from the
-    next page of the scan, which keeps it too, since pages may arrive alone.
+    Windows over the lines of a scan, or of a text that is no page, number the paragraphs: furniture is
+    dropped, misread words are replaced, broken words joined across lines and pages. A paragraph starts at
+    an enumeration label, or behind a blank line if what stands before it ends like a sentence. It belongs
+    to the record in which it begins.
     """
-    lexicon, templates = analysed(df)
-    made: dict[str, Reader] = {}
-    label = re.compile(r"\s*(?:\((?:[a-z]{1,4}|\d+)\)|(?:[a-z]|[ivx]+|\d+)[.)]|•)\s")
-
-    def work(batch):
-        if not made:
-            made["r"] = Reader(lexicon.value, Furniture(lexicon.value, *templates))
-        out = {"tab": [], "rec_id": [], "par_no": [], "paragraph": []}
-        for tab, rec, text, rest in zip(*(column(batch, c) for c in ("tab", "rec_id", "text", "rest"))):
-            found, running, fixed = made["r"].read(text)
-            kinds: dict[int, set] = {}
-            for i, k in found:
-                kinds.setdefault(i, set()).add(k)
-            if running and rest and (m := BROKEN.search(fixed[running[-1]])) and not lexicon.value.keeps_hyphen(m.group(1), rest):
-                fixed[running[-1]] = fixed[running[-1]].rstrip().rstrip(BREAK) + rest
-            keep, pars, current, joined, gap = set(running), [], "", False, False
-            for i, line in enumerate(fixed):
-                bare = line.strip()
-                if i not in keep:
-                    gap = gap or not bare and not joined
-                    continue
-                ends = current.rstrip().endswith((".", ":", ";", "?", "!", "”", ")", " and"))
-                if current and not joined and (gap and ends or label.match(line)):
-                    pars.append(current)
-                    current = ""
-                current += bare if joined or not current else " " + bare
-                joined, gap = "hyphen" in kinds.get(i, ()), False
-                if joined:
-                    current = current.rstrip(BREAK + " ")
-            if current:
-                pars.append(current)
-            for n, p in enumerate(pars):
-                for name, value in zip(out, (tab, rec, n, p)):
-                    out[name].append(value)
-        return out
-
-    turn = Window.partitionBy("tab", "doc", "scan_no").orderBy("page_no").rangeBetween(1, 1)
-    first = F.regexp_extract("text", r"(?:^|\n)\s*([a-zñáéíóú]+)", 1)
-    heads = df.where("page_no IS NOT NULL").select("tab", "rec_id", F.first(F.when(first != "", first), ignorenulls=True).over(turn).alias("rest"))
-    texts = df.where(F.col("text").isNotNull()).select("tab", "rec_id", "text").join(heads, ["tab", "rec_id"], "left")
-    return map_batches(texts, work, "tab string, rec_id long, par_no int, paragraph string")
+    found = Analysis(df)
+    per_line = found.lines.groupBy(*KEY, "line_no").agg(F.collect_set("kind").alias("kinds"))
+    put = F.when(F.left("token", F.lit(1)) == F.upper(F.left("token", F.lit(1))), F.initcap("meant")).otherwise(F.col("meant"))
+    fixes = found.fixes.where("token IS NOT NULL").groupBy(*KEY, "line_no").agg(F.collect_list(F.struct("token", put.alias("put"))).alias("fixes"))
+    lines = df.where(F.col("text").isNotNull()).select(*KEY, "doc", "scan_no", "page_no", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    lines = lines.join(per_line, [*KEY, "line_no"], "left").join(fixes, [*KEY, "line_no"], "left")
+    repaired = F.aggregate(F.coalesce("fixes", F.array().cast("array<struct<token:string,put:string>>")), F.trim(F.regexp_replace("line", r"^\s+|\s+$", "")), lambda acc, x: F.replace(acc, x["token"], x["put"]))
+    is_page = F.col("page_no").isNotNull()
+    lines = lines.select(
+        *KEY, "line_no", F.when(is_page, F.concat_ws("\t", "doc", "scan_no")).otherwise(F.concat(F.lit("\t"), "rec_id")).alias("of"), F.coalesce("page_no", F.lit(0)).alias("page_no"), repaired.alias("line"),
+        F.coalesce(F.array_contains("kinds", "hyphen"), F.lit(False)).alias("joins"), F.coalesce(F.arrays_overlap("kinds", F.array(*map(F.lit, ("header", "page_number", "speck")))), F.lit(False)).alias("furniture"),
+    )
+    w = Window.partitionBy("tab", "of").orderBy("page_no", "rec_id", "line_no")
+    lines = lines.withColumn("blanks", F.sum((F.col("line") == "").cast("int")).over(w)).where("NOT furniture AND line <> ''")
+    lines = lines.withColumns({"before": F.lag("line").over(w), "joined": F.coalesce(F.lag("joins").over(w), F.lit(False)), "gap": F.col("blanks") > F.lag("blanks").over(w)})
+    starts = F.col("before").isNull() | ~F.col("joined") & (F.col("gap") & F.col("before").rlike(r"(?:[.:;?!”)]| and)$") | F.col("line").rlike(LABEL))
+    lines = lines.withColumn("par_no", F.sum(starts.cast("int")).over(w) - 1)
+    piece = F.concat(F.when(F.col("joined") | starts, "").otherwise(" "), F.when(F.col("joins"), F.regexp_replace("line", rf"[{BREAK}\s]+$", "")).otherwise(F.col("line")))
+    at = F.struct("page_no", "rec_id", "line_no")
+    return lines.groupBy("tab", "of", "par_no").agg(F.min_by("rec_id", at).alias("rec_id"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at.alias("at"), piece.alias("p")))), lambda x: x["p"]), "").alias("paragraph")).select("tab", "rec_id", "par_no", "paragraph")

@@ -62,3 +62,24 @@ def test_edges(spark):
 def test_skeletons():
     for a, b in [("clinic", "chnic"), ("accident", "accldent"), ("hearing", "heanng"), ("autorizado", "aiitorizado"), ("human", "hurnan"), ("until", "unt|l"), ("percent", "pcrcent")]:
         assert scans.skeleton(a) == scans.skeleton(b)
+
+
+def test_same_rows_in_a_larger_corpus_and_over_blocks_of_templates(spark, monkeypatch):
+    rows, _ = made(orders=4)
+    # A header that only one scan has, on pages of its own.
+    rows += [("scan_pages", 900 + p, "DO-9-99", 1, p, f"Harbour Tally Annexe\n\nthe licensed contractor shall provide protective {w}\nclothing and report each accident within three days", "x") for p, w in ((1, "and"), (2, "of"), (3, "to"))]
+    found = lambda rs: {(r.rec_id, r.line_no, r.kind) for r in scans.noise(spark.createDataFrame(rs, SCHEMA)).collect()}
+    small = found(rows)
+    assert {(900 + p, 0, "header") for p in (1, 2, 3)} <= small
+    more = [(t, 1000 + 1000 * k + r, f"{d}{k}", s, p, x, y) for k in range(10) for t, r, d, s, p, x, y in rows]
+    ids = {r[1] for r in rows}
+    large = found(rows + more)
+    assert {x for x in large if x[0] in ids} == small
+    monkeypatch.setattr(scans, "TEMPLATE_BYTES", 100)
+    assert found(rows) == small
+
+
+def test_paragraphs_run_on_across_pages(spark):
+    rows = [("scan_pages", p, "DO-1-01", 1, p, t, "x") for p, t in ((1, "One sentence ends here.\n\nAnother one is broken at the contrac-\n^"), (2, "tor and goes on\nto its end.\n\n(a) an item"))]
+    got = [(r.rec_id, r.par_no, r.paragraph) for r in scans.paragraphs(spark.createDataFrame(rows, SCHEMA)).orderBy("par_no").collect()]
+    assert got == [(1, 0, "One sentence ends here."), (1, 1, "Another one is broken at the contractor and goes on to its end."), (2, 2, "(a) an item")]
