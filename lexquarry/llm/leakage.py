@@ -1,23 +1,27 @@
 """Evaluation texts that leak into a corpus.
 
-Passages are windows of words. The vocabulary is that of the evaluation passages and its weights are
+Passages are windows of words. The vocabulary is that of the evaluation texts and its weights are
 inverse document frequencies over all corpus documents. A distributed randomised SVD of the TF-IDF
-matrix of the evaluation passages gives a latent space; every corpus passage is projected into it
-and compared with every evaluation passage by cosine, in blocks. The SVD is fitted on the evaluation
-side because the corpus's own leading directions are its boilerplate, in which the rare words of a
-leaked passage vanish; statistics and search cover all documents and all their windows. Documents
-with a close passage are then checked for paraphrases: the longest common subsequence and the figures
-of the answer.
+matrix of the evaluation passages gives a latent space, into which corpus passages are projected and
+in which they are compared by cosine. The SVD is fitted on the evaluation side because the corpus's own
+leading directions are its boilerplate, in which the rare words of a leaked passage vanish. It is fitted
+on at most ``FIT_PASSAGES`` passages (those with the least hashes) and ``MAX_TERMS`` words (the most
+frequent in them), one model for the whole evaluation set; statistics and search cover all documents,
+all their windows and all evaluation passages.
+
+A word outside the vocabulary counts in the length of a corpus passage with the weight of a word of no
+document. So the cosine of a passage is at most the share of its length that lies in the vocabulary, and
+passages below the threshold by that bound are not projected; none is lost by it. The evaluation passages
+lie in an inverted index: ``LISTS`` times the root of their number of cells around centroids; a corpus passage is
+compared with those of its ``PROBES`` nearest cells. Documents with a close passage are then checked for
+paraphrases: the longest common subsequence and the figures of the answer.
 
 Runs of ``RUN`` consecutive common words do not depend on the cosine, as a passage may have little in
-the latent space: every run of a document whose words are all in the vocabulary is looked up by its
-hash among all runs of the evaluation texts and compared word by word.
+the latent space: every run of a document whose words all occur in evaluation texts is looked up by its
+hash among all runs of the evaluation texts and compared word by word. This way is exact.
 
-A window of ``WINDOW`` words at every ``STRIDE`` contains any run of ``RUN`` words whole; windows with
-fewer known words are not projected.
-
-The evaluation set is the stated query set; it is handed to the tasks after a check of its size
-(``MAX_WORDS`` words), beyond which the search is repeated for blocks of items.
+The evaluation set is the stated query set; it goes to the tasks in blocks of at most ``MAX_WORDS`` words.
+Results do not depend on the number of blocks, but for the cells of the index.
 
 Defined results: null and empty texts leak nothing; fields with fewer than ``RUN`` words can't leak;
 a document that holds an item several times gives one row; repeated documents give a row each; empty
@@ -27,6 +31,7 @@ tables on either side give no rows; extra columns are dropped.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +44,9 @@ from lexquarry.llm.arrow import column, map_batches
 WORD = re.compile(r"[^\W_]+")
 RUN, WINDOW, STRIDE = 12, 16, 4
 RANK, OVERSAMPLE, POWER_STEPS = 160, 16, 2
-COSINE = 0.3
-MAX_WORDS = 2_000_000
+COSINE = 0.25
+LISTS, PROBES = 1.0, 4
+MAX_WORDS, MAX_TERMS, FIT_PASSAGES = 1_000_000, 50_000, 50_000
 FIELDS = ("question", "expected_answer")
 
 
@@ -54,27 +60,36 @@ def windows(n: int) -> range:
 
 
 class Passages:
-    """The evaluation passages of a block of items, and their vocabulary."""
+    """The evaluation passages of a block of items, and the words in them."""
 
     def __init__(self, items: list[tuple[int, str | None, str | None]]):
         self.texts = [(item, f, ws) for item, *fields in items for f, ws in enumerate(map(words_of, fields)) if len(ws) >= RUN]
-        self.vocabulary: dict[str, int] = {}
+        self.words: dict[str, int] = {}
         for _, _, ws in self.texts:
             for w in ws:
-                self.vocabulary.setdefault(w, len(self.vocabulary))
+                self.words.setdefault(w, len(self.words))
         self.rows = [(t, s) for t, (_, _, ws) in enumerate(self.texts) for s in windows(len(ws))]
         self.runs = [frozenset(zip(*(ws[i:] for i in range(RUN)))) for _, _, ws in self.texts]
         #: What the paraphrase check needs of each text: its figures and its words as bit rows.
         self.figures = [frozenset(w for w in ws if w[0].isdigit() and len(w) > 2) for _, _, ws in self.texts]
         self.masks = [word_masks(ws) for _, _, ws in self.texts]
 
-    def ids(self) -> list[list[int]]:
-        return [[self.vocabulary[w] for w in self.texts[t][2][s : s + WINDOW]] for t, s in self.rows]
+    def passages(self) -> list[list[str]]:
+        return [self.texts[t][2][s : s + WINDOW] for t, s in self.rows]
+
 
+def fitting_passages(items: DataFrame, most: int) -> list[list[str]]:
+    """The passages with the least hashes, at most ``most``."""
+
+    def work(batch):
+        found = Passages([(0, q, a) for q, a in zip(*(column(batch, f) for f in FIELDS))]).passages()
+        return {"words": found}
 
-def document_frequencies(docs: DataFrame, passages: Passages) -> np.ndarray:
+    return [list(r.words) for r in map_batches(items.select(*FIELDS), work, "words array<string>").orderBy(F.xxhash64("words"), "words").limit(most).collect()]
+
+
+def document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> np.ndarray:
     """In how many documents each word of the vocabulary occurs; the last entry counts the documents."""
-    vocabulary = passages.vocabulary
     size = len(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,16 +122,16 @@ def tfidf(ids: list[list[int]], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return row, term, merged / np.maximum(norm[row], 1e-12)
 
 
-def latent_space(spark, passages: Passages, idf: np.ndarray, rank: int = RANK, seed: int = 7) -> np.ndarray:
+def latent_space(spark, ids: list[list[int]], idf: np.ndarray, rank: int = RANK, seed: int = 7) -> np.ndarray:
     """(terms, rank): right singular vectors of the passages by randomised subspace iteration.
 
     The passages are spread over tasks. In each step a task multiplies its rows A with the basis Q
     and returns its part of A'(AQ), which is summed by blocks of terms.
     """
-    terms = len(passages.vocabulary)
+    terms = len(idf)
     width = min(rank + OVERSAMPLE, terms)
     basis = np.random.default_rng(seed).standard_normal((terms, width))
-    rows = spark.createDataFrame([(i, x) for i, x in enumerate(passages.ids())], "i long, ids array<int>").repartition(4, "i")
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(ids)], "i long, ids array<int>").repartition(max(4, len(ids) // 5000), "i")
     block = 512
 
     for _ in range(POWER_STEPS + 1):
@@ -179,27 +194,83 @@ def run_hashes(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+class Model:
+    """The vocabulary of the evaluation set, its weights and its latent space."""
+
+    def __init__(self, vocabulary: dict[str, int], idf: np.ndarray, unknown: float, space: np.ndarray):
+        self.vocabulary, self.unknown = vocabulary, unknown
+        # The last row stands for every other word: it has a length, but no direction.
+        self.weights = np.append(idf, unknown).astype(np.float32)
+        self.weighted = np.vstack([space * idf[:, None], np.zeros(space.shape[1])]).astype(np.float32)
+
+    def ids(self, words: list[str]) -> list[int]:
+        known, other = self.vocabulary.get, len(self.vocabulary)
+        return [known(w, other) for w in words]
+
+    def project(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Passages as rows of word numbers, padded with -1, in the latent space."""
+        out = np.zeros((len(ids), self.weighted.shape[1]), dtype=np.float32)
+        for k in range(ids.shape[1]):
+            inside = ids[:, k] >= 0
+            out[inside] += self.weighted[ids[inside, k]]
+        return out / lengths[:, None]
+
+
+def fitted(spark, docs: DataFrame, items: DataFrame) -> Model | None:
+    """The model of an evaluation set over a corpus; None if no text can leak."""
+    passages = fitting_passages(items, FIT_PASSAGES)
+    counts = Counter(w for p in passages for w in set(p))
+    if not counts:
+        return None
+    vocabulary = {w: i for i, (w, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:MAX_TERMS])}
+    df = document_frequencies(docs, vocabulary)
+    idf = np.log((1.0 + df[-1]) / (1.0 + df[:-1])) + 0.1
+    space = latent_space(spark, [[vocabulary[w] for w in p if w in vocabulary] for p in passages], idf)
+    return Model(vocabulary, idf, float(np.log(1.0 + df[-1]) + 0.1), space)
+
+
+def centroids(vectors: np.ndarray, n: int, rounds: int = 8, seed: int = 3) -> np.ndarray:
+    """Unit centroids of spherical k-means."""
+    unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+    centre = unit[np.random.default_rng(seed).choice(len(unit), min(n, len(unit)), replace=False)]
+    for _ in range(rounds):
+        near = (unit @ centre.T).argmax(axis=1)
+        total = np.zeros_like(centre)
+        np.add.at(total, near, unit)
+        size = np.linalg.norm(total, axis=1, keepdims=True)
+        centre = np.where(size > 1e-9, total / np.maximum(size, 1e-9), centre)
+    return centre.astype(np.float32)
+
+
 class Search:
-    """Compares the passages of documents with the evaluation passages."""
-
-    def __init__(self, passages: Passages, idf: np.ndarray, space: np.ndarray):
-        self.passages, self.idf = passages, idf
-        self.weighted = (space * idf[:, None]).astype(np.float32)
-        row, term, value = tfidf(passages.ids(), idf)
-        queries = np.zeros((len(passages.rows), space.shape[1]), dtype=np.float32)
-        np.add.at(queries, row, (value[:, None] * space[term]).astype(np.float32))
-        self.queries = queries.T.copy()
+    """Compares the passages of documents with the evaluation passages of a block."""
+
+    def __init__(self, passages: Passages, model: Model, probes: int | None = None):
+        self.passages, self.model, self.probes = passages, model, probes or PROBES
+        ids, lengths = self._padded([model.ids(p) for p in passages.passages()])
+        self.queries = model.project(ids, lengths)
         self.text_of = np.array([t for t, _ in passages.rows])
+        self.centres = centroids(self.queries, max(1, int(LISTS * len(self.queries) ** 0.5)))
+        near = (self.queries @ self.centres.T).argmax(axis=1)
+        self.lists = [np.flatnonzero(near == c) for c in range(len(self.centres))]
         hashes, owners = [], []
         for t, (_, _, ws) in enumerate(passages.texts):
-            ids = np.array([passages.vocabulary[w] for w in ws], dtype=np.int64)
-            hashes.append(run_hashes(ids, np.arange(len(ws) - RUN + 1)))
+            of = np.array([passages.words[w] for w in ws], dtype=np.int64)
+            hashes.append(run_hashes(of, np.arange(len(ws) - RUN + 1)))
             owners.append(np.full(len(hashes[-1]), t))
         order = np.argsort(np.concatenate(hashes), kind="stable")
         self.run_hash, self.run_text = np.concatenate(hashes)[order], np.concatenate(owners)[order]
 
-    def runs(self, ws: list[str], row: np.ndarray, hits: np.ndarray) -> dict[int, set[int]]:
+    def _padded(self, rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.full((len(rows), WINDOW), -1, dtype=np.int64)
+        for i, x in enumerate(rows):
+            ids[i, : len(x)] = x
+        lengths = np.sqrt(np.where(ids >= 0, self.model.weights[ids] ** 2, 0).sum(axis=1))
+        return ids, np.maximum(lengths, 1e-9)
+
+    def runs(self, ws: list[str], row: np.ndarray) -> dict[int, set[int]]:
         """text -> places of a document where a run of that text begins."""
+        hits = np.concatenate([[0], np.cumsum(row >= 0)])
         at = np.flatnonzero(hits[RUN:] - hits[:-RUN] == RUN)
         found: dict[int, set[int]] = {}
         if not len(at):
@@ -214,34 +285,54 @@ class Search:
                     found.setdefault(t, set()).add(p)
         return found
 
-    def close(self, docs: list[list[str]], cosine: float, block: int = 4096) -> dict[int, dict[int, tuple[list[int], set[int]]]]:
+    def close(self, docs: list[list[str]], cosine: float) -> dict[int, dict[int, tuple[list[int], set[int]]]]:
         """doc -> text -> (starts of the windows whose cosine to one of its passages reaches the threshold, places of common runs)."""
-        known = self.passages.vocabulary.get
-        owner, starts, ids = [], [], []
         found: dict[int, dict[int, tuple[list[int], set[int]]]] = {}
+        in_block = self.passages.words.get
+        owners, starts, windows_ = [], [], []
+        model, other = self.model, len(self.model.vocabulary)
         for d, ws in enumerate(docs):
             if len(ws) < RUN:
                 continue
-            row = np.array([known(w, -1) for w in ws], dtype=np.int64)
-            hits = np.concatenate([[0], np.cumsum(row >= 0)])
-            for t, places in self.runs(ws, row, hits).items():
+            for t, places in self.runs(ws, np.array([in_block(w, -1) for w in ws], dtype=np.int64)).items():
                 found.setdefault(d, {})[t] = ([], places)
+            row = np.array(model.ids(ws), dtype=np.int64)
+            energy = model.weights[row] ** 2
+            whole = np.concatenate([[0], np.cumsum(energy)])
+            inside = np.concatenate([[0], np.cumsum(np.where(row < other, energy, 0))])
             at = np.arange(0, max(1, len(ws) - WINDOW + STRIDE), STRIDE)
-            at = at[hits[np.minimum(at + WINDOW, len(ws))] - hits[at] >= RUN]
-            for s in at:
-                x = row[s : s + WINDOW]
-                owner.append(d)
-                starts.append(int(s))
-                ids.append(x[x >= 0])
+            end = np.minimum(at + WINDOW, len(ws))
+            # No cosine is larger than the share of the length that lies in the vocabulary.
+            at = at[inside[end] - inside[at] >= cosine * cosine * (whole[end] - whole[at])]
+            if len(at):
+                padded = np.append(row, np.full(WINDOW, -1))
+                windows_.append(padded[at[:, None] + np.arange(WINDOW)])
+                owners.append(np.full(len(at), d))
+                starts.append(at)
+        if windows_:
+            owner, start = np.concatenate(owners), np.concatenate(starts)
+            for i, q in self._near(np.concatenate(windows_), cosine):
+                found.setdefault(int(owner[i]), {}).setdefault(int(self.text_of[q]), ([], set()))[0].append(int(start[i]))
+        return found
+
+    def _near(self, ids: np.ndarray, cosine: float, block: int = 8192) -> Iterator[tuple[int, int]]:
+        """(window, evaluation passage) with at least the cosine, from the cells nearest to each window."""
         for a in range(0, len(ids), block):
             part = ids[a : a + block]
-            row, term, value = tfidf(part, self.idf)
-            z = np.zeros((len(part), self.queries.shape[0]), dtype=np.float32)
-            np.add.at(z, row, (value / np.maximum(self.idf[term], 1e-9))[:, None].astype(np.float32) * self.weighted[term])
-            w, q = np.nonzero(z @ self.queries >= cosine)
-            for i, t in zip((w + a).tolist(), self.text_of[q].tolist()):
-                found.setdefault(owner[i], {}).setdefault(t, ([], set()))[0].append(starts[i])
-        return found
+            lengths = np.sqrt(np.where(part >= 0, self.model.weights[part] ** 2, 0).sum(axis=1))
+            z = self.model.project(part, np.maximum(lengths, 1e-9))
+            # Of its direction in the space, too, a window has at most its own length there.
+            alive = np.flatnonzero((z * z).sum(axis=1) >= cosine * cosine)
+            if not len(alive):
+                continue
+            z = z[alive]
+            score = z @ self.centres.T
+            probes = min(self.probes, score.shape[1])
+            cells = np.argpartition(-score, probes - 1, axis=1)[:, :probes]
+            for c in np.unique(cells):
+                rows = np.flatnonzero((cells == c).any(axis=1))
+                w, q = np.nonzero(z[rows] @ self.queries[self.lists[c]].T >= cosine)
+                yield from zip((alive[rows[w]] + a).tolist(), self.lists[c][q].tolist())
 
     def judge(self, ws: list[str], text: int, starts: list[int], hits: set[int]) -> tuple[str, int] | None:
         """(kind, words): a run of common words, or a paraphrase by its common subsequence."""
@@ -273,22 +364,22 @@ def leaks(docs: DataFrame, items: DataFrame, cosine: float = COSINE) -> DataFram
     spark = docs.sparkSession
     schema = "doc_id long, item_id long, field string, kind string, n_words int"
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text")
+    result = spark.createDataFrame([], schema)
+    model = fitted(spark, rows, items)
+    if model is None:
+        return result
     n_words = items.select(F.sum(F.size(F.split(F.concat_ws(" ", *FIELDS), " "))).alias("n")).first()["n"] or 0
     blocks = -(-int(n_words) // MAX_WORDS)
-    result = spark.createDataFrame([], schema)
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b) if blocks > 1 else items
         passages = Passages([(r.item_id, r.question, r.expected_answer) for r in part.select("item_id", *FIELDS).collect()])
         if passages.texts:
-            result = result.unionByName(_search(rows, passages, schema, cosine))
+            result = result.unionByName(_search(rows, Search(passages, model), schema, cosine))
     return result
 
 
-def _search(rows: DataFrame, passages: Passages, schema: str, cosine: float) -> DataFrame:
-    spark = rows.sparkSession
-    df = document_frequencies(rows, passages)
-    idf = np.log((1.0 + df[-1]) / (1.0 + df[:-1])) + 0.1
-    search = spark.sparkContext.broadcast(Search(passages, idf, latent_space(spark, passages, idf)))
+def _search(rows: DataFrame, searched: Search, schema: str, cosine: float) -> DataFrame:
+    search = rows.sparkSession.sparkContext.broadcast(searched)
 
     def work(batch):
         s: Search = search.value

@@ -74,16 +74,73 @@ def test_lcs():
 
 
 def test_latent_space_spans_the_leading_directions(spark):
-    passages = leakage.Passages([(i, " ".join(sentence(30)), None) for i in range(40)])
-    idf = np.ones(len(passages.vocabulary))
-    space = leakage.latent_space(spark, passages, idf, rank=10)
-    r, t, v = leakage.tfidf(passages.ids(), idf)
-    dense = np.zeros((len(passages.rows), len(idf)))
+    passages = leakage.Passages([(i, " ".join(sentence(30)), None) for i in range(40)]).passages()
+    vocabulary = {w: i for i, w in enumerate(sorted({w for p in passages for w in p}))}
+    ids, idf = [[vocabulary[w] for w in p] for p in passages], np.ones(len(vocabulary))
+    space = leakage.latent_space(spark, ids, idf, rank=10)
+    r, t, v = leakage.tfidf(ids, idf)
+    dense = np.zeros((len(ids), len(idf)))
     dense[r, t] = v
     best = np.linalg.svd(dense)[1][:10]
     assert ((dense @ space) ** 2).sum() >= 0.97 * (best**2).sum()
 
 
+def paraphrased(rnd, words, other):
+    """The words with one in seven left out and one in six set behind another word, so that most of the order stays."""
+    out = []
+    for w in words:
+        if rnd.random() > 1 / 7 or w[0].isdigit():
+            out.append(w)
+        if rnd.random() < 1 / 6:
+            out.append(rnd.choice(other))
+    return out
+
+
+def planted(seed=9, n=200):
+    rnd = random.Random(seed)
+    words, other = [f"w{i}" for i in range(3000)], [f"o{i}" for i in range(3000)]
+    pick = lambda k: [rnd.choice(COMMON) if rnd.random() < 0.4 else rnd.choice(words) for _ in range(k)]
+    items = [(i, " ".join([*pick(20), str(1000 + i), *pick(15)]), None) for i in range(n)]
+    docs, want = [], set()
+    for i, q, _ in items:
+        bad = paraphrased(rnd, q.split(), other)
+        own = leakage.lcs(q.split(), bad)
+        runs = set(zip(*(q.split()[k:] for k in range(12)))) & set(zip(*(bad[k:] for k in range(12))))
+        docs.append((i, " ".join([*rnd.choices(other + COMMON * 50, k=60), *bad, *rnd.choices(other + COMMON * 50, k=60)])))
+        if own >= 0.7 * len(q.split()) and not runs:
+            want.add((i, i))
+    return items, docs, want
+
+
+def test_recall_of_planted_paraphrases(spark):
+    items, docs, want = planted()
+    assert len(want) > 120
+    got = leakage.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, question string, expected_answer string"))
+    found = {(r.doc_id, r.item_id) for r in got.where("kind = 'paraphrase'").collect()}
+    assert len(found & want) >= 0.9 * len(want) and all(d == i for d, i in found)
+
+
+def test_index_against_all_passages(spark):
+    items, docs, _ = planted()
+    model = leakage.fitted(spark, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, question string, expected_answer string"))
+    passages = leakage.Passages(items)
+    near, every = leakage.Search(passages, model), leakage.Search(passages, model, probes=10**6)
+    texts = [t.split() for _, t in docs]
+    pairs = lambda s: {(d, t) for d, ts in s.close(texts, leakage.COSINE).items() for t in ts}
+    brute = pairs(every)
+    assert len(pairs(near) & brute) >= 0.9 * len(brute)
+
+
+def test_blocks_give_the_same_rows(spark, monkeypatch):
+    items, docs, _ = planted(n=60)
+    docs = [(d, t + " " + items[(d + 1) % 60][1]) for d, t in docs]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, question string, expected_answer string")
+    monkeypatch.setattr(leakage, "PROBES", 10**6)
+    one = sorted(map(tuple, leakage.leaks(*frames).collect()))
+    monkeypatch.setattr(leakage, "MAX_WORDS", 800)
+    assert sorted(map(tuple, leakage.leaks(*frames).collect())) == one and any(r[3] == "paraphrase" for r in one) and any(r[3] == "whole" for r in one)
+
+
 def test_every_run_of_every_item(spark):
     rnd = random.Random(5)
     words = [f"w{i}" for i in range(2500)]
