@@ -255,7 +255,7 @@ def _templates(pages: DataFrame, specks) -> DataFrame:
     number = F.col("kind") == "n"
     ratio = F.when(number, 0.5).otherwise(0.7)
     anywhere = (F.col("hits") >= LEAST) & (F.col("hits") >= ratio * F.col("n")) & (_lower_bound(F.col("hits"), F.col("n")) >= F.when(number, NUMBER_BOUND).otherwise(EDGE_BOUND)) & ((F.col("kind") != "x") | (F.col("n_scans") > 1))
-    return cut(rows.where(F.col("own") | anywhere).select(F.when(number, "n").otherwise("h").alias("kind"), "mask", "hits"))
+    return cut(_without_idle_slots(rows.where(F.col("own") | anywhere).select(F.when(number, "n").otherwise("h").alias("kind"), "mask", "hits")))
 
 
 def may_be_header(clean: str) -> bool:
@@ -274,6 +274,16 @@ def _blocks(templates: DataFrame) -> list[tuple[list[str], list[str]]]:
     return out
 
 
+def _without_idle_slots(templates: DataFrame) -> DataFrame:
+    """Drop masks with ``<X>`` most of whose lines have one wording, as that wording is a template itself."""
+    slots = lambda m: F.transform(F.sequence(F.lit(0), F.size(m) - 1), lambda i: F.array_join(F.concat(F.slice(m, F.lit(1), i), F.array(F.lit("<X>")), F.slice(m, i + 2, F.size(m))), " "))
+    pairs = lambda m: F.transform(F.sequence(F.lit(0), F.size(m) - 2), lambda i: F.array_join(F.concat(F.slice(m, F.lit(1), i), F.array(F.lit("<X>")), F.slice(m, i + 3, F.size(m))), " "))
+    tokens = F.split("mask", " ")
+    made = templates.where("kind = 'h' AND NOT mask LIKE '%<X>%'").select(F.explode(F.concat(slots(tokens), F.when(F.size(tokens) > 1, pairs(tokens)).otherwise(F.array().cast("array<string>")))).alias("mask"), F.col("hits").alias("worded"))
+    most = made.groupBy("mask").agg(F.max("worded").alias("worded"))
+    return templates.join(most, "mask", "left").where("worded IS NULL OR NOT mask LIKE '%<X>%' OR 2 * worded < hits").drop("worded")
+
+
 def _within(a: str, b: str, most: int) -> int | None:
     """The edit distance of two short strings if it is at most ``most``."""
     if abs(len(a) - len(b)) > most:
@@ -310,13 +320,15 @@ class Furniture:
         self.kind = lru_cache(100_000)(self._kind)
 
     def _kind(self, bare: str) -> str | None:
+        if len(bare) > 16 and sum(t[:1].islower() for t in bare.split()) > 4:
+            return None  # running text
         clean = self.specks.without_specks(bare)
         for form in (bare, clean):
             if NUMBER.sub("#", form.lower()) in self.numbers or PAGE.match(form) and not (ROMAN.match(form) and form.isalpha()):
                 return "page_number"
         if self.specks.is_speck(bare):
             return "speck"
-        if any(m in self.headers for m in masks(clean)):
+        if may_be_header(clean) and any(m in self.headers for m in masks(clean)):
             return "header"
         # Running text that ends like a sentence, or starts in lower case, is not compared with edits.
         if len(clean) < 8 or clean[-1:] in ".;:," or clean[:1].islower() and clean[:2].islower() and " " not in clean[:10] or sum(t[:1].islower() for t in clean.split()) > 4:
@@ -369,7 +381,7 @@ class Reader:
         suspects, broken, tail = [], [], False
         for at, i in enumerate(running):
             tokens = lines[i].split()
-            skip, m = tail, BROKEN.search(lines[i])
+            skip, m = tail, BROKEN.search(lines[i]) if tokens[-1][-1] in BREAK else None
             follow = running[at + 1] if at + 1 < len(running) else None
             tail = bool(m)
             for k, t in enumerate(tokens):
