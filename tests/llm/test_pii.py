@@ -32,6 +32,30 @@ def test_spans(text, want):
     assert found(text) == want
 
 
+@pytest.mark.parametrize("text,want", [
+    ("The letter was signed by Pedro Cruz and Ana Lim.", {("name", "Pedro Cruz"), ("name", "Ana Lim")}), ("Call 212-555-0199 or (415) 555-2671.", {("phone", "212-555-0199"), ("phone", "(415) 555-2671")}),
+    ("SSN 123-45-6789", {("id_number", "123-45-6789")}), ("Ship to Block 5 Lot 3 Phase 2, Camella Homes, Bacoor, Cavite 4102.", {("address", "Block 5 Lot 3 Phase 2, Camella Homes, Bacoor, Cavite 4102")}),
+    ("Hans Müller, Hauptstraße 5, 10115 Berlin", {("name", "Hans Müller"), ("address", "Hauptstraße 5, 10115 Berlin")}), ("He lives at 12 Rizal Street, Barangay Uno, Quezon City.", {("address", "12 Rizal Street, Barangay Uno, Quezon City")}),
+    ("Write to 350 Fifth Avenue, New York, NY 10118 or phone +49 30 901820.", {("address", "350 Fifth Avenue, New York, NY 10118"), ("phone", "+49 30 901820")}),
+    ("x" * 300 + "@mail.example and " + "y" * 200 + " at post dot example", {("email", "x" * 300 + "@mail.example"), ("email", "y" * 200 + " at post dot example")}),
+    ("Prepared by " + "Bartholomew" * 9 + " Cruz.", set()), ("prepared by " + "Abcdefghij" * 9 + " Cruz.", set()), ("prepared by Maria Clara de la Cruz-Santos.", {("name", "Maria Clara de la Cruz-Santos")}),
+    ("P1234567A and 12-3456789-0 are shapes; 1-2345 is none.", {("id_number", "P1234567A"), ("id_number", "12-3456789-0")}), ("Lot 212-555-0199 of 3,630.", set()),
+])
+def test_general_forms(text, want):
+    assert found(text) == want
+
+
+def test_many_spans_take_linear_time():
+    import time
+
+    took = []
+    for n in (5_000, 20_000):
+        began = time.perf_counter()
+        assert len(FINDER.spans("Mr. Cruz left a@b.example. " * n)) == 2 * n
+        took.append(time.perf_counter() - began)
+    assert took[1] < 10 * took[0]
+
+
 def test_redaction_leaves_the_rest():
     text = "Mr. Cruz (TIN 12-8112190-5) left."
     assert redact(text, FINDER.spans(text)) == "Mr. [NAME] (TIN [ID_NUMBER]) left."
