@@ -3,8 +3,9 @@
 The rules are those of Unicode's sentence boundaries: terminators come from the character property
 ``Sentence_Break`` (STerm, ATerm) and so cover every script; closing marks stay with their
 sentence; a full stop before a lower-case letter, or inside a number or word, ends nothing. On top:
-abbreviations of English, Filipino, Spanish, Hindi and Arabic suppress a boundary; quotations and
-brackets inside a sentence end nothing; enumerations are cut at their labels; Thai, which has no
+abbreviations suppress a boundary, those of titles by the language of the text, those of references
+only before a number; the language is the given one or, where none of the known ones is given, the one
+whose function words the text has most of. Quotations and brackets inside a sentence end nothing; enumerations are cut at their labels; Thai, which has no
 terminator, is cut at white space between two Thai letters.
 
 Defined results: null, empty and blank texts have no units; a text without terminators is one unit
@@ -17,6 +18,7 @@ are 0-based, in characters, end exclusive.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import regex
 from pyspark.sql import DataFrame, functions as F
@@ -32,21 +34,51 @@ WIDE = "。！？｡．﹒﹖﹗"
 PAIRS = {"(": ")", "[": "]", "（": "）", "「": "」", "『": "』", "【": "】", "《": "》", "〈": "〉", "“": "”", "«": "»"}
 BRACKETS = "([（【"
 CLOSERS = "".join(dict.fromkeys(PAIRS.values())) + "’\"'"
-#: Abbreviations that never end a sentence: titles, references, parts of names.
-NEVER = {
-    # English
-    "Mr", "Mrs", "Ms", "Messrs", "Dr", "Prof", "Atty", "Engr", "Hon", "Rev", "Fr", "Gen", "Col", "Capt", "Sgt", "Gov", "Sen", "Rep", "Pres", "Dir", "St",
-    "Sec", "Secs", "Art", "Arts", "No", "Nos", "par", "pars", "p", "pp", "Fig", "Figs", "Vol", "Vols", "Ch", "cf", "Cf", "vs", "viz", "approx", "Approx", "i.e", "e.g", "Mfg",
-    "R.A", "P.D", "B.P", "E.O", "D.O", "G.R", "Brgy", "Bldg", "Ave", "Dept", "Rm", "Mt", "Ft",
-    # Filipino
-    "G", "Gng", "Bb", "Blg", "Sek", "Kgg",
-    # Spanish
-    "Sr", "Sra", "Srta", "Sres", "Dra", "Avda", "Av", "núm", "Núm", "núms", "ej", "Res", "Ud", "Uds", "pág", "págs", "D", "Dña", "Lic", "Ing",
-    # Hindi
-    "डॉ", "सं", "श्री", "क्र", "पृ",
-    # Arabic
-    "د", "أ", "م", "ص",
+#: Titles and parts of names, by language; they never end a sentence. Official texts of all of them use the English ones.
+TITLES = {
+    "en": {"Mr", "Mrs", "Ms", "Messrs", "Dr", "Prof", "Atty", "Engr", "Hon", "Rev", "Fr", "Gen", "Col", "Capt", "Sgt", "Gov", "Sen", "Rep", "Pres", "Dir", "St", "Mfg", "Brgy", "Bldg", "Ave", "Dept", "Mt", "Ft"},
+    "fil": {"G", "Gng", "Bb", "Kgg"},
+    "es": {"Sr", "Sra", "Srta", "Sres", "Dra", "Avda", "Av", "Ud", "Uds", "D", "Dña", "Lic", "Ing"},
+    "hi": {"डॉ", "श्री"},
+    "ar": {"د", "أ", "م"},
 }
+#: Words that go on in a sentence whatever their language.
+ALWAYS = {"i.e", "e.g", "cf", "Cf", "vs", "viz", "approx", "Approx", "ej", "R.A", "P.D", "B.P", "E.O", "D.O", "G.R"}
+#: Words of references, by language; they suppress a boundary before a number only.
+REFERENCES = {
+    "en": {"Sec", "Secs", "Art", "Arts", "No", "Nos", "par", "pars", "p", "pp", "Fig", "Figs", "Vol", "Vols", "Ch", "Rm"},
+    "fil": {"Blg", "Sek"}, "es": {"núm", "Núm", "núms", "Res", "pág", "págs"}, "hi": {"सं", "क्र", "पृ"}, "ar": {"ص"},
+}
+EVERY_REFERENCE = frozenset().union(*REFERENCES.values())
+#: The commonest function words, to tell the languages in Latin letters apart.
+FUNCTION_WORDS = {
+    "en": {"the", "of", "and", "to", "is", "in", "for", "shall", "with", "that", "by", "on"}, "fil": {"ang", "ng", "sa", "na", "mga", "ay", "si", "kung", "hindi", "para"},
+    "es": {"el", "la", "de", "que", "los", "las", "en", "del", "por", "con", "una", "se"},
+}
+#: Before a single letter these words mean a mark or a kind, not an initial.
+NO_INITIAL = {"a", "an", "the", "grade", "letter", "class", "type", "group", "plan", "vitamin"}
+NUMBERED = regex.compile(r"[^\s\p{L}]*(?:\p{Nd}|[IVXLC]+\b|[^\s.,;:]*[-/]?\p{Nd})")
+
+
+def language_of(text: str) -> str:
+    """The language whose function words a text in Latin letters has most of; English if it has none."""
+    words = set(re.findall(r"[a-z]+", text.lower()))
+    return max(FUNCTION_WORDS, key=lambda k: (len(FUNCTION_WORDS[k] & words), k == "en"))
+
+
+def titles_of(lang: str | None, text: str) -> frozenset[str]:
+    """The titles that count in a text; those of scripts of their own always do."""
+    known = lang.split("-")[0] if lang else ""
+    known = {"tl": "fil"}.get(known, known)
+    own = known if known in FUNCTION_WORDS else language_of(text)
+    return _titles(own)
+
+
+@lru_cache
+def _titles(lang: str) -> frozenset[str]:
+    return frozenset(TITLES["en"] | TITLES[lang] | TITLES["hi"] | TITLES["ar"])
+
+
 #: Abbreviations that end a sentence only before a capital or an opening mark.
 OPEN_ENDED = {"Inc", "Co", "Corp", "Ltd", "Jr", "a.m", "p.m", "A.M", "P.M", "M.D", "Ph.D", "al", "etc", "ed", "suppl", "kg", "hr", "hrs", "min", "km"}
 #: Particles that carry a Japanese sentence on after a quotation.
@@ -78,7 +110,7 @@ def _starts(text: str, at: int) -> bool:
     return c.isalnum() or c in PAIRS or c in "¿¡\"'‘•§₱$€" or not c.isascii()
 
 
-def _ends(text: str, at: int, end: int, marks: str) -> bool:
+def _ends(text: str, at: int, end: int, marks: str, titles) -> bool:
     """Whether the terminators text[at:end], outside any quotation or bracket, end a sentence."""
     size = len(text)
     if any(c in WIDE for c in marks):
@@ -98,21 +130,36 @@ def _ends(text: str, at: int, end: int, marks: str) -> bool:
         return False
     if marks.strip("." + ATERM):
         return True
-    m = WORD.search(text, max(0, at - 24), at)
+    left = at
+    while left > 0 and not text[left - 1].isspace():
+        left -= 1
+    m = WORD.search(text, left, at)
     if not m:
         return True
     word = m.group()
     if word in OPEN_ENDED:
         return not text[nxt].isdigit()
-    if word in NEVER or len(word) == 1 and (word.isupper() or not word.islower()):
+    if word in ALWAYS or word in titles():
         return False
+    if word in EVERY_REFERENCE:
+        return not NUMBERED.match(text, nxt)
+    if len(word) == 1 and (word.isupper() or not word.islower()):
+        before = text[max(0, m.start() - 12) : m.start()].rstrip().rpartition(" ")[2].lower() if word.isascii() else ""
+        return before in NO_INITIAL
     return "." not in word or not all(len(x) <= 1 for x in word.split("."))
 
 
-def sentence_spans(text: str | None) -> list[tuple[int, int]]:
+def sentence_spans(text: str | None, lang: str | None = None) -> list[tuple[int, int]]:
     """(start, end) of each sentence unit of ``text``."""
     if not text or text.isspace():
         return []
+    held: list[frozenset[str]] = []
+
+    def titles() -> frozenset[str]:
+        if not held:
+            held.append(titles_of(lang, text))
+        return held[0]
+
     spans: list[tuple[int, int]] = []
     start, stack, closed = 0, [], -1
 
@@ -180,7 +227,7 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
                 emit(end)
         else:
             end = closed = passed = TERMS.match(text, at).end()
-            if not stack and _ends(text, at, end, text[at:end]):
+            if not stack and _ends(text, at, end, text[at:end], titles):
                 while end < size and text[end] in CLOSERS:
                     end += 1
                 emit(end)
@@ -189,28 +236,29 @@ def sentence_spans(text: str | None) -> list[tuple[int, int]]:
     return spans
 
 
-def stored_spans(text: str | None) -> list[tuple[int, int]]:
+def stored_spans(text: str | None, lang: str | None = None) -> list[tuple[int, int]]:
     """Units of a text as stored: where a wrong decoding hid the terminators, they are found in what was meant."""
     view = decoded_view(text) if text and not text.isascii() else None
     if view is None:
-        return sentence_spans(text)
+        return sentence_spans(text, lang)
     meant, at = view
-    return [(at[a], at[b]) for a, b in sentence_spans(meant)]
+    return [(at[a], at[b]) for a, b in sentence_spans(meant, lang)]
 
 
 def sentence_units(df: DataFrame, text: str = "text") -> DataFrame:
-    """(tab, rec_id, start_pos, end_pos): one row per unit of each row of df (tab, rec_id, text)."""
+    """(tab, rec_id, start_pos, end_pos): one row per unit of each row of df (tab, rec_id, text and, if there is one, lang)."""
 
     def work(batch):
         tabs, ids, starts, ends = [], [], [], []
-        for tab, rec, value in zip(column(batch, "tab"), column(batch, "rec_id"), column(batch, "text")):
-            got = stored_spans(value)
+        for tab, rec, value, lang in zip(*(column(batch, c) for c in ("tab", "rec_id", "text", "lang"))):
+            got = stored_spans(value, lang)
             tabs += [tab] * len(got)
             ids += [rec] * len(got)
             starts += [a for a, _ in got]
             ends += [b for _, b in got]
         return {"tab": tabs, "rec_id": ids, "start_pos": starts, "end_pos": ends}
 
-    rows = df.where(F.col(text).isNotNull()).select("tab", "rec_id", F.col(text).alias("text"))
+    lang = F.col("lang") if "lang" in df.columns else F.lit(None).cast("string")
+    rows = df.where(F.col(text).isNotNull()).select("tab", "rec_id", F.col(text).alias("text"), lang.alias("lang"))
     return map_batches(rows, work, "tab string, rec_id long, start_pos int, end_pos int")
 

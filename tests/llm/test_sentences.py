@@ -27,6 +27,16 @@ def test_joined_units_come_back(parts):
     assert units("\n\n".join(parts)) == parts
 
 
+@pytest.mark.parametrize("text,lang,want", [
+    ("Is it allowed? No. The board refused.", None, ["Is it allowed?", "No.", "The board refused."]), ("He got a G. It was final.", "en", ["He got a G.", "It was final."]),
+    ("See Docket No. AF-7 and Nos. 2 and Sec. IV.", "en", ["See Docket No. AF-7 and Nos. 2 and Sec. IV."]), ("Ang sabi ni G. Cruz ay oo. Umalis na.", "fil", ["Ang sabi ni G. Cruz ay oo.", "Umalis na."]),
+    ("La Sra. Paz salió. Llegó tarde.", "es", ["La Sra. Paz salió.", "Llegó tarde."]), ("The flight to Av. It left.", "en", ["The flight to Av.", "It left."]), ("Vive en la Av. Sol de Paz.", None, ["Vive en la Av. Sol de Paz."]),
+    ("W. T. Cruz and Ana D. Lim met.", "en", ["W. T. Cruz and Ana D. Lim met."]), ("Supercalifragilisticexpialidociousness. It ended.", "xx", ["Supercalifragilisticexpialidociousness.", "It ended."]),
+])
+def test_abbreviations_by_language(text, lang, want):
+    assert [text[a:b] for a, b in sentence_spans(text, lang)] == want
+
+
 def test_enumeration():
     text = "The board shall, if asked, do the following:\n(i) keep it;\n\n(ii) send it; and\n(iii) close it.\nThen it\nends."
     assert units(text) == ["The board shall, if asked, do the following:", "(i) keep it;", "(ii) send it; and", "(iii) close it.", "Then it\nends."]
