@@ -9,8 +9,17 @@ than independent minima. All texts of a batch go through the rounds together.
 
 Signatures are cut into bands. Exact copies share all bands and are folded into one representative
 in the same exchange, before any pair is made. Pairs of representatives that agree in a band are
-candidates; they are verified on the texts themselves, so no result rests on a hash. With 32 bands
-of 6 places a pair at similarity 0.75 is missed with probability 0.002, one at 0.8 with 6e-5.
+candidates; they are verified on the texts themselves, so similarity never rests on a hash (copies are
+told by their MD5 digest). With 32 bands of 6 places a pair at similarity 0.75 is missed with
+probability 0.002, one at 0.8 with 6e-5.
+
+A band with more than ``CHUNK`` members is cut into chunks, and every two of them are paired in a group of
+their own, so no task holds more than ``2 * CHUNK`` members of a band. That is for :func:`similar_pairs`, which
+must list every pair. :func:`groups` only needs to know what hangs together: a band with more than ``STAR`` members
+is compared with one of them, its star. One less the similarity is a metric, so a member whose distance
+``d`` from the star is above the limit can be near another only if their distances from the star differ by at
+most the limit; such members are paired with those in that ring, the others are done. No link between groups
+is lost.
 
 Defined results: null texts and texts with fewer than ``least_words`` words are in no pair; texts
 too short for one shingle are never similar; similarity is the size of the intersection over that
@@ -30,6 +39,9 @@ from lexquarry.session import cut
 
 BREAKS = "\t\n\r\f"
 BANDS, ROWS = 32, 6
+CHUNK, STAR = 256, 64
+#: Shingles whose signatures are made at once; longer texts go through in slices of that length.
+AT_ONCE = 40_000
 SEED = np.uint64(0x9E3779B97F4A7C15)
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -115,7 +127,35 @@ def _texts(df: DataFrame, least_words: int) -> DataFrame:
     return df.where(F.col("text").isNotNull()).where(F.size(words) >= least_words).select("tab", "rec_id", "text", F.unhex(F.md5("text")).alias("digest"))
 
 
-def signed(df: DataFrame, size: int, least_words: int, bands: int = BANDS, rows: int = ROWS, block: int = 256) -> DataFrame:
+def signatures(docs: list[list[str]], size: int, m: int, known: _Hashes) -> np.ndarray:
+    """Signatures of word lists, in slices of at most ``AT_ONCE`` shingles; those of a longer text are joined by their minima."""
+    out = np.full((len(docs), m), EMPTY, dtype=np.uint64)
+    part: list[list[str]] = []
+    owner: list[int] = []
+    held = 0
+
+    def flush() -> None:
+        nonlocal held
+        if part:
+            hashes, own = shingle_hashes(part, size, known)
+            np.minimum.at(out, owner, superminhash(hashes, own, len(part), m))
+        part.clear()
+        owner.clear()
+        held = 0
+
+    for i, words in enumerate(docs):
+        for a in range(0, max(1, len(words) - size + 1), AT_ONCE):
+            piece = words[a : a + AT_ONCE + size - 1]
+            if held + len(piece) > AT_ONCE + size:
+                flush()
+            part.append(piece)
+            owner.append(i)
+            held += len(piece)
+    flush()
+    return out
+
+
+def signed(df: DataFrame, size: int, least_words: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(tab, rec_id, fold, bands) of each row of df (tab, rec_id, text) that can be in a pair.
 
     ``fold`` hashes the text; rows are folded only where it and a band agree.
@@ -125,42 +165,55 @@ def signed(df: DataFrame, size: int, least_words: int, bands: int = BANDS, rows:
     def work(batch: pa.RecordBatch):
         out = {"tab": [], "rec_id": [], "fold": [], "bands": []}
         tabs, ids, texts, folds = (column(batch, c) for c in ("tab", "rec_id", "text", "fold"))
-        for a in range(0, len(ids), block):
-            docs, keep = [], []
-            for i in range(a, min(a + block, len(ids))):
-                words = words_of(texts[i])
-                if len(words) >= max(least_words, size):
-                    docs.append(words)
-                    keep.append(i)
-            if not docs:
-                continue
-            hashes, owner = shingle_hashes(docs, size, known)
-            got = band_hashes(superminhash(hashes, owner, len(docs), bands * rows), bands, rows)
-            for name, values in (("tab", tabs), ("rec_id", ids), ("fold", folds)):
-                out[name] += [values[i] for i in keep]
-            out["bands"] += list(got)
+        docs, keep = [], []
+        for i, text in enumerate(texts):
+            words = words_of(text)
+            if len(words) >= max(least_words, size):
+                docs.append(words)
+                keep.append(i)
+        if not docs:
+            return None
+        got = band_hashes(signatures(docs, size, bands * rows, known), bands, rows)
+        for name, values in (("tab", tabs), ("rec_id", ids), ("fold", folds)):
+            out[name] += [values[i] for i in keep]
+        out["bands"] += list(got)
         return out
 
     return map_batches(_texts(df, least_words).withColumn("fold", F.xxhash64("text")).drop("digest"), work, "tab string, rec_id long, fold long, bands array<long>")
 
 
-def candidates(sigs: DataFrame) -> DataFrame:
-    """(tab, id_a, id_b): pairs of representatives that agree in at least one band."""
+def shared_bands(sigs: DataFrame) -> DataFrame:
+    """(tab, h, id, n): the representatives of every band that several of them share, and their number."""
     banded = sigs.select("tab", "rec_id", "fold", F.explode("bands").alias("h"))
     # One exchange serves three steps, which all cluster on (tab, h): copies are folded into their
     # representative, bands that nobody shares are dropped, and what is left is paired.
-    shared = (
-        banded.repartition("tab", "h").groupBy("tab", "h", "fold").agg(F.min("rec_id").alias("id"))
-        .withColumn("n", F.count("*").over(Window.partitionBy("tab", "h"))).where("n > 1").select("tab", "h", "id")
-    )
-    shared = cut(shared)
-    a, b = shared.alias("a"), shared.alias("b")
+    folded = banded.repartition("tab", "h").groupBy("tab", "h", "fold").agg(F.min("rec_id").alias("id"))
+    return cut(folded.withColumn("n", F.count("*").over(Window.partitionBy("tab", "h"))).where("n > 1").select("tab", "h", "id", "n"))
+
+
+def paired(shared: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """(tab, id_a, id_b): all pairs of the members (tab, h, id, n) of each band, large bands by chunks."""
+    few = shared.where(F.col("n") <= chunk)
+    a, b = few.alias("a"), few.alias("b")
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("tab", "h")]
-    return a.join(b, [*same, F.col("a.id") < F.col("b.id")]).select("a.tab", F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
+    pairs = a.join(b, [*same, F.col("a.id") < F.col("b.id")]).select("a.tab", F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))
+    many = shared.where(F.col("n") > chunk).withColumn("parts", F.ceil(F.col("n") / chunk).cast("int"))
+    many = many.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    # Each member meets its own chunk once and every other chunk once: the group is (lesser, greater) chunk.
+    met = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("tab", "h", "id", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    c, d = met.alias("c"), met.alias("d")
+    meets = [F.col(f"c.{k}") == F.col(f"d.{k}") for k in ("tab", "h", "x", "y")]
+    crossed = c.join(d, [*meets, F.col("c.id") < F.col("d.id")]).where((F.col("c.x") == F.col("c.y")) | (F.col("c.own") != F.col("d.own")))
+    return pairs.unionByName(crossed.select("c.tab", F.col("c.id").alias("id_a"), F.col("d.id").alias("id_b"))).distinct()
+
+
+def candidates(sigs: DataFrame) -> DataFrame:
+    """(tab, id_a, id_b): pairs of representatives that agree in at least one band."""
+    return paired(shared_bands(sigs))
 
 
 def verified(pairs: DataFrame, df: DataFrame, size: int, threshold: float) -> DataFrame:
-    """(tab, id_a, id_b, similarity) of the pairs whose exact similarity reaches the threshold."""
+    """(tab, id_a, id_b, similarity) of the pairs whose exact similarity reaches the threshold (0 keeps all)."""
     key = ("tab", "id_a", "id_b")
     ends = pairs.select(*key, F.explode(F.array("id_a", "id_b")).alias("rec_id"))
     texts = df.select("tab", "rec_id", "text")
@@ -184,8 +237,8 @@ def verified(pairs: DataFrame, df: DataFrame, size: int, threshold: float) -> Da
             sx, sy = shingles(x), shingles(y)
             common = len(sx & sy)
             union = len(sx) + len(sy) - common
-            if union and common >= threshold * union:
-                for name, value in zip(out, (tab, a, b, common / union)):
+            if union and common >= threshold * union or not threshold:
+                for name, value in zip(out, (tab, a, b, common / union if union else 0.0)):
                     out[name].append(value)
         return out
 
@@ -243,15 +296,41 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def star_links(shared: DataFrame, df: DataFrame, size: int, threshold: float, star: int = STAR) -> DataFrame:
+    """(tab, id_a, id_b): similar pairs that connect what the bands (tab, h, id, n) connect, not all of them.
+
+    Small bands are paired; of large ones each member is compared with the least, and again only those
+    are paired that its distance leaves open.
+    """
+    small = paired(shared.where(F.col("n") <= star).select("tab", "h", "id", "n"))
+    large = shared.where(F.col("n") > star)
+    rays = large.withColumn("star", F.min("id").over(Window.partitionBy("tab", "h"))).where("id <> star")
+    pairs = rays.select("tab", F.col("star").alias("id_a"), F.col("id").alias("id_b")).distinct()
+    judged = cut(verified(pairs, df, size, 0.0))
+    far = rays.join(judged.select("tab", F.col("id_a").alias("star"), F.col("id_b").alias("id"), (1.0 - F.col("similarity")).alias("d")), ["tab", "star", "id"])
+    # Rings as wide as the limit: two members can be near only in the same or in neighbouring rings.
+    limit = 1.0 - threshold
+    far = far.withColumn("ring", F.floor(F.col("d") / limit).cast("int"))
+    open_ = far.where(F.col("d") > limit)
+    spread = lambda x: x.withColumn("at", F.explode(F.array(F.col("ring"), F.col("ring") + 1)))
+    left = spread(open_).select("tab", "h", "at", F.col("id").alias("a"), F.col("d").alias("da"))
+    right = spread(far).select("tab", "h", "at", F.col("id").alias("b"), F.col("d").alias("db"))
+    again = left.join(right, ["tab", "h", "at"]).where((F.col("a") != F.col("b")) & (F.abs(F.col("da") - F.col("db")) <= limit + 1e-9))
+    again = again.select("tab", F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))
+    near = verified(small.unionByName(again).distinct(), df, size, threshold).select("tab", "id_a", "id_b")
+    return near.unionByName(judged.where(F.col("similarity") >= threshold).select("tab", "id_a", "id_b")).distinct()
+
+
 def groups(df: DataFrame, size: int = 3, threshold: float = 0.75, least_words: int = 40) -> DataFrame:
     """(tab, rec_id, class_id, n_links): one row per record in a group of two or more.
 
-    ``n_links`` counts the similar records with another text; exact copies share class and links of
-    their representative and are not expanded into pairs.
+    ``n_links`` counts the similar records with another text that the grouping verified: all of them in bands
+    of up to ``STAR`` members, in larger ones those that connect them. Exact copies share class and
+    links of their representative and are not expanded into pairs.
     """
-    pairs = cut(representative_pairs(df, size, threshold, least_words))
+    pairs = cut(star_links(shared_bands(signed(df, size, least_words)), df, size, threshold))
     same = cut(copies(df, least_words))
-    edges = pairs.select("tab", "id_a", "id_b").unionByName(same.where("rec_id <> rep").select("tab", F.col("rep").alias("id_a"), F.col("rec_id").alias("id_b")))
+    edges = pairs.unionByName(same.where("rec_id <> rep").select("tab", F.col("rep").alias("id_a"), F.col("rec_id").alias("id_b")))
     ends = pairs.select("tab", F.explode(F.array("id_a", "id_b")).alias("rep")).groupBy("tab", "rep").agg(F.count("*").alias("n_links"))
     return (
         components(edges).join(same, ["tab", "rec_id"], "left").withColumn("rep", F.coalesce("rep", "rec_id"))

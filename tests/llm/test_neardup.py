@@ -75,3 +75,55 @@ def test_estimate():
     assert abs((sig[0] == sig[1]).mean() - 0.75) < 0.1 and (sig != neardup.EMPTY).all()
     one = neardup.superminhash(sets[0][::-1].copy(), np.zeros(175, dtype=np.int64), 1, 192)
     assert (one[0] == sig[0]).all()
+
+
+def family(rnd, n, base_size=60, far=0):
+    """Variants of one text; every tenth is ``far`` edits away from the rest and near a twin of its own."""
+    base = [f"w{i}" for i in range(base_size)]
+    texts = []
+    for i in range(n):
+        words = edited(rnd, base, 2)
+        if far and i % 10 == 0:
+            words = edited(rnd, words, far)
+            texts.append(" ".join(edited(rnd, words, 1)))
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_large_bands(spark, monkeypatch):
+    texts = family(random.Random(8), 150, far=4)
+    want = brute(texts, 3, 0.75, 40)
+    df = frame(spark, texts)
+    monkeypatch.setattr(neardup, "CHUNK", 16)
+    monkeypatch.setattr(neardup.paired, "__defaults__", (16,))
+    got = [(r.id_a, r.id_b) for r in neardup.similar_pairs(df).collect()]
+    assert len(got) == len(set(got)) and len(set(got) & want) >= 0.99 * len(want) and set(got) <= want
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in got:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    monkeypatch.setattr(neardup.star_links, "__defaults__", (8,))
+    classes = {r.rec_id: r.class_id for r in neardup.groups(df).collect()}
+    assert classes == {x: find(x) for x in {y for p in got for y in p}}
+
+
+def test_chunks_make_every_pair_once(spark):
+    rows = [("t", 1, i, 40) for i in range(40)] + [("t", 2, i, 3) for i in (1, 2, 50)]
+    df = spark.createDataFrame(rows, "tab string, h long, id long, n long")
+    got = [(r.id_a, r.id_b) for r in neardup.paired(df, 7).collect()]
+    assert sorted(got) == sorted({(a, b) for a in range(40) for b in range(a + 1, 40)} | {(1, 50), (2, 50)})
+
+
+def test_slices_give_the_same_signatures(monkeypatch):
+    rnd = random.Random(12)
+    docs = [[f"w{rnd.randrange(500)}" for _ in range(n)] for n in (50, 900, 3, 2500)]
+    known = neardup._Hashes()
+    whole = neardup.signatures(docs, 3, 48, known)
+    monkeypatch.setattr(neardup, "AT_ONCE", 200)
+    assert (neardup.signatures(docs, 3, 48, known) == whole).all()
