@@ -1,9 +1,14 @@
 """Deeply nested JSON records to related flat tables.
 
-Records arrive as JSON text. The operator reads them as VARIANT values, infers one merged schema
-over all records (a distributed aggregate), and from it how deep the recursive array goes. It then
-explodes one array level after another. Every row keeps the surrogate key of its parent, which is
-the path inside its record, and its ordinal in the array.
+Records arrive as JSON text and are read as VARIANT values. One merged schema is inferred over all of
+them: a table of field patterns (``$.sections[].content``) with the kinds of values seen there, made by
+partial aggregates and kept distributed; a field inside itself (``subsections[].subsections[]``) is one
+pattern. The schema names the child tables: every pattern that holds an array of objects in any record, and
+the declared ones. It also says which fields lead there, so that a lone object or a text in such a place is read as what the
+schema has there. Objects are then opened level by level: their fields are joined with the schema, what
+holds no object drops out, arrays are exploded into rows of their child table. Arrays of mixed values,
+into which the schema does not see, are opened as well. Every row keeps the surrogate key of its parent, which is the path inside its record,
+and its ordinal in the array. How deep records nest shows as they are opened.
 
 Defined results for uneven input:
 
@@ -20,9 +25,9 @@ Defined results for uneven input:
 
 from __future__ import annotations
 
-import re
-from dataclasses import dataclass, field
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexquarry.session import cut
@@ -30,26 +35,14 @@ from lexquarry.session import cut
 BOM = "﻿"
 LIST = "array<variant>"
 OBJECT = "map<string,variant>"
-#: Levels exploded in one stage; more would outgrow a generated method.
-STEPS = 3
 
-
-@dataclass(frozen=True)
-class Layout:
-    """What to flatten: the child arrays by the field path below the record, and the recursive field."""
-
-    roots: dict[str, str] = field(default_factory=lambda: {
-        "sections": "section",
-        "subsections": "subsection",
-        "metadata.amendments": "amendment",
-        "metadata.footnotes": "footnote",
-        "metadata.heading_footnotes": "heading_footnote",
-        "metadata.legal_status.changes": "status_change",
-    })
-    recursive: str = "subsections"
-    recursive_kind: str = "subsection"
-    #: Kinds of nodes that may have the recursive field.
-    recurring: tuple[str, ...] = ("section", "subsection")
+#: Declared child tables by the pattern of their array; other arrays of objects are named after their field.
+TABLES = {
+    "$.sections[]": "section", "$.sections[].subsections[]": "subsection", "$.subsections[]": "subsection", "$.metadata.amendments[]": "amendment",
+    "$.metadata.footnotes[]": "footnote", "$.metadata.heading_footnotes[]": "heading_footnote", "$.metadata.legal_status.changes[]": "status_change",
+}
+#: Levels opened in one plan, and the largest schema that is handed to every task.
+STEPS, BROADCAST_ROWS = 3, 50_000
 
 
 def _get(v: Column, path: str, kind: str) -> Column:
@@ -70,28 +63,6 @@ def _parsed(v: Column) -> Column:
     return F.try_parse_json(F.ltrim(F.regexp_replace(_get(v, "$", "string"), f"^{BOM}", "")))
 
 
-def _elements(df: DataFrame, name: str) -> DataFrame:
-    """Replace the VARIANT column ``name`` with its elements; a container inside a string counts.
-
-    The steps are columns of their own, so that each value is opened once.
-    """
-    return (
-        df.withColumn("_own", _container(F.col(name)))
-        .withColumn("_text", F.when(F.col("_own").isNull(), _parsed(F.col(name))))
-        .withColumn(name, F.coalesce("_own", _container(F.col("_text"))))
-        .drop("_own", "_text")
-    )
-
-
-def _inside(v: Column, path: str) -> Column:
-    """The value at a dotted path, opening containers that were delivered as text."""
-    *outer, last = path.split(".")
-    for name in outer:
-        v = _get(v, f"$.{name}", "variant")
-        v = F.when(_is_object(v), v).otherwise(_parsed(v))
-    return _get(v, f"$.{last}", "variant")
-
-
 def records(df: DataFrame, key: str = "record_id", payload: str = "payload") -> DataFrame:
     """(key, record_path, record): one row per record object."""
     text = F.regexp_replace(F.col(payload), f"^{BOM}", "")
@@ -105,88 +76,140 @@ def records(df: DataFrame, key: str = "record_id", payload: str = "payload") ->
     )
 
 
-def merged_schema(recs: DataFrame, column: str = "record") -> str:
-    """One schema for all records, as text; fields that differ in type are VARIANT in it."""
-    return recs.select(F.schema_of_variant_agg(column).alias("s")).first()["s"] or "VOID"
-
-
-def depth_in(schema: str, name: str) -> int:
-    """How many levels of the field ``name`` a schema text nests."""
-    inside, most, named = [], 0, False
-    for m in re.finditer(r"`?(\w+)`?: |[<>]", schema):
-        if m.group() == "<":
-            inside.append(named)
-            most, named = max(most, sum(inside)), False
-        elif m.group() == ">":
-            inside.pop()
-        else:
-            named = m.group(1) == name
-    return most
-
-
-def nodes(df: DataFrame, key: str = "record_id", payload: str = "payload", layout: Layout = Layout()) -> DataFrame:
-    """(key, record_path, kind, level, node_path, parent_path, ord, node): one row per object.
-
-    ``level`` counts from 1 for a child of the record. Rows of level ``n`` are exploded in step
-    ``n``; a row that is done passes the later steps unchanged, so all levels share one scan.
+def _parts(text: str) -> Iterator[tuple[str, str]]:
+    """(name, type) of the fields between the angle brackets of an object's type."""
+    depth, start, quoted, name = 0, 0, False, None
+    for i, c in enumerate(text):
+        if c == "`":
+            quoted = not quoted
+        elif quoted:
+            continue
+        elif c == "<":
+            depth += 1
+        elif c == ">":
+            depth -= 1
+        elif c == ":" and depth == 0 and name is None:
+            name, start = text[start:i].strip().strip("`"), i + 1
+        elif c == "," and depth == 0 and name is not None:
+            yield name, text[start:i].strip()
+            name, start = None, i + 1
+    if name is not None:
+        yield name, text[start:].strip()
+
+
+def patterns_of(shape: str) -> Iterator[tuple[str, str]]:
+    """(pattern, kind) of all fields of a value's type as Spark prints it; kinds are ``array``, ``object`` and scalar types."""
+    todo = [("$", shape)]
+    while todo:
+        at, kind = todo.pop()
+        if kind.startswith("OBJECT<"):
+            yield at, "object"
+            todo += [(collapsed(f"{at}.{name}"), t) for name, t in _parts(kind[7:-1])]
+        elif kind.startswith("ARRAY<"):
+            inner = kind[6:-1]
+            if inner.startswith("OBJECT<") or inner == "VARIANT":
+                yield f"{at}[]", "array"
+            todo.append((f"{at}[]", inner))
+        elif kind not in ("VOID", "OBJECT", "ARRAY", "VARIANT"):
+            yield at, kind.lower()
+
+
+def collapsed(pattern: str) -> str:
+    """A pattern in which a field inside itself is written once."""
+    *before, above, last = ["", *pattern.rsplit(".", 2)] if pattern.count(".") > 1 else ["", "", pattern]
+    return ".".join([*filter(None, before), last]) if above == f"{last}[]" else pattern
+
+
+def schema(recs: DataFrame, column: str = "record") -> DataFrame:
+    """(pattern, kind, n_records): the merged schema of all records, one row per field pattern and kind."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(p, k, n) for shape, n in zip(batch.column("shape").to_pylist(), batch.column("n").to_pylist()) for p, k in set(patterns_of(shape))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int64())], ["pattern", "kind", "n"])
+
+    shapes = recs.groupBy(F.schema_of_variant(column).alias("shape")).agg(F.count("*").alias("n"))
+    return shapes.mapInArrow(split, "pattern string, kind string, n long").groupBy("pattern", "kind").agg(F.sum("n").alias("n_records"))
+
+
+def ways(merged: DataFrame) -> DataFrame:
+    """(pattern, kind): which field patterns are arrays that become tables (kind is the table), and which objects lead to one (kind is null)."""
+    spark = merged.sparkSession
+    declared = spark.createDataFrame(list(TABLES.items()), "pattern string, kind string")
+    found = merged.where("kind = 'array'").select("pattern").distinct().join(declared.select("pattern"), "pattern", "left_anti")
+    named = found.select("pattern", F.regexp_extract("pattern", r"([^.]+)\[\]$", 1).alias("kind"))
+    arrays = declared.unionByName(named)
+    steps = F.split(F.regexp_replace("pattern", r"\[\]$", ""), r"\.", -1)
+    above = F.transform(F.sequence(F.lit(1), F.size(steps) - 1), lambda i: F.array_join(F.slice(steps, F.lit(1), i), "."))
+    leading = arrays.select(F.explode(above).alias("pattern")).where("pattern <> '$' AND NOT pattern LIKE '%[]'").distinct().select("pattern", F.lit(None).cast("string").alias("kind"))
+    return arrays.select(F.regexp_replace("pattern", r"\[\]$", "").alias("pattern"), "kind").unionByName(leading.join(arrays.select(F.regexp_replace("pattern", r"\[\]$", "").alias("pattern")), "pattern", "left_anti"))
+
+
+def nodes(df: DataFrame, key: str = "record_id", payload: str = "payload") -> DataFrame:
+    """(key, record_path, kind, pattern, level, node_path, parent_path, ord, node): one row per object of a child table.
+
+    ``level`` counts the arrays around an object, itself included.
     """
-    recs = records(df, key, payload)
-    levels = depth_in(merged_schema(recs), layout.recursive)
-
-    first = F.array(*[
-        F.struct(F.lit(kind).alias("kind"), F.lit(path).alias("field"), _inside(F.col("record"), path).alias("items"))
-        for path, kind in layout.roots.items()
-    ])
-    fields = recs.select(key, "record_path", F.explode(first).alias("f")).select(key, "record_path", "f.*").where("items IS NOT NULL")
-    level = (
-        _elements(fields, "items")
-        .select(key, "record_path", "kind", "field", F.posexplode("items").alias("ord", "node"))
-        .where(_is_object(F.col("node")))
-        .select(
-            key, "record_path", "kind", F.lit(1).alias("level"),
-            F.concat("record_path", F.lit("."), "field", F.lit("["), "ord", F.lit("]")).alias("node_path"),
-            F.col("record_path").alias("parent_path"), "ord", "node",
-            F.col("kind").isin(*layout.recurring).alias("pending"),
-        )
+    recs = cut(records(df, key, payload))
+    leads = cut(ways(schema(recs)))
+    # The schema has a row per array field; a schema of more than BROADCAST_ROWS is joined by exchange.
+    leads = F.broadcast(leads) if leads.count() <= BROADCAST_ROWS else leads
+    null = F.lit(None)
+    level = recs.select(
+        key, "record_path", null.cast("string").alias("kind"), F.lit("$").alias("pattern"), F.col("record_path").alias("path"), F.col("record_path").alias("parent_path"),
+        F.lit(0).alias("level"), null.cast("int").alias("ord"), F.col("record").alias("node"), F.lit(True).alias("open"),
     )
-    done, step = None, 0
+    done = None
     while True:
         for _ in range(STEPS):
-            level = _deeper(level, key, layout)
-        level, step = cut(level), step + STEPS
-        part = level.where("NOT pending")
+            level = _opened(level, leads, key)
+        level = cut(level)
+        part = level.where("NOT open AND kind IS NOT NULL").select(key, "record_path", "kind", "pattern", "level", F.col("path").alias("node_path"), "parent_path", "ord", "node")
         done = part if done is None else done.unionByName(part)
-        level = level.where("pending")
-        # The merged schema does not see into strings: a record that nests deeper there goes on.
-        if step > levels and level.isEmpty():
-            return done.drop("pending")
-
-
-def _deeper(df: DataFrame, key: str, layout: Layout) -> DataFrame:
-    """Replace each pending row with itself, done, and its children, pending."""
-    kids = F.filter(
-        F.transform(
-            F.col("kids"),
-            lambda v, i: F.struct((F.col("at") + 1).alias("level"), i.alias("ord"), v.alias("node"), F.lit(True).alias("pending")),
-        ),
-        lambda x: _is_object(x["node"]),
-    )
-    itself = F.array(F.struct(F.col("at").alias("level"), F.col("ord"), F.col("node"), F.lit(False).alias("pending")))
-    opened = df.withColumn("at", F.col("level")).withColumn("kids", F.when(F.col("pending"), _get(F.col("node"), f"$.{layout.recursive}", "variant")))
-    child = F.col("x.level") > F.col("at")
-    return (
-        _elements(opened, "kids")
-        .withColumn("x", F.explode(F.when(F.col("kids").isNull(), itself).otherwise(F.concat(itself, kids))))
-        .select(
-            key, "record_path",
-            F.when(child, layout.recursive_kind).otherwise(F.col("kind")).alias("kind"), "x.level",
-            F.when(child, F.concat("node_path", F.lit(f".{layout.recursive}["), F.col("x.ord"), F.lit("]"))).otherwise(F.col("node_path")).alias("node_path"),
-            F.when(child, F.col("node_path")).otherwise(F.col("parent_path")).alias("parent_path"),
-            "x.ord", "x.node", "x.pending",
-        )
+        level = level.where("open")
+        if level.isEmpty():
+            return done
+
+
+def _opened(level: DataFrame, leads: DataFrame, key: str) -> DataFrame:
+    """Replace each open row with itself, done, and the objects in its fields, open; rows that are done stay."""
+    base = [key, "record_path"]
+    itself = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.col("node").alias("value")))
+    entries = F.map_entries(_get(F.col("node"), "$", OBJECT))
+    rows = level.withColumn("f", F.explode(F.when(F.col("open"), F.concat(itself, entries)).otherwise(itself))).withColumn("name", F.col("f.key"))
+    rows = rows.withColumn("value", F.col("f.value")).withColumn("at", F.when(F.col("name").isNotNull(), _collapsed(F.col("pattern"), F.col("name"))))
+    rows = rows.join(leads.select(F.col("pattern").alias("at"), F.col("kind").alias("table"), F.lit(True).alias("known")), "at", "left")
+    # A container inside a string counts where the schema has one; each value is opened once.
+    own = F.col("name").isNull()
+    held = F.when(own | _is_object(F.col("value")) | _get(F.col("value"), "$", LIST).isNotNull(), F.col("value")).when(F.col("known"), _parsed(F.col("value")))
+    rows = rows.withColumn("value", held).where(own | F.col("value").isNotNull())
+    mixed = F.exists(_get(F.col("value"), "$", LIST), _is_object)
+    rows = rows.withColumn("table", F.when(~own, F.coalesce("table", F.when(F.col("known").isNull() & mixed, F.regexp_extract("at", r"([^.]+)$", 1)))))
+    objects = lambda items: F.filter(F.transform(items, lambda v, i: F.struct(i.alias("ord"), v.alias("node"))), lambda x: _is_object(x["node"]))
+    alone = F.array(F.struct(F.lit(None).cast("int").alias("ord"), F.col("value").alias("node")))
+    kids = F.when(own, F.array(F.struct("ord", "node"))).when(F.col("table").isNotNull(), objects(_container(F.col("value")))).when(_is_object(F.col("value")), alone)
+    rows = rows.withColumn("x", F.explode(kids))
+    array = F.col("table").isNotNull()
+    place = F.concat("path", F.lit("."), "name", F.when(array, F.concat(F.lit("["), "x.ord", F.lit("]"))).otherwise(""))
+    return rows.select(
+        *base, F.when(own, F.col("kind")).otherwise(F.col("table")).alias("kind"), F.when(own, F.col("pattern")).when(array, F.concat("at", F.lit("[]"))).otherwise(F.col("at")).alias("pattern"),
+        F.when(own, F.col("path")).otherwise(place).alias("path"),
+        F.when(own | F.col("kind").isNull(), F.col("parent_path")).otherwise(F.col("path")).alias("parent_path"),
+        F.when(own | ~array, F.col("level")).otherwise(F.col("level") + 1).alias("level"), "x.ord", "x.node", (~own).alias("open"),
     )
 
 
+def _collapsed(pattern: Column, name: Column) -> Column:
+    """The pattern of a field; inside an array of the same name it is that array's."""
+    own = F.concat(F.lit("."), name, F.lit("[]"))
+    return F.when(F.endswith(pattern, own), F.left(pattern, F.char_length(pattern) - 2)).otherwise(F.concat(pattern, F.lit("."), name))
+
+
+def declared(all_nodes: DataFrame) -> DataFrame:
+    """The rows of the declared tables, each with its nearest declared parent."""
+    return all_nodes.where(F.col("pattern").isin(*TABLES))
+
+
 #: Typed columns of the child tables: kind -> {column: (field, type)}.
 COLUMNS: dict[str, dict[str, tuple[str, str]]] = {
     "section": {"section_number": ("section_number", "string"), "title": ("title", "string"), "content": ("content", "string")},
@@ -198,10 +221,24 @@ COLUMNS: dict[str, dict[str, tuple[str, str]]] = {
 }
 
 
+def inferred_table(all_nodes: DataFrame, merged: DataFrame, kind: str, key: str = "record_id", most: int = 1000) -> DataFrame:
+    """The flat table of any kind, with a column for every scalar field that the merged schema has for it.
+
+    Column names come from the schema; a table has at most ``most`` of them. Fields of more than one
+    scalar type are text; a name that is one of the link columns gets ``_`` behind it.
+    """
+    patterns = all_nodes.where(F.col("kind") == kind).select("pattern").distinct()
+    fields = merged.where("kind NOT IN ('array', 'object')").withColumn("of", F.regexp_extract("pattern", r"^(.*)[.]([^.]+)$", 1)).withColumn("name", F.regexp_extract("pattern", r"([^.]+)$", 1))
+    fields = fields.join(patterns.select(F.col("pattern").alias("of")), "of").where("NOT name LIKE '%[]'").groupBy("name").agg(F.collect_set("kind").alias("kinds")).orderBy("name").limit(most).collect()
+    links = (key, "record_path", "node_path", "parent_path", "ord", "level")
+    typed = [_get(F.col("node"), f"$['{r.name}']", r.kinds[0] if len(r.kinds) == 1 else "string").alias(f"{r.name}_" if r.name in links else r.name) for r in fields]
+    return all_nodes.where(F.col("kind") == kind).select(*links, *typed)
+
+
 def child_table(all_nodes: DataFrame, kind: str, key: str = "record_id") -> DataFrame:
-    """The flat table of one kind: key, own and parent path, ordinal, level and typed columns."""
+    """The flat table of one declared kind: key, own and parent path, ordinal, level and typed columns."""
     typed = [_get(F.col("node"), f"$.{name}", t).alias(c) for c, (name, t) in COLUMNS[kind].items()]
-    return all_nodes.where(F.col("kind") == kind).select(key, "record_path", "node_path", "parent_path", "ord", "level", *typed)
+    return declared(all_nodes).where(F.col("kind") == kind).select(key, "record_path", "node_path", "parent_path", "ord", "level", *typed)
 
 
 def record_table(df: DataFrame, key: str = "record_id", payload: str = "payload") -> DataFrame:

@@ -13,7 +13,7 @@ from lexquarry.session import table
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every nested object of every record with its path and its parent's path."""
-    return nested.nodes(table(spark, sf_dir, "raw_records")).select("record_id", "node_path", "parent_path").distinct()
+    return nested.declared(nested.nodes(table(spark, sf_dir, "raw_records"))).select("record_id", "node_path", "parent_path")
 
 
 def _p4_table(kind: str):
@@ -29,6 +29,11 @@ def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.record_table(table(spark, sf_dir, "raw_records"))
 
 
+def p4_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged schema of the records: field patterns with the kinds of their values."""
+    return nested.schema(nested.records(table(spark, sf_dir, "raw_records")))
+
+
 def references(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(tab, rec_id, order_key, loaded_at): all references of the three tables to orders."""
     articles, orders, sources = (table(spark, sf_dir, t) for t in ("code_articles", "dole_orders", "sources"))
@@ -58,6 +63,7 @@ def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p4_found": p4_found,
     "p4_records": p4_records,
+    "p4_schema": p4_schema,
     **{f"p4_{kind}s": _p4_table(kind) for kind in nested.COLUMNS},
     "p6_found": p6_found,
     "p6_report": p6_report,

@@ -7,7 +7,7 @@ from lexquarry.operators import nested
 
 def found(spark, payloads):
     df = spark.createDataFrame([(i, p, "x") for i, p in enumerate(payloads)], "record_id long, payload string, node string")
-    return {tuple(r) for r in nested.nodes(df).select("record_id", "node_path", "parent_path").collect()}
+    return {tuple(r) for r in nested.declared(nested.nodes(df)).select("record_id", "node_path", "parent_path").collect()}
 
 
 def test_shapes(spark):
@@ -44,9 +44,22 @@ def test_child_table(spark):
     assert [(r.law, str(r.law_date)) for r in rows] == [("RA 1", "2001-02-03"), (None, "None")]
 
 
-@pytest.mark.parametrize("schema,depth", [
-    ("OBJECT<a: STRING>", 0),
-    ("OBJECT<subsections: ARRAY<OBJECT<label: STRING, subsections: ARRAY<OBJECT<label: STRING>>>>>", 2),
+def test_unknown_array_becomes_a_table(spark):
+    payloads = [json.dumps({"order_number": "x", "annexes": [{"code": "A", "pages": 3, "ord": 7, "signers": [{"name": "B"}, None]}]}), json.dumps({"mixed": [{"code": "Z"}, "x"]}), json.dumps({"annexes": {"code": 5}}), json.dumps({"annexes": json.dumps([{"code": "C"}])}), json.dumps({"plain": [1, 2]})]
+    df = spark.createDataFrame(list(enumerate(payloads)), "record_id long, payload string")
+    all_nodes = nested.nodes(df)
+    assert {(r.record_id, r.kind, r.node_path, r.parent_path) for r in all_nodes.collect()} == {
+        (0, "annexes", "$.annexes[0]", "$"), (0, "signers", "$.annexes[0].signers[0]", "$.annexes[0]"), (2, "annexes", "$.annexes[0]", "$"), (3, "annexes", "$.annexes[0]", "$"), (1, "mixed", "$.mixed[0]", "$"),
+    }
+    merged = nested.schema(nested.records(df))
+    rows = {(r.record_id, r.code, r.pages, r.ord_) for r in nested.inferred_table(all_nodes, merged, "annexes").collect()}
+    assert rows == {(0, "A", 3, 7), (2, "5", None, None), (3, "C", None, None)}
+    assert [r.name for r in nested.inferred_table(all_nodes, merged, "signers").collect()] == ["B"]
+
+
+@pytest.mark.parametrize("shape,want", [
+    ("OBJECT<a: STRING>", {("$", "object"), ("$.a", "string")}), ("ARRAY<BIGINT>", {("$[]", "bigint")}), ("OBJECT<`a b`: VARIANT, c: ARRAY<VARIANT>>", {("$", "object"), ("$.c[]", "array")}),
+    ("OBJECT<s: ARRAY<OBJECT<l: STRING, s: ARRAY<OBJECT<l: DOUBLE>>>>>", {("$", "object"), ("$.s[]", "array"), ("$.s[]", "object"), ("$.s[].l", "string"), ("$.s[].l", "double")}),
 ])
-def test_depth(schema, depth):
-    assert nested.depth_in(schema, "subsections") == depth
+def test_patterns(shape, want):
+    assert set(nested.patterns_of(shape)) == want
