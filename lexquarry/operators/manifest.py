@@ -44,3 +44,19 @@ def verified(docs: DataFrame, entries: DataFrame, key: str = "id") -> DataFrame:
 def pinned(entries: DataFrame, hashes: DataFrame, key: str = "id") -> DataFrame:
     """Entries with missing hashes filled from hashes (key, found); existing pins never change."""
     return entries.join(hashes.select(key, "found"), key, "left").withColumn("sha256", F.coalesce("sha256", "found")).drop("found")
+
+
+def by_hash(docs: DataFrame, entries: DataFrame, ids: tuple[str, ...] = ("id", "kind")) -> DataFrame:
+    """Documents (with sha256) with ``entry_id`` and ``entry_kind`` of the entry that pins their hash; null if none does.
+
+    Of entries with one hash the least id counts; malformed hashes pin nothing.
+    """
+    pins = entries.where(F.col("sha256").rlike(HASH)).groupBy("sha256").agg(F.min(F.struct(*ids)).alias("_e"))
+    return docs.join(pins, "sha256", "left").withColumn("entry_id", F.col("_e.id")).withColumn("entry_kind", F.col("_e.kind")).drop("_e")
+
+
+def chosen(entries: DataFrame, only: list[str] | None = None, scanned: bool | None = None) -> DataFrame:
+    """The entries with the given ids (all, if none is given), and only scanned or only other ones."""
+    if only:
+        entries = entries.where(F.col("id").isin(only))
+    return entries if scanned is None else entries.where(F.coalesce("ocr", F.lit(False)) == scanned)

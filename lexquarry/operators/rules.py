@@ -1,12 +1,22 @@
-"""Draft-07 schemas as boolean columns over VARIANT records; every error is a row."""
+"""Draft-07 schemas over VARIANT records; every violation is a row.
+
+All keywords of a schema are evaluated in one pass over the records, in Arrow batches: references may lead
+back to themselves to any depth, which no fixed set of columns can follow.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import re
+from collections.abc import Iterator
+from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-_TYPES = {"string": ("string", "STRING"), "integer": ("bigint", "BIGINT"), "number": ("double", None), "boolean": ("boolean", "BOOLEAN"), "array": ("array<variant>", "ARRAY"), "object": ("map<string,variant>", "OBJECT")}
+_TYPES = {"string": str, "boolean": bool, "array": list, "object": dict, "null": type(None)}
+URI = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*:\S+")
 
 
 def schema_kind(record: Column) -> Column:
@@ -15,82 +25,94 @@ def schema_kind(record: Column) -> Column:
     return F.when(has("order_number"), "order").when(has("article_number"), "article").when(has("question"), "question")
 
 
-def _type_ok(v: Column, name: str) -> Column:
-    shape = F.schema_of_variant(v)
-    if name == "number":
-        return shape.rlike("^(BIGINT|DOUBLE|DECIMAL|FLOAT)")
-    if name == "null":
-        return shape == "VOID"
-    return shape.startswith(_TYPES[name][1])
-
-
-def compile_rules(schema: dict, depth: int = 3) -> list[tuple[str, str]]:
-    """(path, rule as JSON) of the supported keywords of a schema, array items as ``[]``; references are followed."""
-    root, out = schema, []
-
-    def walk(s: dict, path: str, level: int) -> None:
-        if "$ref" in s:
-            if level <= 0:
-                return
-            target = root
-            for part in s["$ref"].lstrip("#/").split("/"):
-                target = target[part] if part else target
-            walk(target, path, level - 1)
-            return
-        rule = {k: s[k] for k in ("type", "pattern", "enum", "minimum", "minItems", "format", "const", "required") if k in s}
-        if s.get("additionalProperties") is False:
-            rule["fields"] = sorted(s.get("properties", {}))
-        if rule:
-            out.append((path, json.dumps(rule)))
-        for name, sub in s.get("properties", {}).items():
-            walk(sub, f"{path}.{name}", level)
-        if isinstance(s.get("items"), dict):
-            walk(s["items"], f"{path}[]", level)
-
-    walk(schema, "$", depth)
-    return out
+def _is(value, name: str) -> bool:
+    if name in ("integer", "number"):
+        number = isinstance(value, (int, float)) and not isinstance(value, bool)
+        return number and (name == "number" or float(value).is_integer())
+    return isinstance(value, _TYPES[name])
+
+
+def _is_date(text: str) -> bool:
+    try:
+        return len(text) == 10 and bool(dt.date.fromisoformat(text))
+    except ValueError:
+        return False
+
+
+class Rules:
+    """A schema and what its keywords say about a value."""
+
+    def __init__(self, schema: dict):
+        self.schema = schema
+        self.target = lru_cache(None)(self._target)
+
+    def _target(self, ref: str) -> dict:
+        at = self.schema
+        for part in ref.lstrip("#/").split("/"):
+            at = at[part] if part else at
+        return at
+
+    def errors(self, value, schema: dict | None = None, path: str = "$") -> Iterator[tuple[str, str]]:
+        """(path, message) of every violation; elements of arrays have ``[]`` in their paths."""
+        todo = [(value, self.schema if schema is None else schema, path)]
+        while todo:
+            v, s, at = todo.pop()
+            while "$ref" in s:
+                s = self.target(s["$ref"])
+            yield from ((at, message) for message in self._broken(v, s))
+            if isinstance(v, dict):
+                todo += [(v[k], sub, f"{at}.{k}") for k, sub in s.get("properties", {}).items() if k in v]
+            if isinstance(v, list) and isinstance(s.get("items"), dict):
+                todo += [(x, s["items"], f"{at}[]") for x in v]
+
+    @staticmethod
+    def _broken(v, s: dict) -> Iterator[str]:
+        if "type" in s:
+            kinds = [s["type"]] if isinstance(s["type"], str) else s["type"]
+            if not any(_is(v, k) for k in kinds):
+                yield f"is not of type {'/'.join(kinds)}"
+        if "enum" in s and not any(v == e and type(v) is type(e) for e in s["enum"]):
+            yield "is not one of the allowed values"
+        if "const" in s and not (v == s["const"] and type(v) is type(s["const"])):
+            yield "is not the constant"
+        if isinstance(v, str):
+            if "pattern" in s and not re.search(s["pattern"], v):
+                yield "does not match its pattern"
+            if s.get("format") == "date" and not _is_date(v):
+                yield "is not a date"
+            if s.get("format") == "uri" and not URI.fullmatch(v):
+                yield "is not a URI"
+        if "minimum" in s and _is(v, "number") and v < s["minimum"]:
+            yield "is below its minimum"
+        if isinstance(v, list) and len(v) < s.get("minItems", 0):
+            yield "has too few items"
+        if isinstance(v, dict):
+            yield from (f"lacks {name}" for name in s.get("required", []) if name not in v)
+            if s.get("additionalProperties") is False and (extra := sorted(set(v) - set(s.get("properties", {})))):
+                yield f"has unknown fields {','.join(extra)}"
 
 
 def errors(records: DataFrame, schema: dict, key: list[str], record: str = "record") -> DataFrame:
-    """(key…, path, message) of every violation. Values at one path are exploded once per array level."""
-    parts = None
-    for path, text in compile_rules(schema):
-        rule = json.loads(text)
-        rows = records.select(*key, F.col(record).alias("v"))
-        steps = path.split("[]")
-        for i, step in enumerate(steps):
-            if step not in ("", "$"):
-                rows = rows.withColumn("v", F.try_variant_get("v", "$" + step.removeprefix("$"), "variant"))
-            if i + 1 < len(steps):
-                rows = rows.select(*key, F.explode(F.try_variant_get("v", "$", "array<variant>")).alias("v"))
-        rows = rows.where("v IS NOT NULL")
-        checks: list[Column] = []
-        if "type" in rule:
-            kinds = [rule["type"]] if isinstance(rule["type"], str) else rule["type"]
-            ok = _type_ok(F.col("v"), kinds[0])
-            for k in kinds[1:]:
-                ok = ok | _type_ok(F.col("v"), k)
-            checks.append(F.when(~ok, F.lit(f"is not of type {'/'.join(kinds)}")))
-        text_value = F.when(_type_ok(F.col("v"), "string"), F.try_variant_get("v", "$", "string"))
-        if "pattern" in rule:
-            checks.append(F.when(~text_value.rlike(rule["pattern"]), F.lit("does not match its pattern")))
-        if "enum" in rule:
-            checks.append(F.when(~text_value.isin(*[e for e in rule["enum"] if isinstance(e, str)]), F.lit("is not one of the allowed values")))
-        if rule.get("format") == "date":
-            checks.append(F.when(text_value.isNotNull() & F.try_to_date(text_value, "yyyy-MM-dd").isNull(), F.lit("is not a date")))
-        if rule.get("format") == "uri":
-            checks.append(F.when(~text_value.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:\S+$"), F.lit("is not a URI")))
-        if "minimum" in rule:
-            checks.append(F.when(F.when(_type_ok(F.col("v"), "integer"), F.try_variant_get("v", "$", "bigint")) < rule["minimum"], F.lit("is below its minimum")))
-        if "minItems" in rule:
-            checks.append(F.when(F.size(F.try_variant_get("v", "$", "array<variant>")) < rule["minItems"], F.lit("has too few items")))
-        for name in rule.get("required", []):
-            checks.append(F.when(_type_ok(F.col("v"), "object") & F.try_variant_get("v", f"$.{name}", "variant").isNull(), F.lit(f"lacks {name}")))
-        if "fields" in rule:
-            extra = F.array_except(F.map_keys(F.try_variant_get("v", "$", "map<string,variant>")), F.array(*map(F.lit, rule["fields"])))
-            checks.append(F.when(F.size(extra) > 0, F.concat(F.lit("has unknown fields "), F.array_join(F.array_sort(extra), ","))))
-        if not checks:
-            continue
-        found = rows.select(*key, F.lit(path).alias("path"), F.explode(F.filter(F.array(*checks), lambda c: c.isNotNull())).alias("message"))
-        parts = found if parts is None else parts.unionByName(found)
-    return parts
+    """(key…, path, message) of every violation; null records have none."""
+    text = json.dumps(schema)
+    made: dict[str, Rules] = {}
+    types = ", ".join(f"`{k}` {records.schema[k].dataType.simpleString()}" for k in key)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rules = made.get("r") or made.setdefault("r", Rules(json.loads(text)))
+        for batch in batches:
+            at, paths, messages = [], [], []
+            for i, value in enumerate(batch.column(len(key)).to_pylist()):
+                for path, message in rules.errors(json.loads(value)):
+                    at.append(i)
+                    paths.append(path)
+                    messages.append(message)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(at, pa.int64())) for k in range(len(key))), pa.array(paths, pa.string()), pa.array(messages, pa.string())], [*key, "path", "message"])
+
+    rows = records.where(F.col(record).isNotNull()).select(*key, F.to_json(record).alias("_json"))
+    return rows.mapInArrow(work, f"{types}, path string, message string")
+
+
+def counts(found: DataFrame, kind: str = "message") -> DataFrame:
+    """(kind, n): how often each kind of problem occurs."""
+    return found.groupBy(F.col(kind).alias("kind")).agg(F.count("*").alias("n"))

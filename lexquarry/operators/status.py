@@ -53,3 +53,12 @@ def reconciled(articles: DataFrame, notes: DataFrame, changes: DataFrame, unaffe
     if sample := found.take(20):
         raise ValueError("the status table does not fit: " + "; ".join(f"{r.kind} article {r.article_number} footnote {r.footnote}" for r in sample))
     return roll_up(articles, changes)
+
+
+def applied(articles: DataFrame, changes: DataFrame, source_sha256: str) -> DataFrame:
+    """(article_number, sha256, status, changes) of articles (article_number, sha256): the roll-up, but only
+    for articles of the file that was reviewed; the status of others stays null."""
+    same = F.col("sha256") == F.lit(source_sha256)
+    rolled = roll_up(articles.where(same).select("article_number").distinct(), changes)
+    kept = articles.select("article_number", "sha256").distinct()
+    return kept.join(rolled.withColumn("sha256", F.lit(source_sha256)), ["article_number", "sha256"], "left")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexquarry.functions.keys import order_key
 from lexquarry.functions.text import upper_median
-from lexquarry.operators import manifest, nested, rules, status
+from lexquarry.operators import manifest, nested, orders, rules, status
 from lexquarry.operators.blocks import lines_of
 from lexquarry.plans.linked import _key_sql
 from lexquarry.session import table
@@ -34,14 +34,6 @@ def status_roll_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("article_number", "status", F.coalesce(F.size("changes"), F.lit(0)).alias("n_changes"))
 
 
-def unreviewed_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Footnotes that read like a change of status but belong to none of their article's changes."""
-    a = table(spark, sf_dir, "code_articles")
-    notes = a.select("rec_id", F.explode("metadata.footnotes").alias("f")).select("rec_id", F.col("f.note_number").alias("footnote"), F.col("f.note_text").alias("note_text"))
-    known = a.select("rec_id", F.explode("metadata.legal_status.changes").alias("c")).select("rec_id", F.col("c.footnote").alias("footnote"))
-    return notes.where(F.col("note_text").rlike(status.STATUS_WORDS)).join(known, ["rec_id", "footnote"], "left_anti").select("rec_id", "footnote").distinct()
-
-
 def resolved_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status changes with the text of the footnote they name; names of missing notes vanish."""
     a = table(spark, sf_dir, "code_articles")
@@ -110,8 +102,53 @@ def schema_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.errors(recs.where(rules.schema_kind(F.col("record")) == "order"), ORDER_SCHEMA, ["record_id", "record_path"])
 
 
+def schema_error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each violation of the order schema occurs."""
+    return rules.counts(schema_errors(spark, sf_dir))
+
+
+def manifest_problem_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many entries of the manifest break each rule."""
+    return rules.counts(manifest_problems(spark, sf_dir), "problem")
+
+
+def manifest_by_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest entry that pins the hash of each delivered order."""
+    docs = table(spark, sf_dir, "dole_orders").select("rec_id", F.col("provenance.source_sha256").alias("sha256"))
+    return manifest.by_hash(docs, table(spark, sf_dir, "sources")).select("rec_id", "entry_id", "entry_kind")
+
+
+def identity_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivered orders whose entry in the manifest, by id, is of another kind, and those without a title or number."""
+    entries = table(spark, sf_dir, "sources").groupBy(order_key(F.col("id")).alias("order_key")).agg(F.min(F.struct("kind", "id")).alias("e"))
+    docs = table(spark, sf_dir, "dole_orders").select(F.col("rec_id").alias("doc_id"), F.col("title").alias("text"), "order_number", order_key(F.col("order_number")).alias("order_key"))
+    joined = docs.join(entries, "order_key", "left").select("doc_id", "text", "order_number", F.col("e.id").alias("entry_id"), F.col("e.kind").alias("entry_kind"))
+    return orders.problems(joined)
+
+
+def status_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status of the articles of one reviewed file; those of other files have none."""
+    a = table(spark, sf_dir, "code_articles").select("article_number", F.col("provenance.source_sha256").alias("sha256"))
+    reviewed = a.agg(F.min("sha256").alias("s")).first().s
+    return status.applied(a, _changes(spark, sf_dir), reviewed or "").select("article_number", "sha256", "status", F.coalesce(F.size("changes"), F.lit(0)).alias("n_changes"))
+
+
+def status_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything that does not fit between reviewed changes, footnotes and articles."""
+    a = table(spark, sf_dir, "code_articles")
+    notes = a.select("article_number", F.explode("metadata.footnotes").alias("f")).select("article_number", F.col("f.note_number").alias("footnote"), F.col("f.note_text").alias("note_text"))
+    free = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 400).cast("int").alias("footnote"), F.col("s_name").alias("reason")).distinct()
+    return status.problems(a, notes, _changes(spark, sf_dir), free)
+
+
+def supersession_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order that an order replaces, directly or through others."""
+    return orders.supersession(superseded_orders(spark, sf_dir)).select("order_key", "superseded")
+
+
 QUERIES = {f.__name__: f for f in (
-    status_interval_join, status_roll_up, unreviewed_notes, resolved_notes, manifest_problems, manifest_lookup, manifest_pins, text_hashes, order_links, superseded_orders, line_widths, schema_errors,
+    status_interval_join, status_roll_up, resolved_notes, manifest_problems, manifest_lookup, manifest_pins, text_hashes, order_links, superseded_orders, line_widths, schema_errors,
+    schema_error_counts, manifest_problem_counts, manifest_by_hash, identity_problems, status_applied, status_problems, supersession_chain,
 )}
 
 _CHANGES_SQL = "SELECT CAST(p_partkey AS INT) AS file_ord, p_partkey % 380 + 1 AS first, p_partkey % 380 + 1 + p_size % 9 AS last, p_size AS footnote, p_partkey % 3 > 0 AS has_part FROM part"
@@ -120,10 +157,6 @@ ORACLE = {
     "status_roll_up": f"""
         SELECT a.article_number, CASE WHEN count(c.file_ord) = 0 THEN 'no_change_noted' WHEN bool_or(NOT has_part) THEN 'superseded' ELSE 'partly_superseded' END AS status, CAST(count(c.file_ord) AS INT) AS n_changes
         FROM (SELECT DISTINCT article_number FROM code_articles) a LEFT JOIN ({_CHANGES_SQL}) c ON a.article_number BETWEEN first AND last GROUP BY 1""",
-    "unreviewed_notes": f"""
-        WITH n AS (SELECT rec_id, unnest(metadata.footnotes) AS f FROM code_articles), c AS (SELECT rec_id, unnest(metadata.legal_status.changes) AS c FROM code_articles)
-        SELECT DISTINCT rec_id, f.note_number AS footnote FROM n WHERE regexp_matches(f.note_text, '{status.STATUS_WORDS}')
-        AND NOT EXISTS (SELECT 1 FROM c WHERE c.rec_id = n.rec_id AND c.c.footnote = f.note_number)""",
     "resolved_notes": """
         WITH n AS (SELECT rec_id, unnest(metadata.footnotes) AS f FROM code_articles),
         c AS (SELECT rec_id, unnest(metadata.legal_status.changes) AS c, generate_subscripts(metadata.legal_status.changes, 1) - 1 AS seq FROM code_articles)
@@ -158,4 +191,37 @@ ORACLE = {
         WITH l AS (SELECT order_number, scan_no, length(trim(line)) AS n FROM (SELECT order_number, scan_no, unnest(string_split(raw_text, chr(10))) AS line FROM scan_pages)),
         s AS (SELECT order_number, scan_no, list_sort(list(n)) AS ns FROM l WHERE n >= 20 GROUP BY 1, 2)
         SELECT order_number, scan_no, CAST(ns[CAST(floor(len(ns) / 2) AS INT) + 1] AS INT) AS width FROM s""",
+    "manifest_by_hash": """
+        WITH p AS (SELECT sha256, min(id) AS id FROM sources WHERE regexp_matches(sha256, '^[0-9a-f]{64}$') GROUP BY 1),
+        e AS (SELECT p.sha256, p.id, min(s.kind) AS kind FROM p JOIN sources s ON s.sha256 = p.sha256 AND s.id = p.id GROUP BY 1, 2)
+        SELECT rec_id, e.id AS entry_id, e.kind AS entry_kind FROM dole_orders o LEFT JOIN e ON e.sha256 = o.provenance.source_sha256""",
+    "identity_problems": f"""
+        WITH e AS (SELECT order_key, arg_min(id, (kind, id)) AS id, min(kind) AS kind FROM (SELECT {_key_sql('id')} AS order_key, kind, id FROM sources) WHERE order_key IS NOT NULL AND kind IS NOT NULL GROUP BY 1),
+        d AS (SELECT rec_id AS doc_id, trim(title) AS title, order_number, {_key_sql('order_number')} AS order_key FROM dole_orders)
+        SELECT doc_id, unnest(list_filter([CASE WHEN coalesce(title, '') = '' THEN 'no_text' END, CASE WHEN order_number IS NULL THEN 'no_order_number' END,
+          CASE WHEN e.kind <> 'dole_order' THEN 'entry_of_other_kind' END, CASE WHEN e.id <> order_number THEN 'entry_of_other_id' END], lambda x: x IS NOT NULL)) AS problem
+        FROM d LEFT JOIN e USING (order_key)""",
+    "status_applied": f"""
+        WITH a AS (SELECT DISTINCT article_number, provenance.source_sha256 AS sha256 FROM code_articles), r AS (SELECT min(sha256) AS s FROM a)
+        SELECT a.article_number, a.sha256,
+          CASE WHEN any_value(r.s) IS DISTINCT FROM a.sha256 THEN NULL WHEN count(c.file_ord) = 0 THEN 'no_change_noted' WHEN bool_or(NOT has_part) THEN 'superseded' ELSE 'partly_superseded' END AS status,
+          CAST(count(c.file_ord) AS INT) AS n_changes
+        FROM a CROSS JOIN r LEFT JOIN ({_CHANGES_SQL}) c ON a.sha256 = r.s AND a.article_number BETWEEN first AND last GROUP BY 1, 2""",
+    "status_problems": f"""
+        WITH n AS (SELECT article_number, f.note_number AS footnote, f.note_text FROM (SELECT article_number, unnest(metadata.footnotes) AS f FROM code_articles)),
+        c AS ({_CHANGES_SQL}), one AS (SELECT unnest(range(first, last + 1)) AS article_number, footnote FROM c),
+        u AS (SELECT DISTINCT s_suppkey % 400 AS footnote FROM supplier), a AS (SELECT DISTINCT article_number FROM code_articles)
+        SELECT DISTINCT kind, CAST(article_number AS INT) AS article_number, CAST(footnote AS INT) AS footnote FROM (
+          SELECT 'no_such_article' AS kind, article_number, footnote FROM one WHERE article_number NOT IN (SELECT article_number FROM a)
+          UNION ALL SELECT 'footnote_not_on_article', article_number, footnote FROM one WHERE article_number IN (SELECT article_number FROM a)
+            AND NOT EXISTS (SELECT 1 FROM n WHERE n.article_number = one.article_number AND n.footnote = one.footnote)
+          UNION ALL SELECT 'listed_twice', NULL, footnote FROM c WHERE footnote IN (SELECT footnote FROM u)
+          UNION ALL SELECT 'never_seen', NULL, footnote FROM u WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.footnote = u.footnote)
+          UNION ALL SELECT 'not_reviewed', article_number, footnote FROM n WHERE regexp_matches(note_text, '{status.STATUS_WORDS}')
+            AND NOT EXISTS (SELECT 1 FROM c WHERE c.footnote = n.footnote) AND NOT EXISTS (SELECT 1 FROM u WHERE u.footnote = n.footnote))""",
 }
+ORACLE["manifest_problem_counts"] = f"SELECT problem AS kind, count(*) AS n FROM ({ORACLE['manifest_problems']}) GROUP BY 1"
+ORACLE["supersession_chain"] = f"""
+    WITH RECURSIVE e AS (SELECT order_key, superseded FROM ({ORACLE['superseded_orders']})),
+    w AS (SELECT order_key, superseded FROM e UNION SELECT w.order_key, e.superseded FROM w JOIN e ON e.order_key = w.superseded)
+    SELECT order_key, superseded FROM w WHERE order_key <> superseded"""

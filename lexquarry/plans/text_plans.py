@@ -264,4 +264,26 @@ ORACLE = {
         UNION ALL SELECT k, 'Section 2', 'Repeal', 'Department Order No. ' || (k % 50 + 1) || ', Series of ' || (k % 20 + 2000) || ' is hereby superseded.' || chr(10) || 'The board keeps D.O. No. 77-99 as amended.', '' FROM ({_WHOLE}) WHERE k % 10 <> 9
         UNION ALL SELECT k, 'Section 3', 'Effectivity', 'Under Sec. 5 of the Code, this Order shall take effect ' || n || ' days after its publication.', '' FROM ({_WHOLE}) WHERE k % 10 <> 9
         UNION ALL SELECT k, 'Full Text', NULL, {_COVER} || 'Nothing is listed here. This Order shall take effect immediately upon signing.' || chr(10) || chr(10), '' FROM ({_WHOLE}) WHERE k % 10 = 9""",
+    "clean_text": rf"""
+        WITH a AS (SELECT rec_id, regexp_replace({_REPAIRED.format(c="regexp_replace(content, '" + chr(92) + "r" + chr(92) + "n?', chr(10), 'g')")}, '[\x00-\x08\x0b-\x1f\x7f-\x{{9f}}]', '', 'g') AS t FROM order_sections),
+        l AS (SELECT rec_id, string_split(t, chr(10)) AS ls FROM a),
+        b AS (SELECT rec_id, list_transform(ls, lambda x: trim(regexp_replace(x, '^[ \t]+|[ \t]+$', '', 'g'))) AS bs, ls FROM l),
+        k AS (
+          SELECT rec_id, array_to_string(list_filter(ls, lambda x, i:
+            NOT regexp_full_match(lower(regexp_replace(translate(bs[i], '–—', '--'), '[ \t]+', '', 'g')), 'page[0-9]{{1,3}}(of[0-9]{{1,3}})?|-[0-9]{{1,3}}-|[0-9]{{1,3}}/[0-9]{{1,3}}')
+            AND NOT (regexp_full_match(bs[i], '[0-9]{{1,3}}') AND coalesce(CASE WHEN i > 1 THEN bs[i - 1] END, '') = '' AND coalesce(bs[i + 1], '') = '')), chr(10)) AS t FROM b),
+        d AS (SELECT rec_id, regexp_replace(t, '(?m)^[^\n]*?\.[ \t]?\.[ \t]?\.[ \t]?\.[ \t]*[0-9]{{1,3}}[ \t]*$\n?', '', 'g') AS t FROM k),
+        h AS (SELECT rec_id, regexp_replace(regexp_replace(regexp_replace(t, '([a-zà-öø-ÿ])-\n[ \t]*([a-zà-öø-ÿ])', '\1\2', 'g'), '(?m)[ \t]+$', '', 'g'), '([^\s])[ \t]{{2,}}', '\1 ', 'g') AS t FROM d)
+        SELECT rec_id, md5(regexp_replace(regexp_replace(regexp_replace(t, '\n{{3,}}', chr(10) || chr(10), 'g'), '^[\s\x{{85}}\x{{A0}}\x{{2028}}\x{{2029}}\x{{3000}}]+', ''), '[\s\x{{85}}\x{{A0}}\x{{2028}}\x{{2029}}\x{{3000}}]+$', '')) AS digest FROM h""",
+    "capital_lines": r"""
+        WITH l AS (SELECT page_id, unnest(string_split(raw_text, chr(10))) AS line FROM scan_pages),
+        c AS (SELECT page_id, line, len(regexp_extract_all(line, '\p{Lu}')) AS u, len(regexp_extract_all(line, '\p{L}')) AS a FROM l)
+        SELECT page_id, sum(CAST(a > 0 AND u * 10 >= a * 7 AS INT)) AS n_mostly, sum(CAST(strlen(line) <= 80 AND a > 0 AND u * 10 >= a * 8 AS INT)) AS n_heading FROM c GROUP BY 1""",
+    "without_running_lines": _RUNNING + rf"""
+        , known AS (SELECT r.order_number, r.scan_no, list(line) AS running FROM r JOIN t ON r.order_number IS NOT DISTINCT FROM t.order_number AND r.scan_no = t.scan_no WHERE n >= 3 AND n * 2 >= n_pages GROUP BY 1, 2),
+        p AS (
+          SELECT s.page_id, s.order_number, s.scan_no, s.page_no = min(s.page_no) OVER (PARTITION BY s.order_number, s.scan_no) AS is_first, string_split(raw_text, chr(10)) AS ls,
+            list_transform(string_split(raw_text, chr(10)), lambda x: {_SQUEEZED.format(c='x')}) AS names FROM scan_pages s)
+        SELECT page_id, md5(array_to_string(list_filter(ls, lambda x, i: running IS NULL OR NOT list_contains(running, names[i]) OR (is_first AND NOT list_contains(names[1:i - 1], names[i]))), chr(10))) AS digest
+        FROM p LEFT JOIN known k ON k.order_number IS NOT DISTINCT FROM p.order_number AND k.scan_no = p.scan_no""",
 }

@@ -1,6 +1,7 @@
 """Operators on small inputs made for them."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -210,3 +211,27 @@ def test_schema_rules(spark):
         (1, "$", "has unknown fields more"), (1, "$.id", "does not match its pattern"), (1, "$.n", "is below its minimum"), (1, "$.kind", "is not one of the allowed values"), (1, "$.day", "is not a date"), (1, "$.items", "has too few items"),
         (2, "$", "lacks id"), (2, "$.n", "is not of type integer"), (2, "$.items[].x", "is not of type number"), (2, "$.items[]", "lacks x"), (2, "$.items[].items[]", "lacks x"),
     }
+    deep = {"id": "ok"}
+    item = {"y": 1}
+    for _ in range(12):
+        item = {"x": 1, "items": [item]}
+    schema["properties"]["const"] = {"const": 3}
+    df = spark.createDataFrame([(0, json.dumps({**deep, "items": [item], "const": 3})), (1, json.dumps({"id": "ok", "const": True})), (2, None)], "k int, p string").select("k", F.try_parse_json("p").alias("record"))
+    found = rules.errors(df, schema, ["k"])
+    got = {(r.k, r.path, r.message) for r in found.collect()}
+    assert got == {(0, "$" + ".items[]" * 13, "lacks x"), (1, "$.const", "is not the constant")}
+    assert {tuple(r) for r in rules.counts(found).collect()} == {("lacks x", 1), ("is not the constant", 1)}
+
+
+def test_hash_lookup_and_selection(spark):
+    h, g = "a" * 64, "b" * 64
+    entries = spark.createDataFrame([("DO-2-02", "dole_order", h, True), ("DO-1-01", "dole_order", h, None), ("code", "labor_code", g, False), ("x", "dole_order", "zz", True)], "id string, kind string, sha256 string, ocr boolean")
+    docs = spark.createDataFrame([(1, h), (2, g), (3, "zz"), (4, None)], "doc_id long, sha256 string")
+    assert {(r.doc_id, r.entry_id, r.entry_kind) for r in manifest.by_hash(docs, entries).collect()} == {(1, "DO-1-01", "dole_order"), (2, "code", "labor_code"), (3, None, None), (4, None, None)}
+    assert manifest.chosen(entries).count() == 4 and manifest.chosen(entries, ["code"]).count() == 1 and manifest.chosen(entries, [], True).count() == 2 and manifest.chosen(entries, None, False).count() == 2
+
+
+def test_status_of_the_reviewed_file_only(spark):
+    articles = spark.createDataFrame([(1, "h"), (2, "h"), (1, "other")], "article_number int, sha256 string")
+    changes = spark.createDataFrame([(0, 1, 1, 10, "repealed", "RA 1", None)], "file_ord int, first int, last int, footnote int, effect string, by string, part string")
+    assert {(r.article_number, r.sha256, r.status) for r in status.applied(articles, changes, "h").collect()} == {(1, "h", "superseded"), (2, "h", "no_change_noted"), (1, "other", None)}
