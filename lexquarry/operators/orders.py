@@ -206,12 +206,16 @@ def order_records(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     optional = {c: F.col(c) if c in docs.columns else F.lit(None).cast("string") for c in ("info_title", "source_url", "sha256", "superseded_by")}
     rows = docs.withColumns(optional).where(F.coalesce(strip(F.col("text")), F.lit("")) != "")
     rows = rows.withColumn("order_number", refs.order_number(F.col("text"), F.col("file_name"))).withColumn("body", signature_parts(F.col("text"))["body"])
-    parts = blocks.sections(rows.select("doc_id", F.col("body").alias("text")))
-    parts = parts.select("doc_id", "ord", "section_number", "title", "content")
-    whole = rows.where(F.size(blocks.blocks_in(F.col("body"))) == 0).select(
-        "doc_id", F.lit(1).cast("bigint").alias("ord"), F.lit("Full Text").alias("section_number"), F.lit(None).cast("string").alias("title"), F.col("body").alias("content"))
-    out = parts.unionByName(whole).withColumn("subsections", items_of(F.col("content")))
-    titled = F.filter(blocks.blocks_in(F.col("body")), lambda b: F.lower(b["title"]).contains("effectiv"))
+    rows = rows.withColumn("blocks", blocks.blocks_in(F.col("body")))
+    null = F.lit(None).cast("string")
+    whole = F.struct(
+        F.lit(1).cast("bigint").alias("ord"), null.alias("kind"), null.alias("number"), null.alias("label"), null.alias("title"), F.lit(False).alias("uppercase"),
+        F.col("body").alias("content"), F.lit("Full Text").alias("section_number"),
+    )
+    parts, kept = blocks.kept_sections(rows.select("doc_id", "body", "blocks"), "blocks")
+    out = parts.select("doc_id", F.explode(F.when(F.size("blocks") > 0, kept).otherwise(F.array(whole))).alias("b")).select("doc_id", "b.ord", "b.section_number", "b.title", "b.content")
+    out = out.withColumn("subsections", items_of(F.col("content")))
+    titled = F.filter("blocks", lambda b: F.lower(b["title"]).contains("effectiv"))
     found = (
         rows.withColumn("titled", let(titled, lambda ts: F.get(ts, F.size(ts) - 1)["content"]))
         .withColumn("title", F.coalesce(title_of(F.col("text")), "info_title", F.concat(F.lit("Department Order "), F.regexp_replace("order_number", "^DO-", ""))))
