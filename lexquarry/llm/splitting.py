@@ -9,14 +9,15 @@ cuts only inside stretches in which no coarser boundary would keep a piece under
 program stays small however long the text is.
 
 Defined results: texts not longer than the limit are one piece; null texts give no piece and empty
-texts one empty piece; a text without any boundary is cut between characters; repeated rows are
-split alike; a table without a limit gives no pieces; extra columns are dropped. The overlap must be
-smaller than the limit.
+texts one empty piece; a text without any boundary is cut between characters, but not before a combining
+mark; repeated rows are split alike; a table without a limit, or with one below 1, gives no pieces; an
+overlap below 0 is none, one that is not smaller than the limit is one less than it; extra columns are dropped.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -57,10 +58,24 @@ def _fill(text: str, at: int, end: int, step: int, cuts: dict[int, float]) -> No
             # No blank for a whole piece: single characters, evenly.
             parts = -(-(p - last) // max(1, step // 2))
             for i in range(1, parts):
-                cuts.setdefault(last + i * (p - last) // parts, NONE)
+                cuts.setdefault(_between(text, last + i * (p - last) // parts, last, min(p, last + step)), NONE)
         last = p
 
 
+def _between(text: str, at: int, low: int, high: int) -> int:
+    """The next place from ``at`` on that tears no combined character, else the last before it; ``at`` if there is none."""
+    torn = lambda i: unicodedata.category(text[i])[0] == "M" or text[i] == "\u200d" or text[i - 1] == "\u200d"
+    up = at
+    while up < high and up < len(text) and torn(up):
+        up += 1
+    if up < high or up == len(text):
+        return up
+    down = at
+    while down > low + 1 and torn(down):
+        down -= 1
+    return down if not torn(down) else at
+
+
 def split_spans(text: str | None, limit: int, overlap: int) -> list[tuple[int, int]]:
     """(start, end) of each piece of ``text``."""
     if text is None:
@@ -108,7 +123,8 @@ def split_rows(df: DataFrame) -> DataFrame:
                     out[k].append(v)
         return out
 
-    rows = df.where("text IS NOT NULL AND max_chars IS NOT NULL").select("tab", "rec_id", "text", "max_chars", F.coalesce("overlap_chars", F.lit(0)).alias("overlap_chars"))
+    shared = F.least(F.greatest(F.coalesce("overlap_chars", F.lit(0)), F.lit(0)), F.col("max_chars") - 1)
+    rows = df.where("text IS NOT NULL AND max_chars >= 1").select("tab", "rec_id", "text", "max_chars", shared.alias("overlap_chars"))
     return map_batches(rows, work, "tab string, rec_id long, piece_no int, start_pos int, end_pos int, piece string")
 
 

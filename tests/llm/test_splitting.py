@@ -62,3 +62,15 @@ def test_edges(spark):
     want = [("t", rec, i, a, b, text[a:b]) for _, rec, text, limit, overlap, _ in (*rows[:2], rows[4]) for i, (a, b) in enumerate(split_spans(text, limit, overlap or 0))]
     assert got == sorted(want) and {g[1] for g in got} == {1, 4}
     assert split_rows(df.limit(0)).count() == 0
+
+
+def test_combining_marks_stay_with_their_letters():
+    text = "é̂" * 400
+    assert all(text[b : b + 1] != "\u0302" and text[b : b + 1] != "\u0301" for _, b in checked(text, 50, 10))
+    checked("\u0301" * 300, 40, 5)
+
+
+def test_bad_limits_stop_nothing(spark):
+    rows = [("a", 1, "One two three. Four five six.", 12, 12), ("b", 2, "One two three.", 0, 0), ("c", 3, "One two three.", -4, 1), ("d", 4, "One two three. Four.", 15, -3)]
+    got = split_rows(spark.createDataFrame(rows, "tab string, rec_id long, text string, max_chars int, overlap_chars int")).collect()
+    assert {r.rec_id for r in got} == {1, 4} and [r.piece for r in got if r.rec_id == 4] == ["One two three.", " Four."]
