@@ -6,72 +6,125 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from lexquarry.operators import manifest, nested, orders, pages, rules, statute
+from lexquarry.functions import dates
+from lexquarry.functions.text import strip
+from lexquarry.operators import manifest, nested, orders, pages, rules, statute, status
 from lexquarry.session import local_session
 from lexquarry.sources import files
 
 
-def _full_texts(spark, path: str):
-    """(doc_id, text): whole cleaned texts without running lines but for their first mention."""
+def full_texts(spark, path: str) -> DataFrame:
+    """(doc_id, text): whole cleaned texts without running lines but for their first mention.
+
+    A word broken over a page is joined, as the pages are cleaned together. A text that has nothing left
+    is the text of its first page.
+    """
     docs = files.page_texts(spark, path)
-    running = pages.running_lines(pages.clean_pages(pages.split_pages(docs)), ["doc_id"])
+    paged = pages.clean_pages(pages.split_pages(docs))
+    running = pages.running_lines(paged, ["doc_id"])
     whole = pages.clean_pages(docs.select("doc_id", F.regexp_replace("value", "\f", "").alias("raw"), F.lit(1).alias("page_no")))
-    return pages.without_running_lines(whole, running, ["doc_id"]).select("doc_id", F.col("content").alias("text"))
+    kept = pages.without_running_lines(whole, running, ["doc_id"]).select("doc_id", F.col("content").alias("text"))
+    first = paged.where("page_no = 1").select("doc_id", F.col("content").alias("first"))
+    return kept.join(first, "doc_id", "left").select("doc_id", F.when(strip(F.col("text")) == "", F.col("first")).otherwise(F.col("text")).alias("text"))
+
+
+def _report(name: str, found: DataFrame, kind: str) -> int:
+    """Print the problems with their counts; 1 if there are any."""
+    found = found.cache()
+    found.show(100, False)
+    rules.counts(found, kind).show(100, False)
+    n = found.count()
+    found.unpersist()
+    print(f"{name}: {n} problems")
+    return int(n > 0)
 
 
 def parse_orders(spark, args) -> int:
-    """Order and section tables of page texts, as Parquet."""
-    docs = _full_texts(spark, args.source).withColumn("file_name", F.col("doc_id")).withColumn("published", F.to_date(F.lit(args.published_date)))
-    found, parts = orders.order_records(docs)
+    """Order and section tables of page texts, as Parquet; problems are printed."""
+    docs = full_texts(spark, args.source).withColumn("file_name", F.col("doc_id"))
+    if args.only:
+        docs = docs.where(F.col("doc_id").isin(args.only))
+    docs = docs.withColumn("published", dates.given_date(F.lit(args.published_date))).withColumn("effective_given", F.lit(args.effective_date)).withColumn("source_url", F.lit(args.source_url))
+    docs = docs.withColumn("order_number", orders.refs.order_number(F.col("text"), F.col("file_name")))
+    if args.manifest:
+        entries = manifest.chosen(files.manifest(spark, args.manifest), args.only)
+        pins = entries.select(F.col("id").alias("entry_id"), F.col("kind").alias("entry_kind"), F.col("title").alias("info_title"), F.col("source_url").alias("_url"), F.col("published_date").alias("_day"), "superseded_by", "sha256")
+        docs = docs.join(pins, docs.order_number == pins.entry_id, "left").withColumn("source_url", F.coalesce("source_url", "_url")).withColumn("published", F.coalesce("published", dates.given_date(F.col("_day")))).drop("_url", "_day")
+    else:
+        docs = docs.withColumns({"entry_id": F.lit(None).cast("string"), "entry_kind": F.lit(None).cast("string")})
+    found, parts = orders.order_records(docs.drop("order_number"))
     found.write.mode("overwrite").parquet(f"{args.target}/orders")
     parts.write.mode("overwrite").parquet(f"{args.target}/sections")
-    return 0
+    wrong = orders.problems(docs)
+    if args.manifest:
+        wrong = wrong.unionByName(docs.where("source_url IS NULL").select("doc_id", F.lit("no_source_url").alias("problem")))
+    return _report("orders", wrong, "problem")
 
 
 def parse_code(spark, args) -> int:
-    """Article records of page texts, as Parquet."""
-    paged = pages.clean_pages(pages.split_pages(files.page_texts(spark, args.source)))
-    found = statute.footnotes(paged)
-    statute.records(found.where("text IS NOT NULL").select("doc_id", "text"), found.where("note_number IS NOT NULL")).write.mode("overwrite").parquet(args.target)
+    """Article records of page texts, as Parquet or, for one document, as a sorted JSON array.
+
+    A status review is applied to documents whose hash it names; articles of others have no status.
+    """
+    docs = pages.clean_pages(pages.split_pages(files.page_texts(spark, args.source)))
+    found = statute.footnotes(docs)
+    hashes = files.hashed(spark, args.source).select(F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1).alias("doc_id"), "sha256")
+    texts = found.where("text IS NOT NULL").select("doc_id", "text").join(hashes, "doc_id", "left")
+    records = statute.records(texts, found.where("note_number IS NOT NULL"))
+    if args.status:
+        reviewed, changes, unaffected = files.status_review(spark, args.status)
+        mine = records.where(F.col("provenance.source_sha256") == reviewed)
+        notes = mine.select("article_number", F.explode(F.concat(F.transform("footnotes", lambda n: F.struct(n["note_number"], n["note_text"])), F.transform("heading_footnotes", lambda n: F.struct(n["note_number"], n["note_text"])))).alias("n"))
+        notes = notes.select("article_number", F.col("n.note_number").alias("footnote"), F.col("n.note_text").alias("note_text"))
+        if not mine.isEmpty():
+            status.reconciled(mine.select("article_number"), notes, changes, unaffected)
+        rolled = status.applied(records.select("article_number", F.col("provenance.source_sha256").alias("sha256")), changes, reviewed)
+        records = records.withColumn("sha256", F.col("provenance.source_sha256")).join(rolled.select("article_number", "sha256", F.struct("status", "changes").alias("legal_status")), ["article_number", "sha256"], "left").drop("sha256")
+    if args.target.endswith(".json"):
+        print(files.write_sorted(records, args.target, "article_number"), "articles")
+    else:
+        records.orderBy("doc_id", "article_number").write.mode("overwrite").parquet(args.target)
     return 0
 
 
 def validate(spark, args) -> int:
     """Errors of JSON files against a schema."""
-    with open(args.schema, encoding="utf-8") as f:
+    with open(files.find_upward(args.schema) or args.schema, encoding="utf-8") as f:
         schema = json.load(f)
-    found = rules.errors(nested.records(files.json_records(spark, args.source).withColumnRenamed("path", "file"), "file"), schema.get("items", schema) if schema.get("type") == "array" else schema, ["file", "record_path"])
-    found.show(100, False)
-    return int(not found.isEmpty())
+    schema = schema | schema["items"] if schema.get("type") == "array" and "properties" in schema.get("items", {}) else schema
+    found = rules.errors(nested.records(files.json_records(spark, args.source).withColumnRenamed("path", "file"), "file"), schema, ["file", "record_path"])
+    return _report("validation", found, "message")
 
 
 def check_manifest(spark, args) -> int:
     """Broken rules of a manifest."""
-    found = manifest.problems(files.manifest(spark, args.source))
-    found.show(100, False)
-    return int(not found.isEmpty())
+    return _report("manifest", manifest.problems(manifest.chosen(files.manifest(spark, args.source), args.only)), "problem")
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="lexquarry", description=__doc__)
     commands = parser.add_subparsers(required=True)
-    for name, run, more in (
-        ("parse-orders", parse_orders, ["target"]), ("parse-code", parse_code, ["target"]), ("validate", validate, []), ("check-manifest", check_manifest, []),
+    for name, run, more, options in (
+        ("parse-orders", parse_orders, ["target"], ("published-date", "effective-date", "source-url", "manifest")), ("parse-code", parse_code, ["target"], ("status",)),
+        ("validate", validate, [], ("schema",)), ("check-manifest", check_manifest, [], ()),
     ):
         p = commands.add_parser(name, help=run.__doc__)
         p.add_argument("source")
         for m in more:
             p.add_argument(m)
-        if run is parse_orders:
-            p.add_argument("--published-date")
-        if run is validate:
-            p.add_argument("--schema", required=True)
+        for o in options:
+            p.add_argument(f"--{o}", required=o == "schema")
+        p.add_argument("--only", action="append", help="an id; may be repeated")
         p.set_defaults(run=run)
     args = parser.parse_args(argv)
     return args.run(local_session(), args)
 
 
-if __name__ == "__main__":
+def entry() -> None:
     sys.exit(main())
+
+
+if __name__ == "__main__":
+    entry()

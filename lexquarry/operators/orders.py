@@ -200,10 +200,11 @@ def order_records(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(orders, sections) of docs (doc_id, file_name, text, published): the whole pipeline of one order.
 
     Texts are cleaned already. The body ends where the signature block begins. ``info_title``,
-    ``source_url``, ``sha256`` and ``superseded_by`` are used where docs have them. A document is one
+    ``source_url``, ``sha256``, ``superseded_by`` and ``effective_given``, which overrides the date of the
+    clause, are used where docs have them. A document is one
     row from end to end, so nothing is exchanged.
     """
-    optional = {c: F.col(c) if c in docs.columns else F.lit(None).cast("string") for c in ("info_title", "source_url", "sha256", "superseded_by")}
+    optional = {c: F.col(c) if c in docs.columns else F.lit(None).cast("string") for c in ("info_title", "source_url", "sha256", "superseded_by", "effective_given")}
     rows = docs.withColumns(optional).where(F.coalesce(strip(F.col("text")), F.lit("")) != "")
     rows = rows.withColumn("order_number", refs.order_number(F.col("text"), F.col("file_name"))).withColumn("body", signature_parts(F.col("text"))["body"])
     rows = rows.withColumn("blocks", blocks.blocks_in(F.col("body")))
@@ -222,7 +223,7 @@ def order_records(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .withColumn("signed_date", signed_date_of(F.col("text"))).withColumn("effectivity_clause", effectivity_clause_of(F.col("titled"), F.col("text")))
         .select(
             "doc_id", "order_number", "title", "source_url", "signed_date", F.col("published").alias("published_date"), "effectivity_clause",
-            dates.effective_date(F.col("effectivity_clause"), F.col("published"), F.col("signed_date")).alias("effective_date"),
+            F.coalesce(dates.given_date(F.col("effective_given")), dates.effective_date(F.col("effectivity_clause"), F.col("published"), F.col("signed_date"))).alias("effective_date"),
             F.coalesce(authority_of(F.col("text")), F.lit(DEFAULT_AUTHORITY)).alias("issuing_authority"),
             superseded_of(F.col("text"), F.col("order_number")).alias("supersedes"), refs.laws(F.col("text")).alias("related_laws"), refs.tags(F.col("text"), F.col("title")).alias("tags"),
             "superseded_by", F.struct(F.col("sha256").alias("source_sha256"), F.lit(PARSER).alias("parser")).alias("provenance"),

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +21,7 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("LEXQUARRY_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
@@ -31,16 +36,25 @@ def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint.
 
     The folder is the one that ``spark.checkpoint.dir`` names, which all executors share, so the
-    result survives the loss of any executor. A folder of our own is made only where the setting
-    is missing, as in local tests.
+    result survives the loss of any executor. Where the setting is missing, a local session gets a folder
+    of its own, which goes when the process ends; on a cluster that is an error, as executors could not share it.
     """
-    sc = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        named = sc.getConf().get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexquarry-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local($|\[)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        if not named:
+            named = tempfile.mkdtemp(prefix="lexquarry-checkpoint-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        sc.setCheckpointDir(named)
     return df.checkpoint(eager=True)
 
 
-def small_enough(df: DataFrame, limit_bytes: int = 8 << 20) -> bool:
-    """Whether the optimizer's size estimate of ``df`` allows a broadcast."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) <= limit_bytes
+def ship(spark: SparkSession) -> None:
+    """Hand the package to the executors of a cluster on which it is not installed."""
+    home = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="lexquarry-")
+    archive = shutil.make_archive(f"{folder}/lexquarry", "zip", home.parent, home.name)
+    spark.sparkContext.addPyFile(archive)

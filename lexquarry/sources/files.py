@@ -27,6 +27,12 @@ def hashed(spark: SparkSession, path: str) -> DataFrame:
     return df.select("path", "length", F.sha2("content", 256).alias("sha256"), (F.decode(F.substring("content", 1, len(PDF_MAGIC)), "ISO-8859-1") == PDF_MAGIC).alias("is_pdf"))
 
 
+def find_upward(name: str, start: str | None = None) -> Path | None:
+    """The path ``name`` in a folder or the nearest one above it that has it."""
+    at = Path(start or ".").resolve()
+    return next((folder / name for folder in (at, *at.parents) if (folder / name).exists()), None)
+
+
 def _rows(data: list[dict], columns: str) -> list[tuple]:
     names = [c.split()[0] for c in columns.split(", ")]
     for row in data:
@@ -69,3 +75,23 @@ def write_pretty(record: dict | list, path: str, replace: bool = True) -> None:
     part = target.with_name(target.name + ".part")
     part.write_text(json.dumps(record, indent=2, ensure_ascii=False) + "\n", encoding="utf-8")
     part.replace(target)
+
+
+def write_sorted(records: DataFrame, path: str, by: str, replace: bool = True) -> int:
+    """The records of one document as an indented JSON array in the order of ``by``; how many there are.
+
+    One document goes to one file, so its records must fit in the driver; write many documents as Parquet.
+    """
+    rows = [json.loads(r.j) for r in records.orderBy(by).select(F.to_json(F.struct(*records.columns)).alias("j")).toLocalIterator()]
+    write_pretty(rows, path, replace)
+    return len(rows)
+
+
+def write_text(text: str, path: str, replace: bool = False) -> None:
+    """A reviewed text; an existing file stays as it is unless ``replace``."""
+    target = Path(path)
+    if target.exists() and not replace:
+        raise FileExistsError(path)
+    part = target.with_name(target.name + ".part")
+    part.write_text(text, encoding="utf-8")
+    part.replace(target)
