@@ -113,13 +113,20 @@ def cited_laws(text: Column) -> Column:
 
 
 def tags(text: Column, title: Column) -> Column:
-    """Topics named in the title or at least three times in the text, in the order of the rules."""
+    """Topics named in the title or at least three times in the text, in the order of the rules.
 
-    def earned(pattern: str) -> Column:
-        p = rf"(?i)\b(?:{pattern})\b"
-        return (F.regexp_count(text, F.lit(p)) >= MENTIONS) | F.coalesce(title.rlike(p), F.lit(False))
+    One pass over the text finds the words of all topics; what each stands for is decided on the words alone.
+    """
+    every = rf"(?i)\b(?:{'|'.join(p for _, p in TAGS)})\b"
 
-    return F.filter(F.array(*[F.when(earned(p), tag) for tag, p in TAGS]), lambda t: t.isNotNull())
+    def earned(words: Column) -> Column:
+        def one(tag: str, pattern: str) -> Column:
+            named = F.coalesce(title.rlike(rf"(?i)\b(?:{pattern})\b"), F.lit(False))
+            return F.when((F.size(F.filter(words, lambda w: w.rlike(rf"(?i)^(?:{pattern})$"))) >= MENTIONS) | named, F.lit(tag))
+
+        return F.array_compact(F.array(*[one(t, p) for t, p in TAGS]))
+
+    return let(F.regexp_extract_all(text, F.lit(every), F.lit(0)), earned)
 
 
 def related_articles(text: Column, own: Column) -> Column:

@@ -54,6 +54,20 @@ def test_validate_and_manifest(quiet, tmp_path):
     assert cli.main(["check-manifest", str(tmp_path / "m.toml")]) == 1 and cli.main(["check-manifest", str(tmp_path / "m.toml"), "--only", "none"]) == 0
 
 
+def test_fetch(quiet, tmp_path, capsys):
+    import hashlib
+
+    for name in ("a", "b", "c"):
+        (tmp_path / f"{name}.pdf").write_bytes(b"%PDF-" + name.encode())
+    sha = hashlib.sha256(b"%PDF-a").hexdigest()
+    entry = '[[document]]\nid = "{}"\nkind = "labor_code"\ntitle = "t"\nsource_url = "https://x.example"\n'
+    (tmp_path / "m.toml").write_text(entry.format("a") + f'sha256 = "{sha}"\n' + entry.format("b") + f'sha256 = "{sha}"\n' + entry.format("c") + entry.format("d"))
+    assert cli.main(["fetch", str(tmp_path / "m.toml"), str(tmp_path)]) == 1
+    said = dict(line.split(" ", 1) for line in capsys.readouterr().out.splitlines())
+    assert said["a"] == "verified" and said["b"].startswith("mismatch") and said["c"].startswith("unpinned: ") and said["d"].startswith("manual") and said["fetch:"] == "2 problems"
+    assert cli.main(["fetch", str(tmp_path / "m.toml"), str(tmp_path), "--only", "a"]) == 0
+
+
 def test_paths_and_texts(tmp_path, monkeypatch):
     (tmp_path / "a/b").mkdir(parents=True)
     (tmp_path / "m.toml").write_text("")
