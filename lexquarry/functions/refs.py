@@ -42,8 +42,8 @@ ARTICLES = rf"(?is)\bart(?:icle)?s?\.?\s+([0-9]{{1,3}})(?:\s*(to|and|-|–)\s*([
 def mentions(text: Column) -> Column:
     """array<struct<form, id>> of the orders that a text names with a year, in the order of the text; digits as printed."""
 
-    def parsed(piece: Column) -> Column:
-        number, letter, link, year = (F.regexp_extract(piece, MENTION, i) for i in (1, 2, 3, 4))
+    def parsed(g: Column) -> Column:
+        number, letter, link, year = (g[i] for i in range(4))
         bare = F.lower(F.regexp_replace(link, r"[\s,]", ""))
         long = F.char_length(year) == 4
         form = (
@@ -53,7 +53,8 @@ def mentions(text: Column) -> Column:
         name = F.concat(F.lit("DO-"), number, F.when(letter != "", F.concat(F.lit("-"), F.upper(letter))).otherwise(""), F.lit("-"), F.right(year, F.lit(2)))
         return F.struct(form.alias("form"), name.alias("id"))
 
-    return F.filter(F.transform(F.regexp_extract_all(text, F.lit(MENTION), F.lit(0)), parsed), lambda m: m["form"].isNotNull())
+    groups = lambda piece: let(F.array(*[F.regexp_extract(piece, MENTION, i) for i in (1, 2, 3, 4)]), parsed)
+    return F.filter(F.transform(F.regexp_extract_all(text, F.lit(MENTION), F.lit(0)), groups), lambda m: m["form"].isNotNull())
 
 
 def ids_of(found: Column, form: str) -> Column:
