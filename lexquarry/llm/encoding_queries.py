@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexquarry.llm import encoding
-from lexquarry.session import table
+from lexquarry.session import spread, table
 
 
 def _fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,7 +13,7 @@ def _fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, tab).select(F.lit(tab).alias("tab"), "rec_id", F.lit(field).alias("field"), F.col(field).alias("text"))
         for tab, field in (("order_sections", "content"), ("dole_orders", "title"))
     ]
-    return parts[0].unionByName(parts[1])
+    return spread(parts[0].unionByName(parts[1]))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

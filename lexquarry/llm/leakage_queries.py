@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lexquarry.llm import leakage
-from lexquarry.session import table
+from lexquarry.session import spread, table
 
 
 def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every leak with its field, kind and length."""
-    return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return leakage.leaks(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "eval_items"))
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:

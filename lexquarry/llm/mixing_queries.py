@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lexquarry.llm import mixing
-from lexquarry.session import cut, table
+from lexquarry.session import cut, spread, table
 
 
 def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut(mixing.with_tokens(table(spark, sf_dir, "documents")))
+    return cut(mixing.with_tokens(spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))))
 
 
 def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexquarry.llm import neardup
 from lexquarry.llm.text_queries import texts
+from lexquarry.session import spread
 
 
 def _contents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return texts(spark, sf_dir, "order_sections").unionByName(texts(spark, sf_dir, "code_articles"))
+    return spread(texts(spark, sf_dir, "order_sections").unionByName(texts(spark, sf_dir, "code_articles")))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexquarry.llm import scans
-from lexquarry.session import table
+from lexquarry.session import spread, table
 
 
 def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +15,7 @@ def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
     sections = table(spark, sf_dir, "order_sections").where("ocr_text").select(
         F.lit("order_sections").alias("tab"), "rec_id", F.col("order_number").alias("doc"), F.lit(None).cast("int").alias("scan_no"), F.lit(None).cast("int").alias("page_no"), F.col("content").alias("text")
     )
-    return pages.unionByName(sections)
+    return spread(pages.unionByName(sections))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
