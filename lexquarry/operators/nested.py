@@ -42,7 +42,7 @@ TABLES = {
     "$.metadata.footnotes[]": "footnote", "$.metadata.heading_footnotes[]": "heading_footnote", "$.metadata.legal_status.changes[]": "status_change",
 }
 #: Levels opened in one plan, and the largest schema that is handed to every task.
-STEPS, BROADCAST_ROWS = 3, 50_000
+STEPS, BROADCAST_ROWS = 4, 50_000
 
 
 def _get(v: Column, path: str, kind: str) -> Column:

@@ -8,17 +8,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexquarry.functions.keys import order_key
 from lexquarry.operators import nested, orphans
-from lexquarry.session import table
+from lexquarry.session import spread, table
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "raw_records").select("record_id", "payload"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every nested object of every record with its path and its parent's path."""
-    return nested.declared(nested.nodes(table(spark, sf_dir, "raw_records"))).select("record_id", "node_path", "parent_path")
+    return nested.declared(nested.nodes(_raw(spark, sf_dir))).select("record_id", "node_path", "parent_path")
 
 
 def _p4_table(kind: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return nested.child_table(nested.nodes(table(spark, sf_dir, "raw_records")), kind)
+        return nested.child_table(nested.nodes(_raw(spark, sf_dir)), kind)
 
     query.__doc__ = f"The flat child table of kind {kind}."
     return query
@@ -26,12 +30,12 @@ def _p4_table(kind: str):
 
 def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat table of the records."""
-    return nested.record_table(table(spark, sf_dir, "raw_records"))
+    return nested.record_table(_raw(spark, sf_dir))
 
 
 def p4_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merged schema of the records: field patterns with the kinds of their values."""
-    return nested.schema(nested.records(table(spark, sf_dir, "raw_records")))
+    return nested.schema(nested.records(_raw(spark, sf_dir)))
 
 
 def references(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lexquarry.functions import dates, refs, text
 from lexquarry.operators import blocks, lists, orders, pages, statute
 from lexquarry.plans import corpus
-from lexquarry.session import table
+from lexquarry.session import spread, table
 
 
 def effective_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,21 +36,25 @@ def order_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.col("o_orderkey").alias("doc_id"), refs.order_number(head, name).alias("order_number"))
 
 
+def _sections(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "order_sections").select("rec_id", "content", *more))
+
+
 def related_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Acts, decrees and the code cited in every section."""
-    s = table(spark, sf_dir, "order_sections")
+    s = _sections(spark, sf_dir)
     return s.select("rec_id", F.array_join(refs.laws(F.col("content")), "|").alias("laws"))
 
 
 def topic_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tags of every section."""
-    s = table(spark, sf_dir, "order_sections")
+    s = _sections(spark, sf_dir, "title")
     return s.select("rec_id", F.array_join(refs.tags(F.col("content"), F.col("title")), "|").alias("tags"))
 
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of the cleaned text of every section."""
-    return table(spark, sf_dir, "order_sections").select("rec_id", F.md5(text.clean(F.col("content"))).alias("digest"))
+    return _sections(spark, sf_dir).select("rec_id", F.md5(text.clean(F.col("content"))).alias("digest"))
 
 
 def repair_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,7 +116,7 @@ def statute_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nested_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of every enumeration in the sections."""
-    s = table(spark, sf_dir, "order_sections").select("rec_id", F.explode(lists.items_of(F.col("content"))).alias("i"))
+    s = _sections(spark, sf_dir).select("rec_id", F.explode(lists.items_of(F.col("content"))).alias("i"))
     return s.select("rec_id", "i.node", "i.parent", "i.level", "i.label", "i.path")
 
 

@@ -7,6 +7,7 @@ import os
 import re
 import shutil
 import tempfile
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than the session has cores, spread over all cores; any other one as it is.
+
+    A small file is one split however much work a row makes; the files of a large table are enough splits.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint.
 
@@ -52,9 +62,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_shipped: set[str] = set()
+
+
 def ship(spark: SparkSession) -> None:
-    """Hand the package to the executors of a cluster on which it is not installed."""
+    """Hand the package to the executors, once per application, so that it need not be installed there."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
     home = Path(__file__).resolve().parent
     folder = tempfile.mkdtemp(prefix="lexquarry-")
-    archive = shutil.make_archive(f"{folder}/lexquarry", "zip", home.parent, home.name)
-    spark.sparkContext.addPyFile(archive)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/lexquarry.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(home.rglob("*.py")):
+            z.write(f, f.relative_to(home.parent))
+    sc.addPyFile(f"{folder}/lexquarry.zip")
