@@ -102,7 +102,49 @@ lives AS (
 ), found AS (SELECT * FROM judged WHERE reason IS NOT NULL)
 """
 
+def _opened(x: str) -> str:
+    """What JSON text in a string holds; other values as they are."""
+    return f"CASE json_type({x}) WHEN 'VARCHAR' THEN CASE WHEN json_valid(ltrim({x}->>'$', chr(65279) || ' ')) THEN CAST(ltrim({x}->>'$', chr(65279) || ' ') AS JSON) END ELSE {x} END"
+
+
+def _listed(x: str) -> str:
+    """The elements of an array, or of a lone object."""
+    return f"CASE json_type({x}) WHEN 'ARRAY' THEN CAST({x} AS JSON[]) WHEN 'OBJECT' THEN [{x}] END"
+
+
+P4_SQL = f"""
+WITH RECURSIVE root AS (
+  SELECT record_id, CASE WHEN json_valid(p) THEN CAST(p AS JSON) END AS j FROM (SELECT record_id, ltrim(payload, chr(65279)) AS p FROM raw_records)
+), many AS (SELECT record_id, json_type(j) = 'ARRAY' AS many, CASE json_type(j) WHEN 'ARRAY' THEN CAST(j AS JSON[]) WHEN 'OBJECT' THEN [j] END AS items FROM root),
+recs AS (SELECT record_id, CASE WHEN many THEN '$[' || (i - 1) || ']' ELSE '$' END AS record_path, items[i] AS rec FROM (SELECT *, unnest(range(1, len(items) + 1)) AS i FROM many) WHERE json_type(items[i]) = 'OBJECT'),
+meta AS (SELECT *, {_opened("(rec->'$.metadata')")} AS m FROM recs),
+legal AS (SELECT *, {_opened("(m->'$.legal_status')")} AS l FROM meta),
+fields AS (
+  SELECT record_id, record_path, unnest([{{'kind': 'section', 'field': 'sections', 'x': rec->'$.sections'}}, {{'kind': 'subsection', 'field': 'subsections', 'x': rec->'$.subsections'}},
+    {{'kind': 'amendment', 'field': 'metadata.amendments', 'x': m->'$.amendments'}}, {{'kind': 'footnote', 'field': 'metadata.footnotes', 'x': m->'$.footnotes'}},
+    {{'kind': 'heading_footnote', 'field': 'metadata.heading_footnotes', 'x': m->'$.heading_footnotes'}}, {{'kind': 'status_change', 'field': 'metadata.legal_status.changes', 'x': l->'$.changes'}}]) AS f FROM legal
+), opened AS (SELECT record_id, record_path, f.kind AS kind, record_path || '.' || f.field AS spot, record_path AS parent_path, {_opened('f.x')} AS x FROM fields WHERE f.x IS NOT NULL),
+n AS (
+  SELECT record_id, record_path, kind, 1 AS level, spot || '[' || (i - 1) || ']' AS node_path, parent_path, CAST(i - 1 AS INT) AS ord, ls[i] AS node
+  FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT *, {_listed('x')} AS ls FROM opened)) WHERE json_type(ls[i]) = 'OBJECT'
+  UNION ALL
+  SELECT record_id, record_path, 'subsection', level + 1, node_path || '.subsections[' || (i - 1) || ']', node_path, CAST(i - 1 AS INT), ls[i]
+  FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT *, {_listed('x')} AS ls FROM (SELECT * EXCLUDE (node), {_opened("(node->'$.subsections')")} AS x FROM n WHERE kind IN ('section', 'subsection')))) WHERE json_type(ls[i]) = 'OBJECT'
+)"""
+
+def _child_sql(kind: str) -> str:
+    types = {"string": "node->>'$.{f}'", "date": "TRY_CAST(node->>'$.{f}' AS DATE)", "int": "TRY_CAST(node->>'$.{f}' AS INT)"}
+    columns = ", ".join(f"{types[t].format(f=f)} AS {c}" for c, (f, t) in nested.COLUMNS[kind].items())
+    return f"{P4_SQL} SELECT record_id, record_path, node_path, parent_path, ord, level, {columns} FROM n WHERE kind = '{kind}'"
+
+
 ORACLE = {
+    "p4_found": P4_SQL + " SELECT record_id, node_path, parent_path FROM n",
+    "p4_records": P4_SQL + """ SELECT record_id, record_path,
+          CASE WHEN rec->>'$.article_number' IS NOT NULL THEN 'article' WHEN rec->>'$.order_number' IS NOT NULL THEN 'order' ELSE 'unknown' END AS record_kind,
+          rec->>'$.order_number' AS order_number, TRY_CAST(rec->>'$.article_number' AS INT) AS article_number, rec->>'$.title' AS title, rec->>'$.book' AS book, rec->>'$.title_name' AS title_name,
+          rec->>'$.content' AS content, rec->>'$.metadata.legal_status.status' AS legal_status FROM recs""",
+    **{f"p4_{kind}s": _child_sql(kind) for kind in nested.COLUMNS},
     "p6_found": P6_SQL + "SELECT tab, rec_id, order_key, reason, load_month FROM found",
     "p6_report": P6_SQL + "SELECT tab, load_month, reason, count(*) AS n_rows, count(DISTINCT order_key) AS n_orders FROM found GROUP BY 1, 2, 3",
 }
