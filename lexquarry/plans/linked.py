@@ -141,7 +141,7 @@ def _child_sql(kind: str) -> str:
 ORACLE = {
     "p4_found": P4_SQL + " SELECT record_id, node_path, parent_path FROM n",
     "p4_records": P4_SQL + """ SELECT record_id, record_path,
-          CASE WHEN rec->>'$.article_number' IS NOT NULL THEN 'article' WHEN rec->>'$.order_number' IS NOT NULL THEN 'order' ELSE 'unknown' END AS record_kind,
+          CASE WHEN (rec->>'$.article_number') IS NOT NULL THEN 'article' WHEN (rec->>'$.order_number') IS NOT NULL THEN 'order' ELSE 'unknown' END AS record_kind,
           rec->>'$.order_number' AS order_number, TRY_CAST(rec->>'$.article_number' AS INT) AS article_number, rec->>'$.title' AS title, rec->>'$.book' AS book, rec->>'$.title_name' AS title_name,
           rec->>'$.content' AS content, rec->>'$.metadata.legal_status.status' AS legal_status FROM recs""",
     **{f"p4_{kind}s": _child_sql(kind) for kind in nested.COLUMNS},

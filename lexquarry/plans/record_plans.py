@@ -8,7 +8,7 @@ from lexquarry.functions.keys import order_key
 from lexquarry.functions.text import upper_median
 from lexquarry.operators import manifest, nested, orders, rules, status
 from lexquarry.operators.blocks import lines_of
-from lexquarry.plans.linked import _key_sql
+from lexquarry.plans.linked import P4_SQL, _key_sql
 from lexquarry.session import table
 
 
@@ -225,3 +225,16 @@ ORACLE["supersession_chain"] = f"""
     WITH RECURSIVE e AS (SELECT order_key, superseded FROM ({ORACLE['superseded_orders']})),
     w AS (SELECT order_key, superseded FROM e UNION SELECT w.order_key, e.superseded FROM w JOIN e ON e.order_key = w.superseded)
     SELECT order_key, superseded FROM w WHERE order_key <> superseded"""
+ORACLE["schema_errors"] = P4_SQL + f""", o AS (SELECT record_id, record_path, rec FROM recs WHERE (rec->'$.order_number') IS NOT NULL),
+    s AS (SELECT record_id, record_path, unnest(CAST(rec->'$.sections' AS JSON[])) AS x FROM o WHERE json_type(rec->'$.sections') = 'ARRAY'),
+    v AS (
+      SELECT record_id, record_path, '$.' || f AS path, rec->('$.' || f) AS x, kind, f FROM o, (VALUES ('order_number', 'string'), ('title', 'string'), ('source_url', 'string'), ('sections', 'array'), ('metadata', 'object')) k(f, kind)
+      UNION ALL SELECT record_id, record_path, '$.sections[].' || f, x->('$.' || f), 'string', f FROM s, (VALUES ('section_number'), ('content')) k(f) WHERE json_type(x) = 'OBJECT'
+      UNION ALL SELECT record_id, record_path, '$.sections[]', x, 'object', '' FROM s
+    )
+    SELECT record_id, record_path, path, 'is not of type ' || kind AS message FROM v WHERE (x IS NOT NULL OR path = '$.sections[]') AND coalesce(json_type(x), 'NULL') <> CASE kind WHEN 'string' THEN 'VARCHAR' WHEN 'array' THEN 'ARRAY' ELSE 'OBJECT' END
+    UNION ALL SELECT record_id, record_path, path, 'does not match its pattern' FROM v WHERE f = 'order_number' AND json_type(x) = 'VARCHAR' AND NOT regexp_matches(x->>'$', '^DO-[0-9]+(-[A-Z])?-[0-9]{{2}}$')
+    UNION ALL SELECT record_id, record_path, path, 'is not a URI' FROM v WHERE f = 'source_url' AND json_type(x) = 'VARCHAR' AND NOT regexp_full_match(x->>'$', '[A-Za-z][A-Za-z0-9+.-]*:[^\\s]+')
+    UNION ALL SELECT record_id, record_path, '$', 'lacks ' || f FROM o, (VALUES ('title'), ('sections'), ('metadata')) k(f) WHERE (rec->('$.' || f)) IS NULL
+    UNION ALL SELECT record_id, record_path, '$.sections[]', 'lacks ' || f FROM s, (VALUES ('section_number'), ('content')) k(f) WHERE json_type(x) = 'OBJECT' AND (x->('$.' || f)) IS NULL"""
+ORACLE["schema_error_counts"] = f"SELECT message AS kind, count(*) AS n FROM ({ORACLE['schema_errors']}) GROUP BY 1"
