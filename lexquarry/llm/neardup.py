@@ -322,17 +322,13 @@ def star_links(shared: DataFrame, df: DataFrame, size: int, threshold: float, st
 
 
 def groups(df: DataFrame, size: int = 3, threshold: float = 0.75, least_words: int = 40) -> DataFrame:
-    """(tab, rec_id, class_id, n_links): one row per record in a group of two or more.
+    """(tab, rec_id, class_id, copy_of): one row per record in a group of two or more.
 
-    ``n_links`` counts the similar records with another text that the grouping verified: all of them in bands
-    of up to ``STAR`` members, in larger ones those that connect them. Exact copies share class and
-    links of their representative and are not expanded into pairs.
+    ``class_id`` is the least id of the group, ``copy_of`` that of the records with exactly the same text. Copies are
+    not expanded into pairs.
     """
-    pairs = cut(star_links(shared_bands(signed(df, size, least_words)), df, size, threshold))
+    pairs = star_links(shared_bands(signed(df, size, least_words)), df, size, threshold)
     same = cut(copies(df, least_words))
     edges = pairs.unionByName(same.where("rec_id <> rep").select("tab", F.col("rep").alias("id_a"), F.col("rec_id").alias("id_b")))
-    ends = pairs.select("tab", F.explode(F.array("id_a", "id_b")).alias("rep")).groupBy("tab", "rep").agg(F.count("*").alias("n_links"))
-    return (
-        components(edges).join(same, ["tab", "rec_id"], "left").withColumn("rep", F.coalesce("rep", "rec_id"))
-        .join(ends, ["tab", "rep"], "left").select("tab", "rec_id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    )
+    found = components(edges).join(same, ["tab", "rec_id"], "left")
+    return found.select("tab", "rec_id", "class_id", F.coalesce("rep", "rec_id").alias("copy_of"))

@@ -19,7 +19,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The group of each record that has a near-duplicate, and its number of links."""
+    """The group of each record that has a near-duplicate, and the first record with the same text."""
     return neardup.groups(_contents(spark, sf_dir))
 
 
@@ -41,3 +41,11 @@ ORACLE = {
         SELECT c.tab, id_a, id_b FROM c JOIN n x ON x.tab = c.tab AND x.rec_id = id_a JOIN n y ON y.tab = c.tab AND y.rec_id = id_b
         WHERE k >= 0.75 * (x.n + y.n - k)""",
 }
+ORACLE["p7_groups"] = f"""
+    WITH RECURSIVE p AS ({ORACLE['p7_found']}), e AS (SELECT tab, id_a AS x, id_b AS y FROM p UNION ALL SELECT tab, id_b, id_a FROM p),
+    w AS (SELECT tab, x, y FROM e UNION SELECT w.tab, w.x, e.y FROM w JOIN e ON e.tab = w.tab AND e.x = w.y),
+    c AS (
+      SELECT 'order_sections' AS tab, rec_id, min(rec_id) OVER (PARTITION BY content) AS copy_of FROM order_sections
+      UNION ALL SELECT 'code_articles', rec_id, min(rec_id) OVER (PARTITION BY content) FROM code_articles
+    ), g AS (SELECT tab, x AS rec_id, least(x, min(y)) AS class_id FROM w GROUP BY tab, x)
+    SELECT tab, rec_id, class_id, copy_of FROM g JOIN c USING (tab, rec_id)"""
