@@ -28,7 +28,7 @@ UP, LO = "A-ZÀ-ÖØ-Þ", "a-zß-öø-ÿ"
 
 # --- names -------------------------------------------------------------------------------------
 _PART = rf"(?:De\s+[Ll]as?|De\s+[Ll]os|Del|Delos|Dela|Van|Von|San|Santa|de\s+la|de\s+los|del|de)"
-_WORD = rf"(?:[{UP}][{LO}]+(?:[-’'][{UP}][{LO}]+)*|[{UP}]{{2,}}(?:[-’'][{UP}]{{2,}})*)"
+_WORD = rf"(?!(?:De|Del|Delos|Dela|La|Las|Los)\b)(?:[{UP}][{LO}]+(?:[-’'][{UP}][{LO}]+)*|[{UP}]{{2,}}(?:[-’'][{UP}]{{2,}})*)"
 _SURNAME = rf"(?:{_PART}\s+)*{_WORD}"
 _INITIAL = rf"[{UP}]\."
 _SUFFIX = r"(?:,?\s+(?:Jr|Sr)\.|\s+(?:II|III|IV)\b)"
@@ -396,7 +396,7 @@ class Finder:
         name = name.split("\n\n")[0]
         kept: list[str] = []
         for w in re.split(r"(\s+)", name):
-            if w.strip(",.") in NO_NAME and kept:
+            if w.strip(",.") in NO_NAME and kept and not re.fullmatch(rf"[{UP}]\.,?", w):
                 break
             kept.append(w)
         name = "".join(kept).rstrip()
