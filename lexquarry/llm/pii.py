@@ -27,8 +27,8 @@ KINDS = ("email", "id_number", "phone", "address", "name")
 UP, LO = "A-ZÀ-ÖØ-Þ", "a-zß-öø-ÿ"
 
 # --- names -------------------------------------------------------------------------------------
-_PART = rf"(?:De\s+[Ll]as?|De\s+[Ll]os|Del|Delos|Dela|Van|Von|San|Santa|de\s+la|de\s+los|del|de)"
-_WORD = rf"(?!(?:De|Del|Delos|Dela|La|Las|Los)\b)(?:[{UP}][{LO}]+(?:[-’'][{UP}][{LO}]+)*|[{UP}]{{2,}}(?:[-’'][{UP}]{{2,}})*)"
+_PART = rf"(?:De\s+[Ll]as?|De\s+[Ll]os|Del|Delos|Dela|Van|Von|San|Santa|DE\s+LAS?|DE\s+LOS|DEL|DELOS|DELA|VAN|VON|SAN|SANTA|de\s+la|de\s+los|del|de)"
+_WORD = rf"(?!(?:De|Del|Delos|Dela|La|Las|Los|DE|DEL|DELOS|DELA|LA|LAS|LOS)\b)(?:[{UP}][{LO}]+(?:[-’'][{UP}][{LO}]+)*|[{UP}]{{2,}}(?:[-’'][{UP}]{{2,}})*)"
 _SURNAME = rf"(?:{_PART}\s+)*{_WORD}"
 _INITIAL = rf"[{UP}]\."
 _SUFFIX = r"(?:,?\s+(?:Jr|Sr)\.|\s+(?:II|III|IV)\b)"
@@ -302,6 +302,8 @@ class Finder:
             word = text[x:a]
             core = word.strip("(\"“‘")
             like = core[:1].isupper() or core in ("de", "la", "las", "los", "del", "respondent,", "although")
+            if any(c in "@/0123456789" for c in core) or "\n\n" in text[a : a + 2]:
+                break
             if not like or a < b and core[-1:] in ".!?;:" and len(core) > 2 and not core in ("Jr.", "Sr.", "Mr.", "Ms.", "Atty."):
                 break
             a = x
@@ -388,6 +390,8 @@ class Finder:
     @staticmethod
     def _plain_name(name: str) -> bool:
         words = re.findall(rf"[{UP}][{UP}{LO}]*", name)
+        while name[1:2] == "." and len(words) > 1 and len(words[0]) == 1:
+            words = words[1:]  # initials
         return bool(words) and words[0] not in (*NO_NAME, "El", "La", "Los", "Las") and not any(w in NO_NAME for w in words if len(w) > 1)
 
     @staticmethod
