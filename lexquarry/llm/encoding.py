@@ -11,6 +11,7 @@ garbled forms are hash-joined with the forms that the records hold. There are fo
   East Asian decodings (two bytes a character) turn into three; they are looked for at every place
   inside clean text.
 
+What a decodable run was meant as counts as a form of the corpus, too: some words occur garbled only.
 A match of ``w`` or ``r`` counts if the original is at least as frequent as the garbled form (for runs,
 ``RUN_RATIO`` times). Forms are counted over the distinct texts of all records, so that copies of a
 garbled text do not outvote the originals; every copy is judged by that. A match of ``c`` is checked
@@ -212,6 +213,24 @@ def forms_of(text: str) -> set[str]:
     return forms
 
 
+def meant_forms(text: str) -> set[str]:
+    """The words and runs that decodable runs of a text were meant as."""
+    forms: set[str] = set()
+    for m in BEYOND.finditer(text):
+        word, changed = m.group(), False
+        for run in list(RUN.finditer(word)):
+            if len(run.group()) > 1 and (meant := ungarbled(run.group(), len(run.group()) < 4)):
+                changed = True
+                a, b = m.start() + run.start(), m.start() + run.end()
+                forms.add(f"r{_kind(text[a - 1 : a])}{_kind(text[b : b + 1])}{meant}")
+        if changed and not NO_BLANKS.search(word):
+            whole = RUN.sub(lambda r: (len(r.group()) > 1 and ungarbled(r.group(), len(r.group()) < 4)) or r.group(), word)
+            whole = DIGITS.sub("9", whole).strip(EDGES)
+            if whole and not whole.isascii() and not NO_BLANKS.search(whole):
+                forms.add("w" + whole)
+    return forms
+
+
 #: A word that holds a character beyond ASCII, and the scripts without blanks.
 BEYOND = re.compile(r"[^\s]*[^\x00-\x7f\s][^\s]*")
 NO_BLANKS = re.compile(f"[฀-๿぀-ヿ㐀-鿿{WIDE_MARKS}]")
@@ -276,7 +295,8 @@ def run_pieces(text: str, bitmap: np.ndarray) -> set[str]:
 def _held(df: DataFrame) -> DataFrame:
     """(tab, rec_id, field, hash, form): the words and runs of each record and the hash of its text; a null form marks loss.
 
-    Rows without a record are the characters (``c``) and groups (``g``) of a task's texts, each once.
+    Rows without a record are what decodable runs were meant as, and the characters (``c``) and groups (``g``) of a
+    task's texts, each once.
     """
 
     def work(batch):
@@ -289,8 +309,11 @@ def _held(df: DataFrame) -> DataFrame:
             held = [*forms_of(text), *([None] if LOST.search(text) else [])]
             singles.update(text)
             groups.append(six_bytes_of(text))
+            meant = meant_forms(text)
             for name, values in (("tab", [tab] * len(held)), ("rec_id", [rec] * len(held)), ("field", [field] * len(held)), ("hash", [hashed] * len(held)), ("form", held)):
                 out[name] += values
+            for name, values in (("tab", [None] * len(meant)), ("rec_id", [None] * len(meant)), ("field", [None] * len(meant)), ("hash", [hashed] * len(meant)), ("form", list(meant))):
+                out[name] += values
         vocabulary = ["c" + c for c in singles if not c.isascii() and not LOST.match(c)]
         if groups:
             vocabulary += ["g" + characters(g) for g in np.unique(np.concatenate(groups)).tolist()]
@@ -379,8 +402,8 @@ def garbled(df: DataFrame) -> DataFrame:
     spark, key = df.sparkSession, ("tab", "rec_id", "field")
     held = cut(_held(df))
     records = held.where("tab IS NOT NULL")
-    counts = records.where("form IS NOT NULL").groupBy("form").agg(F.count_distinct("hash").alias("n"))
-    letters = held.where("tab IS NULL").select("form").unionByName(_alphabets(spark)).distinct().withColumn("n", F.lit(1).cast("long"))
+    counts = held.where("form IS NOT NULL AND hash IS NOT NULL").groupBy("form").agg(F.count_distinct("hash").alias("n"))
+    letters = held.where("hash IS NULL").select("form").unionByName(_alphabets(spark)).distinct().withColumn("n", F.lit(1).cast("long"))
     # Forms are spread by their hash: a few forms make many.
     spread = lambda x: x.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "form")
     counts = cut(spread(counts))

@@ -49,6 +49,12 @@ def test_nothing_is_too_long(spark):
     assert set(got) == {2, 3, 5} and got[2] == f"muy {word}" and got[3] == "nota " + "x" * 60 + "señor" and got[5] == "día 5 días-7años"
 
 
+def test_words_that_occur_garbled_only(spark):
+    texts = [garble(f"a {w} rule", "utf-8", wrong) for w in ("½-day", "35°") for wrong in ("cp1252", "mac_roman", "cp437")] + [garble("one ½-day", "cp1252", "mac_roman"), garble("at 17° now", "cp1252", "cp437")]
+    got = restored(spark, texts)
+    assert set(got) == set(range(8)) and got[6] == "one ½-day" and got[7] == "at 17° now"
+
+
 def test_masked_digits_are_those_of_the_text(spark):
     texts = ["artículo1234º", "artículo9º", garble("artículo77º", "cp1252", "cp437")]
     assert restored(spark, texts) == {2: "artículo77º"}
