@@ -167,3 +167,13 @@ def report(mixed: DataFrame, sizes: DataFrame, targets: DataFrame) -> DataFrame:
         F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("held", F.lit(0)).alias("available"), F.coalesce("n_held", F.lit(0)).alias("n_records"),
         F.coalesce("n_used", F.lit(0)).alias("n_used"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"),
     )
+
+
+def within(mixed: DataFrame, sizes: DataFrame, targets: DataFrame) -> DataFrame:
+    """(source, on_target, in_cap) of every target: whether its tokens miss their goal by less than its largest record,
+    and whether no record is repeated more than its cap allows."""
+    caps = targets.groupBy(F.lower(F.trim("source")).alias("source")).agg(F.max(F.coalesce("max_repeats", F.lit(1))).alias("cap"))
+    largest = sizes.groupBy("source").agg(F.max("n_tokens").alias("largest"))
+    got = mixed.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.max("copies").alias("most"))
+    rows = plan(sizes, targets).join(caps, "source").join(largest, "source", "left").join(got, "source", "left")
+    return rows.select("source", (F.abs(F.coalesce("tokens", F.lit(0)) - F.col("goal")) <= F.coalesce("largest", F.lit(0)) + 1e-6).alias("on_target"), (F.coalesce("most", F.lit(0)) <= F.col("cap")).alias("in_cap"))

@@ -23,5 +23,11 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(mixing.mix(sizes, targets), sizes, targets)
 
 
-QUERIES = {"p9_mix": p9_mix, "p9_shares": p9_shares}
-ORACLE: dict[str, str] = {}
+def p9_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each source keeps to its goal and its cap."""
+    sizes, targets = _sizes(spark, sf_dir), table(spark, sf_dir, "source_targets")
+    return mixing.within(mixing.mix(sizes, targets), sizes, targets)
+
+
+QUERIES = {"p9_mix": p9_mix, "p9_shares": p9_shares, "p9_within": p9_within}
+ORACLE = {"p9_within": "SELECT DISTINCT lower(trim(source)) AS source, true AS on_target, true AS in_cap FROM source_targets"}

@@ -17,6 +17,7 @@ are 0-based, in characters, end exclusive.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from functools import lru_cache
 
@@ -262,3 +263,19 @@ def sentence_units(df: DataFrame, text: str = "text") -> DataFrame:
     rows = df.where(F.col(text).isNotNull()).select("tab", "rec_id", F.col(text).alias("text"), lang.alias("lang"))
     return map_batches(rows, work, "tab string, rec_id long, start_pos int, end_pos int")
 
+
+def covered(df: DataFrame) -> DataFrame:
+    """(tab, rec_id, n_units, digest) of df (tab, rec_id, text, lang): the digest of the units of a text, end to end without blanks.
+
+    As every character that is no blank is in exactly one unit, it is that of the text without blanks.
+    """
+
+    def work(batch):
+        out = {"tab": column(batch, "tab"), "rec_id": column(batch, "rec_id"), "n_units": [], "digest": []}
+        for text, lang in zip(column(batch, "text"), column(batch, "lang")):
+            spans = stored_spans(text, lang)
+            out["n_units"].append(len(spans))
+            out["digest"].append(hashlib.md5(re.sub(r"\s", "", "".join(text[a:b] for a, b in spans)).encode()).hexdigest())
+        return out
+
+    return map_batches(df.where(F.col("text").isNotNull()).select("tab", "rec_id", "text", "lang"), work, "tab string, rec_id long, n_units int, digest string")
