@@ -214,23 +214,31 @@ def forms_of(text: str) -> set[str]:
 
 
 def meant_forms(text: str) -> set[str]:
-    """The words and runs that decodable runs of a text were meant as."""
+    """The words and runs that decodable runs of a text were meant as, but for scripts without blanks, which have no words."""
     forms: set[str] = set()
-    for m in BEYOND.finditer(text):
-        word, changed = m.group(), False
-        for run in list(RUN.finditer(word)):
-            if len(run.group()) > 1 and (meant := ungarbled(run.group(), len(run.group()) < 4)):
-                changed = True
-                a, b = m.start() + run.start(), m.start() + run.end()
-                forms.add(f"r{_kind(text[a - 1 : a])}{_kind(text[b : b + 1])}{meant}")
-        if changed and not NO_BLANKS.search(word):
-            whole = RUN.sub(lambda r: (len(r.group()) > 1 and ungarbled(r.group(), len(r.group()) < 4)) or r.group(), word)
-            whole = DIGITS.sub("9", whole).strip(EDGES)
-            if whole and not whole.isascii() and not NO_BLANKS.search(whole):
-                forms.add("w" + whole)
+    done = 0
+    for m in TWO.finditer(text):
+        meant = ungarbled(m.group(), len(m.group()) < 4)
+        if not meant or NO_BLANKS.search(meant):
+            continue
+        a, b = m.start(), m.end()
+        forms.add(f"r{_kind(text[a - 1 : a])}{_kind(text[b : b + 1])}{meant}")
+        if a < done:
+            continue  # in the word of the run before
+        while a > 0 and not text[a - 1].isspace():
+            a -= 1
+        while b < len(text) and not text[b].isspace():
+            b += 1
+        done = b
+        whole = TWO.sub(lambda r: ungarbled(r.group(), len(r.group()) < 4) or r.group(), text[a:b])
+        whole = DIGITS.sub("9", whole).strip(EDGES)
+        if whole and not whole.isascii() and not NO_BLANKS.search(whole):
+            forms.add("w" + whole)
     return forms
 
 
+#: A run of two characters or more.
+TWO = re.compile(rf"[^\x00-\x7f{NATIVE}{WIDE_MARKS}]{{2,}}")
 #: A word that holds a character beyond ASCII, and the scripts without blanks.
 BEYOND = re.compile(r"[^\s]*[^\x00-\x7f\s][^\s]*")
 NO_BLANKS = re.compile(f"[฀-๿぀-ヿ㐀-鿿{WIDE_MARKS}]")
