@@ -9,12 +9,13 @@ from lexquarry.functions.binding import let
 #: How an order is named before its number.
 ORDER_HEAD = r"(?:department\s+order|d\.?\s*o\.?)\s*no\.?\s*"
 #: A mention of an order: its number, a letter, and a year behind a connector; the connector decides what it is.
-MENTION = rf"(?i)\b{ORDER_HEAD}([0-9]{{1,4}})(?:\s*-\s*([a-z])\b)?(?:([-,(\s]*(?:series\s+of|s\.)?)\s*([0-9]{{2,4}})\b)?"
+#: Here and below, a look at the first letters comes before the word boundary, which costs more at every place.
+MENTION = rf"(?i)(?=d)\b{ORDER_HEAD}([0-9]{{1,4}})(?:\s*-\s*([a-z])\b)?(?:([-,(\s]*(?:series\s+of|s\.)?)\s*([0-9]{{2,4}})\b)?"
 DASHED, SERIES, BRACKETED = "dashed", "series", "bracketed"
 #: Kinds of laws, written out.
 LAW_NAMES = {"RA": "republic act", "PD": "presidential decree", "BP": "batas pambansa", "EO": "executive order"}
 _LAW_WORDS = "|".join([name.replace(" ", r"\s+") for name in LAW_NAMES.values()] + [r"\.?\s*".join(k.lower()) + r"\.?" for k in LAW_NAMES])
-CITATION = rf"(?i)\b(?:{_LAW_WORDS})\s*(?:no\.?|blg\.?|bilang)?\s*([0-9]{{1,5}}(?:-[a-z])?)\b"
+CITATION = rf"(?i)(?=[rpbe][erxado.p\s])\b(?:{_LAW_WORDS})\s*(?:no\.?|blg\.?|bilang)?\s*([0-9]{{1,5}}(?:-[a-z])?)\b"
 CODE = "PD 442 (Labor Code)"
 #: Tags and the words that earn them, and how often a text must mention one.
 TAGS = [
@@ -33,14 +34,16 @@ TAGS = [
     ("drug_free_workplace", r"drug-free|dangerous\s+drugs|drug\s+test(?:ing|s)?"),
 ]
 MENTIONS = 3
+#: The first two letters of these words, each by itself.
+TAG_LETTERS = "(?=[tcsomwdpalukg][euocairpnvf])"
 #: The widest range of articles that is listed one by one, and how far "of …" is looked for.
 WIDEST_RANGE = 20
 LOOK_AHEAD = 40
 ARTICLES = rf"(?is)\bart(?:icle)?s?\.?\s+([0-9]{{1,3}})(?:\s*(to|and|-|–)\s*([0-9]{{1,3}}))?\b(?=(.{{0,{LOOK_AHEAD}}}))"
 
 
-def mentions(text: Column) -> Column:
-    """array<struct<form, id>> of the orders that a text names with a year, in the order of the text; digits as printed."""
+def _mention(piece: Column) -> Column:
+    """struct<form, id> of one mention; the form is null if it names no year."""
 
     def parsed(g: Column) -> Column:
         number, letter, link, year = (g[i] for i in range(4))
@@ -53,8 +56,12 @@ def mentions(text: Column) -> Column:
         name = F.concat(F.lit("DO-"), number, F.when(letter != "", F.concat(F.lit("-"), F.upper(letter))).otherwise(""), F.lit("-"), F.right(year, F.lit(2)))
         return F.struct(form.alias("form"), name.alias("id"))
 
-    groups = lambda piece: let(F.array(*[F.regexp_extract(piece, MENTION, i) for i in (1, 2, 3, 4)]), parsed)
-    return F.filter(F.transform(F.regexp_extract_all(text, F.lit(MENTION), F.lit(0)), groups), lambda m: m["form"].isNotNull())
+    return let(F.array(*[F.regexp_extract(piece, MENTION, i) for i in (1, 2, 3, 4)]), parsed)
+
+
+def mentions(text: Column) -> Column:
+    """array<struct<form, id>> of the orders that a text names with a year, in the order of the text; digits as printed."""
+    return F.filter(F.transform(F.regexp_extract_all(text, F.lit(MENTION), F.lit(0)), _mention), lambda m: m["form"].isNotNull())
 
 
 def ids_of(found: Column, form: str) -> Column:
@@ -63,8 +70,13 @@ def ids_of(found: Column, form: str) -> Column:
 
 
 def order_number(text: Column, file_name: Column) -> Column:
-    """The id that stands first in the text, in the dashed or the series form, else the one in the file name; digits as printed."""
-    first = F.get(F.filter(mentions(text), lambda m: m["form"] != BRACKETED), F.lit(0))["id"]
+    """The id that stands first in the text, in the dashed or the series form, else the one in the file name; digits as printed.
+
+    Mostly the first mention has one of these forms; the others are read only where it has not.
+    """
+    every = F.get(F.filter(mentions(text), lambda m: m["form"] != BRACKETED), F.lit(0))["id"]
+    usual = lambda piece: let(_mention(piece), lambda m: F.when(m["form"] != BRACKETED, m["id"]))
+    first = let(F.regexp_extract(text, MENTION, 0), lambda piece: F.when(piece != "", F.coalesce(usual(piece), every)))
     parts = F.split(F.upper(F.regexp_replace(file_name, r"\.[A-Za-z0-9]+$", "")), "[-_ ]+")
     glued = F.regexp_replace(F.array_join(parts, "-"), "(^|-)DO([0-9])", "$1DO-$2")
     named = F.regexp_extract(glued, r"(?:^|-)(DO-[0-9]{1,4}(?:-[A-Z])?)-(?:[0-9]{0,2})([0-9]{2})(?:-|$)", 1)
@@ -86,9 +98,8 @@ def citations(text: Column) -> Column:
     """array<struct<kind, number>> of the laws that a text cites, in its order; numbers with their letter, in capitals."""
 
     def parsed(piece: Column) -> Column:
-        letters = F.regexp_replace(F.lower(piece), r"[\s.]", "")
-        kind = F.coalesce(*[F.when(letters.startswith(k.lower()) | letters.startswith(name.replace(" ", "")), F.lit(k)) for k, name in LAW_NAMES.items()])
-        return F.struct(kind.alias("kind"), F.upper(F.regexp_extract(piece, CITATION, 1)).alias("number"))
+        kind = lambda letters: F.coalesce(*[F.when(letters.startswith(k.lower()) | letters.startswith(name.replace(" ", "")), F.lit(k)) for k, name in LAW_NAMES.items()])
+        return F.struct(let(F.regexp_replace(F.lower(piece), r"[\s.]", ""), kind).alias("kind"), F.upper(F.regexp_extract(piece, CITATION, 1)).alias("number"))
 
     return F.transform(F.regexp_extract_all(text, F.lit(CITATION), F.lit(0)), parsed)
 
@@ -97,7 +108,7 @@ def laws(text: Column) -> Column:
     """Acts, then decrees, then the code by name; each once. Acts have three digits at least, decrees four at most."""
 
     def listed(cited: Column) -> Column:
-        digits = lambda c: F.regexp_replace(c["number"], "-.*", "")
+        digits = lambda c: F.substring_index(c["number"], "-", 1)
         name = lambda c: F.concat(c["kind"], F.lit(" "), digits(c))
         acts = F.transform(F.filter(cited, lambda c: (c["kind"] == "RA") & (F.char_length(digits(c)) >= 3)), name)
         decrees = F.transform(F.filter(cited, lambda c: (c["kind"] == "PD") & (F.char_length(digits(c)) <= 4)), name)
@@ -118,14 +129,16 @@ def tags(text: Column, title: Column) -> Column:
 
     One pass over the text finds the words of all topics; what each stands for is decided on the words alone.
     """
-    every = rf"(?i)\b(?:{'|'.join(p for _, p in TAGS)})\b"
+    every = rf"(?i){TAG_LETTERS}\b(?:{'|'.join(p for _, p in TAGS)})\b"
+    named_any = F.coalesce(title.rlike(every), F.lit(False))
 
     def earned(words: Column) -> Column:
         def one(tag: str, pattern: str) -> Column:
-            named = F.coalesce(title.rlike(rf"(?i)\b(?:{pattern})\b"), F.lit(False))
-            return F.when((F.size(F.filter(words, lambda w: w.rlike(rf"(?i)^(?:{pattern})$"))) >= MENTIONS) | named, F.lit(tag))
+            named = named_any & title.rlike(rf"(?i)\b(?:{pattern})\b")
+            often = (F.size(words) >= MENTIONS) & (F.size(F.filter(words, lambda w: w.rlike(rf"(?i)^(?:{pattern})$"))) >= MENTIONS)
+            return F.when(often | named, F.lit(tag))
 
-        return F.array_compact(F.array(*[one(t, p) for t, p in TAGS]))
+        return F.when((F.size(words) >= MENTIONS) | named_any, F.array_compact(F.array(*[one(t, p) for t, p in TAGS]))).otherwise(F.array().cast("array<string>"))
 
     return let(F.regexp_extract_all(text, F.lit(every), F.lit(0)), earned)
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lexquarry import VERSION
 from lexquarry.functions import dates, refs
 from lexquarry.functions.binding import let
-from lexquarry.functions.text import mostly_capitals, squeeze, strip
+from lexquarry.functions.text import BLANKS, mostly_capitals, squeeze, strip
 from lexquarry.operators import blocks
 from lexquarry.operators.lists import items_of
 
@@ -44,7 +44,7 @@ def _any(words: list[str]) -> str:
 
 def _bytes_of(text: Column, start: int, size: int) -> Column:
     """A byte range of a text, from 1 or from the end; a character that it cuts is replaced."""
-    return F.decode(F.substring(F.encode(text, "UTF-8"), start, size), "UTF-8")
+    return F.when(F.octet_length(text) <= size, text).otherwise(F.make_valid_utf8(F.substring(text.cast("binary"), start, size).cast("string")))
 
 
 def head_bytes(text: Column, size: int) -> Column:
@@ -52,7 +52,7 @@ def head_bytes(text: Column, size: int) -> Column:
 
 
 def tail_bytes(text: Column, size: int) -> Column:
-    return F.when(F.octet_length(text) <= size, text).otherwise(_bytes_of(text, -size, size))
+    return _bytes_of(text, -size, size)
 
 
 def signature_parts(text: Column) -> Column:
@@ -64,7 +64,8 @@ def signature_parts(text: Column) -> Column:
 
     def cut(parts: Column) -> Column:
         rest = lambda i: F.array_join(F.slice(parts, i + 1, F.size(parts)), "")
-        opens = lambda i: parts[i].rlike(rf"(?i)^[ \t]*{_any(BLOCK_WORDS)}\b") & (F.octet_length(rest(i)) <= SIGNATURE_TAIL) & dates.first_date(head_bytes(rest(i), SIGNATURE_DATE)).isNotNull()
+        dated = lambda r: (F.octet_length(r) <= SIGNATURE_TAIL) & let(head_bytes(r, SIGNATURE_DATE), dates.first_date).isNotNull()
+        opens = lambda i: parts[i].rlike(rf"(?i)^[ \t]*{_any(BLOCK_WORDS)}\b") & let(rest(i), dated)
         first = F.get(F.filter(F.sequence(F.lit(0), F.size(parts) - 1), opens), F.lit(0))
         return let(F.coalesce(first, F.size(parts)), lambda i: F.struct(F.array_join(F.slice(parts, F.lit(1), i), "").alias("body"), rest(i).alias("block")))
 
@@ -74,12 +75,18 @@ def signature_parts(text: Column) -> Column:
 def signed_date_of(text: Column) -> Column:
     """The date soon after the last word of signing that has one, else the first near the end of the text.
 
-    Cut at these words, every piece but the first is what follows one of them.
+    Cut at these words, every piece but the first is what follows one of them. Where the last has a date,
+    no other is read.
     """
     text = F.col(text) if isinstance(text, str) else text
-    after = F.split(text, rf"(?i)\b{_any(SIGNING_WORDS)}\b")
-    found = let(after, lambda ps: F.filter(F.transform(F.slice(ps, F.lit(2), F.size(ps)), lambda p: dates.first_date(head_bytes(p, SIGNING_REACH))), lambda d: d.isNotNull()))
-    return F.coalesce(let(found, lambda ds: F.get(ds, F.size(ds) - 1)), dates.first_date(tail_bytes(text, DATE_TAIL)))
+    date_of = lambda p: let(head_bytes(p, SIGNING_REACH), dates.first_date)
+
+    def last(ps: Column) -> Column:
+        every = F.filter(F.transform(F.slice(ps, F.lit(2), F.size(ps)), date_of), lambda d: d.isNotNull())
+        return F.when(F.size(ps) > 1, F.coalesce(date_of(F.get(ps, F.size(ps) - 1)), let(every, lambda ds: F.get(ds, F.size(ds) - 1))))
+
+    after = F.split(text, rf"(?i)(?=[sdiam][iospa])\b{_any(SIGNING_WORDS)}\b")
+    return F.coalesce(let(after, last), let(tail_bytes(text, DATE_TAIL), dates.first_date))
 
 
 def _stop(citing: list[str]) -> str:
@@ -92,11 +99,13 @@ def effectivity_clause_of(titled: Column, text: Column) -> Column:
 
     Sentences end at full stops that end no citation, and at blank lines.
     """
-    where = F.coalesce(titled, text)
-    phrase = rf"(?i)\b{_any(EFFECT_PHRASES)}\b"
-    sentences = F.split(where, rf"{_stop([f'(?i:{w})' for w in CITING])}|\n\n")
-    last = let(F.filter(sentences, lambda s: s.rlike(phrase)), lambda ss: F.get(ss, F.size(ss) - 1))
-    return squeeze(F.regexp_replace(strip(last), "^[—–-]+", ""))
+    phrase = rf"(?i)(?=[st][ha])\b{_any(EFFECT_PHRASES)}\b"
+
+    def last(where: Column) -> Column:
+        sentences = F.split(where, rf"{_stop([f'(?i:{w})' for w in CITING])}|\n\n")
+        return F.when(where.rlike(phrase), let(F.filter(sentences, lambda s: s.rlike(phrase)), lambda ss: F.get(ss, F.size(ss) - 1)))
+
+    return squeeze(F.regexp_replace(strip(let(F.coalesce(titled, text), last)), "^[—–-]+", ""))
 
 
 def first_sentence_of(text: Column) -> Column:
@@ -107,9 +116,11 @@ def first_sentence_of(text: Column) -> Column:
 def superseded_of(text: Column, own: Column) -> Column:
     """Orders named near an amending verb, in its paragraph; those merely cited "as amended" are not meant.
 
-    Cut at the verbs, an order is near one if it stands near the cut end of a piece.
+    Cut at the verbs, an order is near one if it stands near the cut end of a piece. Paragraphs without
+    a verb or a number of an order are left out first.
     """
-    verb = rf"(?i)(?<!\bas\s{{1,3}})\b{_any(AMENDING_VERBS)}\b"
+    verb = rf"(?i)(?=[asrm][mueo])(?<!\bas\s{{1,3}})\b{_any(AMENDING_VERBS)}\b"
+    numbered = rf"(?i){refs.ORDER_HEAD}[0-9]"
 
     def near(pieces: Column) -> Column:
         def ids(p: Column, i: Column) -> Column:
@@ -120,7 +131,8 @@ def superseded_of(text: Column, own: Column) -> Column:
 
         return F.flatten(F.transform(pieces, ids))
 
-    found = F.flatten(F.transform(F.split(text, "\n\n"), lambda p: let(F.split(p, verb), near)))
+    paragraphs = F.filter(F.split(text, "\n\n"), lambda p: p.rlike(numbered) & p.rlike(verb))
+    found = F.flatten(F.transform(paragraphs, lambda p: let(F.split(p, verb), near)))
     return let(found, lambda ms: F.array_distinct(F.filter(F.concat(refs.ids_of(ms, refs.DASHED), refs.ids_of(ms, refs.SERIES)), lambda x: own.isNull() | (x != own))))
 
 
@@ -153,12 +165,14 @@ def title_of(text: Column) -> Column:
     start = F.struct(F.lit(0).alias("phase"), F.array().cast("array<string>").alias("found"))
 
     def step(s: Column, line: Column) -> Column:
-        bare = strip(line)
-        skip = (bare == "") | F.lower(bare).startswith("series of")
-        over = bare.rlike(rf"^(?:{_any(BODY_WORDS)}|[A-Z]\.)\s") | ~skip & (~mostly_capitals(bare) | (F.size(s["found"]) >= TITLE_LINES))
-        keep = (s["phase"] == 1) & ~skip & ~over
-        phase = F.when(s["phase"] == 0, line.rlike(rf"(?i)^\s*{refs.ORDER_HEAD}[0-9]").cast("int")).when((s["phase"] == 1) & over & (bare != ""), 2).otherwise(s["phase"])
-        return F.struct(phase.alias("phase"), F.when(keep, F.concat(s["found"], F.array(bare))).otherwise(s["found"]).alias("found"))
+        state = lambda phase, found: F.struct(F.lit(phase).alias("phase"), found.alias("found"))
+
+        def titled(bare: Column) -> Column:
+            over = bare.rlike(rf"^(?:{_any(BODY_WORDS)}|[A-Z]\.)\s") | (F.size(s["found"]) >= TITLE_LINES) | ~mostly_capitals(bare)
+            return F.when((bare == "") | F.lower(bare).startswith("series of"), s).when(over, state(2, s["found"])).otherwise(state(1, F.concat(s["found"], F.array(bare))))
+
+        begins = line.rlike(rf"(?i)^\s*{refs.ORDER_HEAD}[0-9]")
+        return F.when(s["phase"] == 2, s).when(s["phase"] == 1, let(strip(line), titled)).when(begins, state(1, s["found"])).otherwise(s)
 
     return F.nullif(F.aggregate(lines, start, step, lambda s: F.array_join(s["found"], " ")), F.lit(""))
 
@@ -173,12 +187,14 @@ def authority_of(text: Column) -> Column:
     start = F.struct(none.alias("line"), none.alias("found"), F.lit(False).alias("over"))
 
     def step(s: Column, raw: Column) -> Column:
-        bare = strip(raw)
-        waiting = s["line"].isNotNull() & (bare != "") & ~s["over"]
-        fits = waiting & mostly_capitals(bare) & (F.size(F.split(squeeze(bare), " ")) >= 2)
-        found = F.when(fits, F.concat(bare, F.lit(", "), s["line"])).otherwise(s["found"])
-        line = F.when(raw.rlike(rf"(?i)^\s*{_any(OFFICIALS)}\b") & ~fits, bare).when(waiting, none).otherwise(s["line"])
-        return F.struct(line.alias("line"), found.alias("found"), (s["over"] | fits).alias("over"))
+        state = lambda line, found, over: F.struct(line.alias("line"), found.alias("found"), F.lit(over).alias("over"))
+        official = raw.rlike(rf"(?i)^\s*{_any(OFFICIALS)}\b")
+
+        def named(bare: Column) -> Column:
+            fits = mostly_capitals(bare) & (F.size(F.split(squeeze(bare), " ")) >= 2)
+            return F.when(bare == "", s).when(fits, state(none, F.concat(bare, F.lit(", "), s["line"]), True)).when(official, state(bare, none, False)).otherwise(state(none, none, False))
+
+        return F.when(s["over"], s).when(s["line"].isNotNull(), let(strip(raw), named)).when(official, state(strip(raw), none, False)).otherwise(s)
 
     return F.aggregate(lines, start, step, lambda s: s["found"])
 
@@ -205,7 +221,7 @@ def order_records(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     row from end to end, so nothing is exchanged.
     """
     optional = {c: F.col(c) if c in docs.columns else F.lit(None).cast("string") for c in ("info_title", "source_url", "sha256", "superseded_by", "effective_given")}
-    rows = docs.withColumns(optional).where(F.coalesce(strip(F.col("text")), F.lit("")) != "")
+    rows = docs.withColumns(optional).where(F.col("text").rlike(f"[^{BLANKS}]"))
     rows = rows.withColumn("order_number", refs.order_number(F.col("text"), F.col("file_name"))).withColumn("body", signature_parts(F.col("text"))["body"])
     rows = rows.withColumn("blocks", blocks.blocks_in(F.col("body")))
     null = F.lit(None).cast("string")

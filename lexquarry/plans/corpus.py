@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lexquarry.session import table
+from lexquarry.session import deal, table
 
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
 
@@ -67,7 +67,7 @@ def whole_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every tenth order has no sections; every fourth has a letter in its number.
     """
     k = F.col("o_orderkey")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("d"))
+    o = deal(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("d")), "o_orderkey")
     letter = F.when(k % 4 == 0, F.concat(F.lit("-"), F.element_at(F.array(*map(F.lit, "ABC")), (k % 3 + 1).cast("int")))).otherwise("")
     cover = F.concat(
         F.lit("Republic\n\nDEPARTMENT ORDER NO. "), k % 900 + 1, letter, F.lit("-"), F.right(F.year("d").cast("string"), F.lit(2)), F.lit("\nSeries of "), F.year("d"),

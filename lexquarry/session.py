@@ -42,6 +42,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+#: Partitions for each core where the work is dealt by key, so that no core waits long for the last one.
+PER_CORE = 4
+
+
+def deal(df: DataFrame, key: str) -> DataFrame:
+    """A narrow scan dealt by its key, for rows that cost far more than their bytes: a file may be one row group, which no split divides."""
+    return df.repartition(max(df.rdd.getNumPartitions(), PER_CORE * df.sparkSession.sparkContext.defaultParallelism), key)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint.
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexquarry.operators import blocks, lists, manifest, orders, pages, rules, statute, status
+from lexquarry.plans import corpus
 
 
 def docs(spark, *texts):
@@ -105,6 +106,20 @@ def test_order_records(spark):
     assert [(x.doc_id, x.section_number) for x in parts.orderBy("doc_id", "ord").collect()] == [(1, "Section 1"), (1, "Section 2"), (2, "Full Text")]
 
 
+def test_orders_are_dealt(spark, tmp_path):
+    """A file of one row group is one task's work however many splits it has."""
+    rows = spark.range(400).select(F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("2001-02-03").cast("timestamp").alias("o_orderdate"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    found = orders.order_records(corpus.whole_orders(spark, str(tmp_path)))[0]
+    assert found.count() == 400 and found.select(F.spark_partition_id()).distinct().count() >= spark.sparkContext.defaultParallelism
+
+
+def test_cut_characters(spark):
+    """Reaches are in bytes; one that ends inside a character reads what stands before it."""
+    assert of(spark, orders.signed_date_of, "Signed 6 May 2001 " + "é" * 200) == dt.date(2001, 5, 6)
+    assert of(spark, lambda c: orders.tail_bytes(c, 3), "aéé") == "\ufffdé" and of(spark, lambda c: orders.head_bytes(c, 2), "aé") == "a\ufffd"
+
+
 def test_statute(spark):
     text = "\n".join([
         "BOOK ONE – PRE 5", "PRELIMINARY TITLE", "Art. 1. Name — First.", "BOOK ONE", "PRE-EMPLOYMENT", "Art. 2. [9] Two", "TITLE I – WORK", "OF MINORS", "Chapter I", "RULES", "Art. 3. Three",
